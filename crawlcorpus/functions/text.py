@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
-from ..schema import LETTER, SPACE, SPACE_IN_LINE, WORD
+from ..schema import LETTER, SPACE_IN_LINE, SPACES, WORD
 
 #: Two or more letters that are not part of a longer word: r"\b[^\W\d_]{2,}\b".
 DEFAULT_WORD_PATTERN = rf"(?<![{WORD}])[{LETTER}]{{2,}}(?![{WORD}])"
@@ -44,7 +44,7 @@ def letters_only(text: Column) -> Column:
 
 
 def strip_space(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def count_words(text: Column, pattern: str = DEFAULT_WORD_PATTERN) -> Column:

@@ -1,19 +1,23 @@
 """Language of lines and documents with a character-trigram model.
 
-The model is a table, ``gram`` and one integer column per language: log-probabilities in
-thousandths. Integers make sums exact, so results do not depend on the order in which
-rows meet. A document is scored by joining its grams to the model; the model's size
-depends on the writing systems and not on the corpus, and it is broadcast after a check.
+A model has two tables with one integer column per language, log-probabilities in
+thousandths: ``grams``, and ``words``, the same sums for the common training words.
+Integers make sums exact, so results do not depend on the order in which rows meet, nor
+on which words are tabulated: a word outside ``words`` is scored by its grams.
+
+Scoring joins words first, for most words of any text are common ones; only the rest is
+multiplied into grams. The gram table depends on the writing systems and not on the
+corpus, the word table is bounded in training; both are broadcast after a check.
 """
 
+from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import text as X
-from ..plans.physical import broadcast_if_small
-from ..schema import SPACE
+from ..plans.physical import broadcast_if_small, materialize
 
 # Parameters of the language selection.
 TARGET = "fi"
@@ -25,20 +29,26 @@ MIN_PRED_WORDS = 1
 THRESHOLD = 0.999
 DOCUMENT_PROB = 0.1
 
-#: A model row is a gram and one long per language: 200 bytes with 20 languages.
-MAX_BROADCAST_GRAMS = 1_000_000
+#: A model row is a short string and one long per language: 200 bytes with 20 languages.
+MAX_BROADCAST_ROWS = 1_000_000
+MAX_MODEL_WORDS = 200_000
 SCALE = 1000
 SALTS = 64
 
 
-def grams(line: Column) -> Column:
-    """Overlapping trigrams of the letters of a line, words parted by one space.
+def words_of(line: Column) -> Column:
+    """Lower-case runs of letters."""
+    return F.split(X.letters_only(F.lower(line)), " ")
+
+
+def grams_of(word: Column) -> Column:
+    """Overlapping trigrams of a word with a space at either end.
 
     The look-ahead yields them in one pass; cutting by position would walk the string
     from its start each time.
     """
-    padded = F.concat(F.lit(" "), X.letters_only(F.lower(line)), F.lit(" "))
-    return F.regexp_extract_all(padded, F.lit("(?s)(?=(.{3}))"), F.lit(1))
+    padded = F.concat(F.lit(" "), word, F.lit(" "))
+    return F.regexp_extract_all(padded, F.lit("(?=(...))"), F.lit(1))
 
 
 def lines_of(texts: DataFrame, *keys: str) -> DataFrame:
@@ -64,17 +74,40 @@ def labels_of(labelled: DataFrame) -> list[str]:
     return sorted(row.lang for row in found)
 
 
-def gram_counts(labelled: DataFrame, languages: list[str]) -> DataFrame:
-    """``gram`` and its count in each language, from ``lang, text``.
+@dataclass(frozen=True)
+class LanguageModel:
+    grams: DataFrame
+    words: DataFrame
+    languages: list[str]
+
+    def save(self, path: str) -> None:
+        self.grams.write.parquet(f"{path}/grams")
+        self.words.write.parquet(f"{path}/words")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "LanguageModel":
+        grams, words = (spark.read.parquet(f"{path}/{part}") for part in ("grams", "words"))
+        return LanguageModel(grams, words, sorted(set(grams.columns) - {"gram"}))
+
 
-    One aggregate: each task sends at most one row per distinct gram.
+def word_counts(labelled: DataFrame, languages: list[str]) -> DataFrame:
+    """``word`` and its count in each language, from ``lang, text``.
+
+    Words merge before the shuffle: a task sends each of its distinct words once.
     """
-    rows = lines_of(labelled, "lang").select("lang", F.explode(grams(F.col("line"))).alias("gram"))
-    return rows.groupBy("gram").agg(
-        *[F.count_if(F.col("lang") == l).alias(l) for l in languages])
+    rows = lines_of(labelled, "lang").select(
+        "lang", F.explode(words_of(F.col("line"))).alias("word")).where("word <> ''")
+    return rows.groupBy("word").agg(*[F.count_if(F.col("lang") == l).alias(l)
+                                      for l in languages])
+
+
+def gram_counts(words: DataFrame, languages: list[str]) -> DataFrame:
+    """``gram`` and its count in each language, each distinct word cut once."""
+    rows = words.select(F.explode(grams_of(F.col("word"))).alias("gram"), *languages)
+    return rows.groupBy("gram").agg(*[F.sum(l).alias(l) for l in languages])
 
 
-def model_from(counts: DataFrame, languages: list[str]) -> DataFrame:
+def gram_scores(counts: DataFrame, languages: list[str]) -> DataFrame:
     """Add-one smoothed log-probabilities, from a table of ``gram_counts``."""
     totals = counts.agg(F.struct(F.count(F.lit(1)).alias("_size"),
                                  *[F.sum(l).alias(l) for l in languages])).scalar()
@@ -85,18 +118,78 @@ def model_from(counts: DataFrame, languages: list[str]) -> DataFrame:
     return counts.select("gram", *[score(l) for l in languages])
 
 
+def _common(words: DataFrame, languages: list[str], limit: int) -> DataFrame:
+    """Words of a table of counts that are frequent enough for at most ``limit`` to be.
+
+    The cut is a power of two, read off a histogram of at most 64 rows.
+    """
+    total = reduce(add, [F.col(l) for l in languages])
+    sizes = words.groupBy(F.floor(F.log2(total)).alias("power")).count().collect()
+    kept, cut = 0, 64
+    for power, n in sorted(((r["power"], r["count"]) for r in sizes), reverse=True):
+        kept += n
+        if kept > limit:
+            break
+        cut = power
+    return words.where(F.floor(F.log2(total)) >= cut).select("word")
+
+
+def train(labelled: DataFrame, max_words: int = MAX_MODEL_WORDS) -> LanguageModel:
+    """A model from ``lang, text``, with its tables stored in the shared folder."""
+    languages = labels_of(labelled)
+    words = materialize(word_counts(labelled, languages), "word-counts")
+    counts = materialize(gram_counts(words, languages), "gram-counts")
+    grams = materialize(gram_scores(counts, languages), "grams")
+    cut = _common(words, languages, max_words).select(
+        "word", F.explode(grams_of(F.col("word"))).alias("gram"))
+    summed = cut.join(grams, "gram").groupBy("word").agg(
+        *[F.sum(l).alias(l) for l in languages])
+    return LanguageModel(grams, materialize(summed, "words"), languages)
+
+
 # --- scoring -------------------------------------------------------------------------
 
-def _with_scores(rows: DataFrame, model: DataFrame, languages: list[str],
-                 salt: Column, max_broadcast: int) -> DataFrame:
-    """Left-join the model to rows of ``gram``; unknown grams keep NULL scores."""
-    model = model.select("gram", *languages)
-    side, small = broadcast_if_small(model, max_broadcast)
+def _placed(texts: DataFrame, *keys: str) -> DataFrame:
+    """Texts hashed on their keys, before their lines are multiplied into words.
+
+    This is the one shuffle of scoring: every later aggregate, by line or by text,
+    finds its rows in place, and uneven inputs are evened out.
+    """
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return texts.select(*keys, "text").repartition(parts, *keys)
+
+
+def _score(rows: DataFrame, model: LanguageModel, *by: str,
+           max_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Sum of scores by ``by`` over rows with an array ``words``; NULL if none is known."""
+    languages = model.languages
+    rows = rows.select(*by, F.explode_outer("words").alias("word"))
+    common, small = broadcast_if_small(
+        model.words.select("word", *[F.col(l).alias(f"w_{l}") for l in languages]),
+        max_broadcast)
+    if small:
+        rows = rows.join(common, "word", "left")
+    else:
+        rows = rows.select("*", *[F.lit(None).cast("bigint").alias(f"w_{l}")
+                                  for l in languages])
+    rare = F.when(F.col(f"w_{languages[0]}").isNull(), grams_of(F.col("word")))
+    rows = rows.withColumn("gram", F.explode_outer(rare)).drop("word")
+    grams, small = broadcast_if_small(model.grams.select("gram", *languages), max_broadcast)
     if small:
-        return rows.join(side, "gram", "left")
-    # Too large to broadcast: common grams occur on most lines, so spread each of them.
-    salted = model.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    return rows.withColumn("_salt", F.pmod(salt, F.lit(SALTS)).cast("int")).join(
+        rows = rows.join(grams, "gram", "left")
+    else:
+        rows = _salted_left_join(rows, grams, *by)
+    return rows.groupBy(*by).agg(*[F.sum(F.coalesce(f"w_{l}", l)).alias(l)
+                                   for l in languages])
+
+
+def _salted_left_join(rows: DataFrame, grams: DataFrame, *by: str) -> DataFrame:
+    """For a gram table beyond broadcast: common grams are on most lines, so each is
+    spread over ``SALTS`` places. Rows without a gram need no match and are spread too."""
+    salted = grams.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    salt = F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")
+    key = F.coalesce(F.col("gram"), F.lit(""))
+    return rows.withColumn("_salt", salt).withColumn("gram", key).join(
         salted, ["gram", "_salt"], "left").drop("_salt")
 
 
@@ -127,22 +220,19 @@ def target_probability(languages: list[str], target: str, k: int = MAX_LABELS) -
     return F.when(better < k, posterior(languages, target)).otherwise(F.lit(0.0))
 
 
-def score_lines(texts: DataFrame, model: DataFrame, languages: list[str], *keys: str,
+def score_lines(texts: DataFrame, model: LanguageModel, *keys: str,
                 pattern: str = X.DEFAULT_WORD_PATTERN, min_words: int = MIN_PRED_WORDS,
-                max_broadcast: int = MAX_BROADCAST_GRAMS) -> DataFrame:
-    """``keys, pos, words`` and the score of each language, for every non-blank line.
+                max_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``keys, pos, n_words`` and the score of each language, for every non-blank line.
 
-    Lines with too few words are kept with NULL scores, without joining the model.
-    ``keys`` must identify a text. Texts are hashed on them once, before their lines are
-    multiplied into grams; every later step, and any by-text aggregate, stays in place.
+    ``keys`` must identify a text. Lines with fewer than ``min_words`` are kept with NULL
+    scores; none of their words is looked up.
     """
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = texts.select(*keys, "text").repartition(parts, *keys)
-    lines = lines_of(placed, *keys).withColumn("words", X.count_words(F.col("line"), pattern))
-    judged = F.when(F.col("words") >= min_words, grams(F.col("line")))
-    rows = lines.select(*keys, "pos", "words", F.explode_outer(judged).alias("gram"))
-    scored = _with_scores(rows, model, languages, F.xxhash64(*keys, "pos"), max_broadcast)
-    return scored.groupBy(*keys, "pos", "words").agg(*[F.sum(l).alias(l) for l in languages])
+    lines = lines_of(_placed(texts, *keys), *keys).withColumn(
+        "n_words", X.count_words(F.col("line"), pattern))
+    judged = F.when(F.col("n_words") >= min_words, words_of(F.col("line")))
+    return _score(lines.withColumn("words", judged), model, *keys, "pos", "n_words",
+                  max_broadcast=max_broadcast)
 
 
 def top_labels(scores: DataFrame, languages: list[str], *keys: str, k: int = MAX_LABELS
@@ -162,30 +252,27 @@ def keep(target_words: Column, total_words: Column, *, keep_words=KEEP_WORDS,
             .when(target_words >= keep_words, True).otherwise(ratio >= keep_ratio))
 
 
-def keep_decisions(texts: DataFrame, model: DataFrame, languages: list[str], *keys: str,
-                   target: str = TARGET, threshold: float = THRESHOLD, max_labels=MAX_LABELS,
+def keep_decisions(texts: DataFrame, model: LanguageModel, *keys: str, target: str = TARGET,
+                   threshold: float = THRESHOLD, max_labels: int = MAX_LABELS,
                    pattern: str = X.DEFAULT_WORD_PATTERN, min_words: int = MIN_PRED_WORDS,
-                   max_broadcast: int = MAX_BROADCAST_GRAMS, **limits) -> DataFrame:
+                   max_broadcast: int = MAX_BROADCAST_ROWS, **limits) -> DataFrame:
     """``keys, target_words, total_words, keep`` for every text that has a line."""
-    scores = score_lines(texts, model, languages, *keys, pattern=pattern, min_words=min_words,
+    scores = score_lines(texts, model, *keys, pattern=pattern, min_words=min_words,
                          max_broadcast=max_broadcast)
-    is_target = target_probability(languages, target, max_labels) >= threshold
-    hit = is_target & (F.col("words") >= min_words)
+    probability = target_probability(model.languages, target, max_labels)
+    hit = (probability >= threshold) & (F.col("n_words") >= min_words)
     sums = scores.groupBy(*keys).agg(
-        F.sum(F.when(hit, F.col("words")).otherwise(0)).alias("target_words"),
-        F.sum("words").alias("total_words"))
+        F.sum(F.when(hit, F.col("n_words")).otherwise(0)).alias("target_words"),
+        F.sum("n_words").alias("total_words"))
     return sums.withColumn("keep", keep(F.col("target_words"), F.col("total_words"), **limits))
 
 
-def score_documents(texts: DataFrame, model: DataFrame, languages: list[str], *keys: str,
-                    max_broadcast: int = MAX_BROADCAST_GRAMS) -> DataFrame:
+def score_documents(texts: DataFrame, model: LanguageModel, *keys: str,
+                    max_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``keys`` and the score of each language over the whole text."""
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = texts.select(*keys, "text").repartition(parts, *keys)
-    rows = lines_of(placed, *keys).select(
-        *keys, F.explode(grams(F.col("line"))).alias("gram"))
-    scored = _with_scores(rows, model, languages, F.xxhash64(*keys, "gram"), max_broadcast)
-    return scored.groupBy(*keys).agg(*[F.sum(l).alias(l) for l in languages])
+    rows = lines_of(_placed(texts, *keys), *keys).select(
+        *keys, words_of(F.col("line")).alias("words"))
+    return _score(rows, model, *keys, max_broadcast=max_broadcast)
 
 
 def in_language(languages: list[str], target: str,

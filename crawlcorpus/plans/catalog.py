@@ -254,12 +254,9 @@ def distinct_pages(spark, sf):
 
 # --- language --------------------------------------------------------------------------
 
-def _model(spark, sf):
-    """The model and its languages, trained on all labelled documents and stored."""
-    docs = _documents(spark, sf).select("lang", "text")
-    languages = L.labels_of(docs)
-    counts = materialize(L.gram_counts(docs, languages), "gram-counts")
-    return materialize(L.model_from(counts, languages), "model"), languages
+def _model(spark, sf, **options) -> L.LanguageModel:
+    """Trained on all labelled documents."""
+    return L.train(_documents(spark, sf).select("lang", "text"), **options)
 
 
 def line_words(spark, sf):
@@ -271,38 +268,42 @@ def line_words_custom(spark, sf):
 
 
 def lang_model(spark, sf):
-    return _model(spark, sf)[0]
+    return _model(spark, sf).grams
+
+
+def lang_model_words(spark, sf):
+    """Scores of every training word, however rare."""
+    return _model(spark, sf, max_words=1 << 40).words
 
 
 def lang_line_scores(spark, sf):
-    model, languages = _model(spark, sf)
-    scores = L.score_lines(table(spark, sf, "documents"), model, languages, "doc_id")
-    return L.top_labels(scores, languages, "doc_id", k=2)
+    model = _model(spark, sf)
+    scores = L.score_lines(table(spark, sf, "documents"), model, "doc_id")
+    return L.top_labels(scores, model.languages, "doc_id", k=2)
 
 
 def lang_keep(spark, sf):
-    model, languages = _model(spark, sf)
+    model = _model(spark, sf)
     texts = E.language_outcomes(_spread_records(spark, sf)).where("outcome = 'ok'").select(
         *D.ORDER, H.bare_id(H.record_id()).alias("id"), "text")
-    return L.keep_decisions(texts, model, languages, *D.ORDER, "id", target="fr").select(
+    return L.keep_decisions(texts, model, *D.ORDER, "id", target="fr").select(
         "id", "target_words", "total_words", "keep")
 
 
 def lang_keep_documents(spark, sf):
-    model, languages = _model(spark, sf)
-    return L.keep_decisions(table(spark, sf, "documents"), model, languages, "doc_id",
+    return L.keep_decisions(table(spark, sf, "documents"), _model(spark, sf), "doc_id",
                             target="de")
 
 
 def lang_sample(spark, sf):
     """Sampled responses that are likely enough in the target language."""
-    model, languages = _model(spark, sf)
+    model = _model(spark, sf)
     drawn = S.bernoulli(_spread_records(spark, sf).where("rec_type = 'response'"),
                         H.record_id(), SAMPLE_RATIO)
     texts = E.response_outcomes(drawn).where("outcome = 'ok'").select(
         "rec_seq", H.record_id().alias("record_id"), "text")
-    scores = L.score_documents(texts, model, languages, "rec_seq", "record_id")
-    return scores.where(L.in_language(languages, "fr")).select("rec_seq", "record_id")
+    scores = L.score_documents(texts, model, "rec_seq", "record_id")
+    return scores.where(L.in_language(model.languages, "fr")).select("rec_seq", "record_id")
 
 
 # --- main text ---------------------------------------------------------------------------
@@ -363,7 +364,8 @@ QUERIES = {
         common_prefix, common_prefix_dir, normalize_space, normalize_alpha, text_digest,
         convert_documents, convert_random_extractor, extract_documents, hash_records,
         duplicates, drop_duplicates, duplicates_indexed, duplicates_stream, distinct_pages,
-        line_words, line_words_custom, lang_model, lang_line_scores, lang_keep,
+        line_words, line_words_custom, lang_model,
+        lang_model_words, lang_line_scores, lang_keep,
         lang_keep_documents, lang_sample, stop_words, boilerplate_paragraphs, main_text,
         page_links, archive_round_trip, archive_check,
     ]

@@ -187,14 +187,14 @@ def _lines(keys: str, source: str) -> str:
 
 _WORDS = (f"len(list_filter(regexp_extract_all(line, '[{WORD}]+'), "
           f"lambda w: regexp_full_match(w, '[{LETTER}]{{2,}}')))")
-_CHARS = f"regexp_extract_all(' ' || {_letters('lower(line)')} || ' ', '(?s).')"
-_GRAMS = ("list_transform(range(1, len(chars) - 1), "
-          "lambda i: chars[i] || chars[i + 1] || chars[i + 2])")
+_TOKENS = f"regexp_extract_all(lower(line), '[{LETTER}]+')"
+_GRAMS = ("list_transform(range(1, length(word) + 1), "
+          "lambda i: substr(' ' || word || ' ', i, 3))")
 
 
 def _gram_rows(keys: str, lines: str) -> str:
     return f"""select {keys}, unnest({_GRAMS}) as gram
-    from (select {keys}, {_CHARS} as chars from {lines})"""
+    from (select {keys}, unnest({_TOKENS}) as word from {lines})"""
 
 
 _MODEL = f"""train_lines as ({_lines('doc_id, lang', 'documents')}),
@@ -388,6 +388,11 @@ ORACLES = {
     "line_words_custom": f"""select doc_id, pos, len(regexp_extract_all(line, '[a-z]+')) as words
       from ({_lines('doc_id', 'documents')}) where line <> ''""",
     "lang_model": f"with {_MODEL} select * from model",
+    "lang_model_words": f"""with {_MODEL}, vocabulary as (
+        select distinct unnest({_TOKENS}) as word from train_lines),
+      cut as (select word, unnest({_GRAMS}) as gram from vocabulary)
+      select word, {', '.join(f"cast(sum({l}) as bigint) as {l}" for l in LANGUAGES)}
+      from cut join model using (gram) group by word""",
     "lang_line_scores": f"""with {_MODEL}, {_scored('doc_id', 'documents')},
       long as ({' union all '.join(f"select doc_id, pos, '{l}' as lang, {l} as score from scores" for l in LANGUAGES)}),
       ranks as (select *, row_number() over (partition by doc_id, pos order by score desc, lang)

@@ -49,3 +49,4 @@ SPACE_IN_LINE = (r"\x09\x0b-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
                  r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 LETTER = r"\p{L}\p{Nl}\p{No}"
 WORD = r"\p{L}\p{N}_"
+SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
