@@ -21,9 +21,10 @@ INLINE_TAG = (rf"(?i)</?(?:{'|'.join(INLINE_ELEMENTS)})"
               rf"(?:/?>|[\s/]{_REST_OF_TAG})")
 
 
-def element(name: str) -> str:
-    """Pattern for an element with its body; an unclosed one runs to the end."""
-    return rf"(?is)<{name}(?:\s[^>]*)?>.*?(?:</{name}\s*>|\z)"
+def elements(*names: str) -> str:
+    """Pattern for elements with their bodies; an unclosed one runs to the end."""
+    bodies = [rf"{name}(?:\s[^>]*)?>.*?(?:</{name}\s*>|\z)" for name in names]
+    return rf"(?is)<(?:{'|'.join(bodies)})"
 
 
 def replace_all(text: Column, patterns, by: str) -> Column:
@@ -85,17 +86,17 @@ def bound(value: Column, body) -> Column:
 
 def tags_to_text(html: Column) -> Column:
     """Every tag breaks the line; script and style go, noscript stays."""
-    marked = replace_all(html, [element("script"), element("style"), COMMENT, ANY_TAG], "\n")
+    marked = replace_all(html, [elements("script", "style"), COMMENT, ANY_TAG], "\n")
     return normalize_space(unescape(marked))
 
 
 def blocks_to_text(html: Column) -> Column:
     """Only block tags and ``<br>`` break the line; script, style and noscript go."""
-    kept = replace_all(html, [element("script"), element("style"), element("noscript")], "")
+    kept = F.regexp_replace(html, elements("script", "style", "noscript"), "")
     joined = F.regexp_replace(F.regexp_replace(kept, COMMENT, "\n"), INLINE_TAG, "")
     return normalize_space(unescape(F.regexp_replace(joined, ANY_TAG, "\n")))
 
 
 def clean_html(html: Column) -> Column:
     """The markup itself, without script and style."""
-    return replace_all(html, [element("script"), element("style")], "")
+    return F.regexp_replace(html, elements("script", "style"), "")

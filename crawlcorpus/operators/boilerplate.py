@@ -36,8 +36,7 @@ ADDRESS = r"\x0f([^\x12\n]*)\x12"
 def marked_lines(html: Column) -> Column:
     """One line per block of text, with marks for links, headings and form choices."""
     text = F.regexp_replace(html, r"[\x0e-\x12]", " ")
-    text = HT.replace_all(text, [HT.element("script"), HT.element("style"),
-                                 HT.element("noscript")], "")
+    text = F.regexp_replace(text, HT.elements("script", "style", "noscript"), "")
     text = F.regexp_replace(text, HT.COMMENT, "\n")
     text = F.regexp_replace(text, LINK_WITH_ADDRESS, f"{_LINK}$1{_ADDRESS}")
     text = F.regexp_replace(text, OTHER_LINK, f"{_LINK}{_ADDRESS}")

@@ -17,7 +17,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import text as X
-from ..plans.physical import broadcast_if_small, materialize
+from ..plans.physical import broadcast_if_small, materialize, shuffle_partitions
 
 # Parameters of the language selection.
 TARGET = "fi"
@@ -155,8 +155,8 @@ def _placed(texts: DataFrame, *keys: str) -> DataFrame:
     This is the one shuffle of scoring: every later aggregate, by line or by text,
     finds its rows in place, and uneven inputs are evened out.
     """
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return texts.select(*keys, "text").repartition(parts, *keys)
+    narrow = texts.select(*keys, "text")
+    return narrow.repartition(shuffle_partitions(narrow), *keys)
 
 
 def _score(rows: DataFrame, model: LanguageModel, *by: str,

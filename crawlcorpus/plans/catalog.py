@@ -238,7 +238,7 @@ def duplicates_stream(spark, sf):
         F.col("doc_id").alias("id"), "doc_id", X.raw_digest(F.col("text")).alias("digest"))
     stream = DuplicateStream(spark, base, rows.schema, ["doc_id"])
     stream.run(rows)
-    return stream.duplicates()
+    return stream.duplicates().drop("batch")
 
 
 def distinct_pages(spark, sf):

@@ -53,12 +53,25 @@ def spread(df: DataFrame, *key: str) -> DataFrame:
     few large splits, as from one file with a single row group, are redistributed.
     Hashing on a key keeps retried tasks deterministic without sorting whole rows.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism  # ``df`` must be a plain scan
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *key)
 
 
+def shuffle_partitions(df: DataFrame, target_bytes: int = 128 << 20) -> int:
+    """Partitions for an explicit shuffle: as configured, more if the data need more.
+
+    Uses the optimizer's size estimate, which comes from file sizes and runs nothing. A
+    source without statistics reports an absurd size, which is not believed.
+    """
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate > 1 << 55:
+        return configured
+    return max(configured, -(-estimate // target_bytes))
+
+
 def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add costly columns that later filters must not compute a second time.
 

@@ -45,8 +45,9 @@ INLINE_ELEMENTS = [
 # SPACE is what str.split() splits on; LETTER is [^\W\d_]; WORD is \w.
 SPACE = (r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
          r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
-SPACE_IN_LINE = (r"\x09\x0b-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-                 r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+# SPACE_IN_LINE is SPACE without the newline, with the separators as one category: most
+# characters of a text are tested against it, and each range is a test of its own.
+SPACE_IN_LINE = r"\p{Z}\x09\x0b-\x0d\x1c-\x1f\x{85}"
 LETTER = r"\p{L}\p{Nl}\p{No}"
 WORD = r"\p{L}\p{N}_"
 SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())

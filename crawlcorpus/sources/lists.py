@@ -1,5 +1,6 @@
 """Id lists, path lists and folder listings as DataFrames."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions.text import strip_space
@@ -32,6 +33,26 @@ def archive_paths(spark: SparkSession, folder: str, pattern: str = "*.warc.gz")
             .select(F.regexp_replace("path", "^file:(?=/)", "").alias("path"), "length"))
 
 
+def finished_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """``out_path`` of what a folder holds or ``mark_finished`` recorded for it.
+
+    The records matter for inputs of which nothing was kept, so that no file exists.
+    """
+    found = spark.createDataFrame([], "out_path string")
+    for part in (lambda: archive_paths(spark, folder).select(F.col("path").alias("out_path")),
+                 lambda: spark.read.schema("out_path string").parquet(f"{folder}/_finished")):
+        try:
+            found = found.unionByName(part())
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return found
+
+
+def mark_finished(outputs: DataFrame, folder: str) -> None:
+    outputs.select("out_path").write.mode("append").parquet(f"{folder}/_finished")
+
+
 def numbered(paths: DataFrame) -> DataFrame:
     """Add ``file_seq``, the place in path order. One task: a path list, not a crawl."""
     place = F.row_number().over(W.orderBy("path")) - 1

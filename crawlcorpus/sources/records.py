@@ -1,6 +1,5 @@
 """The archive byte format: records out of a stream, and back."""
 
-import gzip
 import io
 import zlib
 
@@ -10,15 +9,49 @@ from pyarrow import fs
 _HTTP_RECORDS = ("response", "request", "revisit")
 
 
+class _GzipMembers(io.RawIOBase):
+    """Concatenated gzip members as one stream.
+
+    What precedes damage is delivered before the damage is raised, so that every whole
+    record of a cut-off archive is read.
+    """
+
+    def __init__(self, stream):
+        self.stream, self.inflate, self.rest = stream, None, b""
+
+    def readable(self):
+        return True
+
+    def readinto(self, buffer):
+        while True:
+            if self.inflate is None:
+                self.rest = self.rest or self.stream.read(1 << 16)
+                if not self.rest:
+                    return 0
+                self.inflate = zlib.decompressobj(31)
+            data = self.rest or self.stream.read(1 << 16)
+            out = self.inflate.decompress(data, len(buffer))
+            if not (data or out or self.inflate.eof):
+                raise EOFError("compressed stream is cut off")
+            self.rest = self.inflate.unconsumed_tail
+            if self.inflate.eof:
+                # zero padding between members is allowed
+                self.rest, self.inflate = self.inflate.unused_data.lstrip(b"\0"), None
+            if out:
+                buffer[:len(out)] = out
+                return len(out)
+
+
 def open_archive(path: str) -> io.BufferedIOBase:
     """A decompressed stream, by suffix, from any file system Arrow knows."""
     filesystem, local = fs.FileSystem.from_uri(path)
     stream = filesystem.open_input_stream(local, compression=None)
     if path.endswith(".gz"):
-        return io.BufferedReader(gzip.GzipFile(fileobj=stream))
+        return io.BufferedReader(_GzipMembers(stream), 1 << 16)
     if path.endswith(".zst"):
         inflate = zstandard.ZstdDecompressor(max_window_size=2**31)
-        return io.BufferedReader(inflate.stream_reader(stream, read_across_frames=True))
+        return io.BufferedReader(inflate.stream_reader(stream, read_across_frames=True),
+                                 1 << 16)
     return io.BufferedReader(stream)
 
 

@@ -5,12 +5,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import headers as H, text as X
 
 
-def documents(outcomes: DataFrame, *, refers_to: bool = False, prefix="commoncrawl:"
-              ) -> DataFrame:
-    """``id, text, meta`` of converted records."""
+def documents(outcomes: DataFrame, *, refers_to: bool = False, prefix="commoncrawl:",
+              carry: list[str] = ()) -> DataFrame:
+    """``id, text, meta`` of converted records, after any columns to ``carry``."""
     id_ = H.prefixed_id(H.bare_id(H.chosen_id(refers_to)), prefix)
     return outcomes.where("outcome = 'ok'").select(
-        id_.alias("id"), X.encodable(F.col("text")).alias("text"),
+        *carry, id_.alias("id"), X.encodable(F.col("text")).alias("text"),
         H.document_meta().alias("meta"))
 
 

@@ -48,18 +48,19 @@ def list_archives(path: str, pattern: str) -> list[tuple[str, int]]:
                   if f.type == fs.FileType.File and fnmatch.fnmatch(f.base_name, pattern))
 
 
-def _flag(options, name: str, default: bool) -> bool:
-    return str(options.get(name, default)).lower() == "true"
+def _lowered(options) -> dict:
+    return {name.lower(): str(value) for name, value in dict(options).items()}
 
 
 class ArchiveScan:
     """Rows of archives under one set of options; runs inside tasks."""
 
     def __init__(self, options):
+        options = _lowered(options)
         self.mode = options.get("mode", "PERMISSIVE").upper()
-        self.keep_raw = _flag(options, "keepRaw", False)
-        self.keep_content = _flag(options, "content", True)
-        types = options.get("recordTypes", "")
+        self.keep_raw = options.get("keepraw", "false").lower() == "true"
+        self.keep_content = options.get("content", "true").lower() == "true"
+        types = options.get("recordtypes", "")
         self.types = {t.strip() for t in types.split(",") if t.strip()}
 
     def rows(self, path: str, seq: int):
@@ -112,14 +113,13 @@ class _Archives(InputPartition):
 
 class WarcReader(DataSourceReader):
     def __init__(self, options):
-        self.options = dict(options)
+        self.options = _lowered(options)
 
     def partitions(self):
         paths = json.loads(self.options["paths"]) if "paths" in self.options else [
             self.options["path"]]
-        pattern = self.options.get("pathglobfilter",
-                                   self.options.get("pathGlobFilter", "*.warc.gz"))
-        limit = int(self.options.get("maxPartitionBytes", 128 << 20))
+        pattern = self.options.get("pathglobfilter", "*.warc.gz")
+        limit = int(self.options.get("maxpartitionbytes", 128 << 20))
         found = [f for path in paths for f in list_archives(path, pattern)]
         groups, room = [], 0
         for seq, (path, size) in enumerate(found):
@@ -141,8 +141,9 @@ class _Written(WriterCommitMessage):
 
 class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options):
+        options = _lowered(options)
         self.path = options["path"].rstrip("/")
-        self.root = options.get("inputRoot")
+        self.root = options.get("inputroot")
         self.job = uuid.uuid4().hex
 
     def _final(self, row_file: str, task: int) -> str:
@@ -224,7 +225,7 @@ def read_listed(manifest: DataFrame, **options) -> DataFrame:
     The paths stay in the table: they are spread over tasks and read where they land,
     so a plan of any length never passes through the driver.
     """
-    scan = ArchiveScan({k: str(v) for k, v in options.items()})
+    scan = ArchiveScan(options)
 
     def read(batches):
         for batch in batches:

@@ -6,6 +6,7 @@ index grows by one Parquet folder per batch. A batch that is retried after a fai
 replaces its own folders and ignores them while reading, so each is counted once.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -34,9 +35,9 @@ class DuplicateStream:
                                       "n bigint, is_new boolean")
 
     def duplicates(self) -> DataFrame:
-        """``id, first_id`` found so far."""
+        """``batch, id, first_id`` found so far."""
         return self._read(self.pairs, f"id {self.id_type}, first_id {self.id_type}"
-                          ).select("id", "first_id")
+                          ).select("batch", "id", "first_id")
 
     def _settle(self, batch: DataFrame, number: int) -> None:
         rows_path, here = f"{self.rows}/batch={number}", f"batch={number}"
@@ -56,6 +57,21 @@ class DuplicateStream:
     def _known_schema(self) -> str:
         return f"digest {self.digest_type}, first_id {self.id_type}"
 
+    def add(self, rows: DataFrame) -> int:
+        """Process a batch table as the next batch; returns its number.
+
+        For runs without a stream. One index is fed either by ``run`` or by ``add``.
+        """
+        try:
+            last = self._index().agg(F.max("batch")).first()[0]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            last = None
+        number = 0 if last is None else last + 1
+        self._settle(rows, number)
+        return number
+
     def run(self, rows: DataFrame) -> None:
         """Process everything that has arrived since the last run, then stop."""
         query = (rows.writeStream.foreachBatch(self._settle)
