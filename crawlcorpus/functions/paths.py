@@ -32,4 +32,4 @@ def with_suffix(path: Column, old: str, new: str) -> Column:
 def output_path(path: Column, prefix: Column, out_dir: str) -> Column:
     """Where a crawl path's output goes: no common prefix, no ``/warc`` directory."""
     below = F.regexp_replace(without_prefix(dirname(path), prefix), "/warc$", "")
-    return F.concat_ws("/", F.lit(out_dir), below, basename(path))
+    return F.concat_ws("/", F.lit(out_dir), F.nullif(below, F.lit("")), basename(path))
