@@ -37,24 +37,10 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, duck, name):
-    found = entry.queries()[name](spark, SF_DIR)
-    wanted = duck.execute(entry.oracle_sql()[name])
-    names = [c[0] for c in wanted.description]
-    wanted = wanted.fetchdf()
-    assert sorted(found.columns) == sorted(names)
-    assert _rows(found.toPandas()) == _rows(wanted)
-
-
-@pytest.mark.parametrize("name", list(entry.queries()))
-def test_types(spark, duck, name):
-    kinds = {r[0]: r[1] for r in duck.execute(
-        f"describe {entry.oracle_sql()[name]}").fetchall()}
-    if name in ("archive_round_trip", "archive_check", "duplicates_stream"):
-        pytest.skip("runs a job of its own: covered by test_query")
-    if name.startswith("lang_") or name in ("boilerplate_paragraphs", "main_text"):
-        pytest.skip("trains first: covered by test_query")
-    for column, kind in entry.queries()[name](spark, SF_DIR).dtypes:
-        assert SPARK_TYPES[kind] == kinds[column], column
+    found, sql = entry.queries()[name](spark, SF_DIR), entry.oracle_sql()[name]
+    kinds = {r[0]: r[1] for r in duck.execute(f"describe {sql}").fetchall()}
+    assert {column: SPARK_TYPES[kind] for column, kind in found.dtypes} == kinds
+    assert _rows(found.toPandas()) == _rows(duck.execute(sql).fetchdf())
 
 
 def test_entry(spark):
