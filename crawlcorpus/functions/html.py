@@ -13,8 +13,9 @@ from ..schema import INLINE_ELEMENTS
 from .text import normalize_space
 
 #: Attributes may hold ``>`` inside quotes. The repeat is bounded because the JVM's
-#: matcher recurses once per repeat.
-_REST_OF_TAG = r"""[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*){0,99}>"""
+#: matcher recurses once per repeat; a tag with more quotes than that, or with one that is
+#: never closed, ends at its first ``>``.
+_REST_OF_TAG = r"""(?:[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*){0,99}>|[^>]*>)"""
 ANY_TAG = rf"</?[a-zA-Z]{_REST_OF_TAG}"
 COMMENT = r"(?s)<!--.*?(?:-->|\z)|<![a-zA-Z\[][^>]*>|<\?[^>]*>"
 INLINE_TAG = (rf"(?i)</?(?:{'|'.join(INLINE_ELEMENTS)})"

@@ -108,7 +108,10 @@ def gram_counts(words: DataFrame, languages: list[str]) -> DataFrame:
 
 
 def gram_scores(counts: DataFrame, languages: list[str]) -> DataFrame:
-    """Add-one smoothed log-probabilities, from a table of ``gram_counts``."""
+    """Add-one smoothed log-probabilities, from ``gram_counts``.
+
+    The totals are a scalar over the same counts, whose one shuffle serves both.
+    """
     totals = counts.agg(F.struct(F.count(F.lit(1)).alias("_size"),
                                  *[F.sum(l).alias(l) for l in languages])).scalar()
 
@@ -138,8 +141,7 @@ def train(labelled: DataFrame, max_words: int = MAX_MODEL_WORDS) -> LanguageMode
     """A model from ``lang, text``, with its tables stored in the shared folder."""
     languages = labels_of(labelled)
     words = materialize(word_counts(labelled, languages), "word-counts")
-    counts = materialize(gram_counts(words, languages), "gram-counts")
-    grams = materialize(gram_scores(counts, languages), "grams")
+    grams = materialize(gram_scores(gram_counts(words, languages), languages), "grams")
     cut = _common(words, languages, max_words).select(
         "word", F.explode(grams_of(F.col("word"))).alias("gram"))
     summed = cut.join(grams, "gram").groupBy("word").agg(
@@ -178,19 +180,25 @@ def _score(rows: DataFrame, model: LanguageModel, *by: str,
     if small:
         rows = rows.join(grams, "gram", "left")
     else:
-        rows = _salted_left_join(rows, grams, *by)
+        rows = _salted_left_join(rows, grams, languages, *by)
     return rows.groupBy(*by).agg(*[F.sum(F.coalesce(f"w_{l}", l)).alias(l)
                                    for l in languages])
 
 
-def _salted_left_join(rows: DataFrame, grams: DataFrame, *by: str) -> DataFrame:
-    """For a gram table beyond broadcast: common grams are on most lines, so each is
-    spread over ``SALTS`` places. Rows without a gram need no match and are spread too."""
+def _salted_left_join(rows: DataFrame, grams: DataFrame, languages: list[str],
+                      *by: str) -> DataFrame:
+    """The join with a gram table beyond broadcast.
+
+    Rows of a line with the same gram, or with none, are merged first; that needs no
+    shuffle. Common grams are on most lines all the same, so each is spread over
+    ``SALTS`` places, and so are the rows without a gram, which match nothing.
+    """
+    merged = rows.groupBy(*by, F.coalesce("gram", F.lit("")).alias("gram")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(f"w_{l}").alias(f"w_{l}") for l in languages])
     salted = grams.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
     salt = F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")
-    key = F.coalesce(F.col("gram"), F.lit(""))
-    return rows.withColumn("_salt", salt).withColumn("gram", key).join(
-        salted, ["gram", "_salt"], "left").drop("_salt")
+    joined = merged.withColumn("_salt", salt).join(salted, ["gram", "_salt"], "left")
+    return joined.withColumns({l: F.col(l) * F.col("_n") for l in languages})
 
 
 def ranked(languages: list[str], k: int) -> Column:

@@ -89,7 +89,7 @@ def _without(text: str, *elements: str, by="''") -> str:
     return text
 
 
-_REST = r"""[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*){0,99}>"""
+_REST = r"""(?:[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*){0,99}>|[^>]*>)"""
 _TAG = "</?[a-zA-Z]" + _REST
 _REMARK = r"(?s)<!--.*?(?:-->|\z)|<![a-zA-Z\[][^>]*>|<\?[^>]*>"
 _INLINE = rf"(?i)</?(?:{'|'.join(INLINE_ELEMENTS)})(?:/?>|[\s/]{_REST})"
