@@ -5,7 +5,7 @@ first (their bodies may hold anything that looks like markup), then comments, th
 tags, and character references last, so that an escaped ``<`` never becomes a tag.
 """
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
@@ -34,50 +34,51 @@ def replace_all(text: Column, patterns, by: str) -> Column:
     return text
 
 
-def _character(code: Column) -> Column:
-    """The character of a code point; U+FFFD for a code point that has none."""
-    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-                  ).otherwise(F.lit("�"))
+# Code points 128 to 159 as old pages mean them.
+LEGACY_LATIN = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
 
+#: A reference; the semicolon may be missing.
+REFERENCE = "&(?:[a-zA-Z][-.a-zA-Z0-9]*|#[0-9]+|#[xX][0-9a-fA-F]+);?"
 
-# Code points 128 to 159 as old pages mean them.
-_LEGACY_LATIN = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
+
+def _character(code: Column) -> Column:
+    """The character of a code point; U+FFFD where there is none, nothing for NUL."""
+    legacy = F.substring(F.lit(LEGACY_LATIN), (code - 127).cast("int"), F.lit(1))
+    return (F.when(code.isNull() | (code > 0x10FFFF), "\ufffd").when(code == 0, "")
+            .when(code.between(0xD800, 0xDFFF), "?").when(code.between(128, 159), legacy)
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
 
 
-def _numeric(code: Column) -> Column:
-    legacy = F.substring(F.lit(_LEGACY_LATIN), (code - 127).cast("int"), F.lit(1))
-    return F.when(code.between(128, 159), legacy).otherwise(_character(code))
+def _named(name: Column) -> Column:
+    """By the standard table, as one literal; an unknown name stays, less its semicolon."""
+    table = "\x1e".join(f"{key[:-1]}\x1f{value}" for key, value in sorted(html5.items())
+                        if key.endswith(";"))
+    names = F.str_to_map(F.lit(table), F.lit("\x1e"), F.lit("\x1f"))
+    return (F.when(name == "amp", "&").when(name == "nbsp", "\xa0").when(name == "quot", '"')
+            .when(name == "lt", "<").when(name == "gt", ">")
+            .otherwise(F.coalesce(F.try_element_at(names, name), F.concat(F.lit("&"), name))))
 
 
 def _decoded(reference: Column) -> Column:
     """One character reference such as ``&copy;``, ``&#169;`` or ``&#xa9;``."""
-    names = F.create_map(*[F.lit(v) for name, code in sorted(name2codepoint.items())
-                           for v in (name, chr(code))])
-    body = F.regexp_replace(reference, "[&;#]", "")
-    code = F.when(body.rlike("^[xX]"), F.conv(F.regexp_replace(body, "^[xX]", ""), 16, 10)
-                  ).otherwise(body).cast("bigint")
-    return F.when(reference.startswith("&#"), bound(code, _numeric)
-                  ).otherwise(F.coalesce(F.try_element_at(names, body), reference))
+    body = F.regexp_replace(reference, "^&#?|;$", "")
+    code = F.when(body.rlike("^[xX]"), F.conv(F.substring(body, 2, 1 << 20), 16, 10)
+                  ).otherwise(body).try_cast("bigint")
+    return F.when(reference.startswith("&#"), bound(code, _character)
+                  ).otherwise(_named(body))
 
 
 def unescape(text: Column) -> Column:
-    """Decode character references.
+    """Decode character references, each once.
 
-    Each *distinct* reference of a text is replaced once; ``&amp;`` goes last, so that
-    what it uncovers is not decoded again. Unknown names stay as they are.
+    The text is cut at its references and joined again with what they stand for.
     """
-    return F.regexp_replace(bound(text, _unescape_ordinary), _AMPERSAND, "&")
-
-
-_REFERENCE = "&(?:[a-zA-Z][a-zA-Z0-9]*|#[0-9]{1,9}|#[xX][0-9a-fA-F]{1,8});"
-_AMPERSAND = "&(?:amp|#0*38|#[xX]0*26);"
-
-
-def _unescape_ordinary(text: Column) -> Column:
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)))
-    ordinary = F.filter(found, lambda r: ~r.rlike(_AMPERSAND))
-    return F.reduce(ordinary, text, lambda t, r: F.replace(t, r, _decoded(r)))
+    def rejoined(t):
+        found = F.regexp_extract_all(t, F.lit(REFERENCE), F.lit(0))
+        decoded = F.concat(F.transform(found, _decoded), F.array(F.lit("")))
+        between = F.split(t, REFERENCE, -1)
+        return F.array_join(F.zip_with(between, decoded, lambda a, b: F.concat(a, b)), "")
+    return bound(text, lambda t: F.when(t.contains("&"), rejoined(t)).otherwise(t))
 
 
 def bound(value: Column, body) -> Column:

@@ -4,12 +4,14 @@ Same result as ``html.blocks_to_text``, from the standard event parser, in Arrow
 batches. Slower by the trip through Python: use it on the pages that need it.
 """
 
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from ..schema import INLINE_ELEMENTS
+from .html import LEGACY_LATIN
 from .text import normalize_space
 
 _INLINE = frozenset(INLINE_ELEMENTS)
@@ -18,7 +20,7 @@ _DROPPED = frozenset(["script", "style", "noscript"])
 
 class _Blocks(HTMLParser):
     def __init__(self):
-        super().__init__(convert_charrefs=True)
+        super().__init__(convert_charrefs=False)
         self.parts, self.dropping = [], 0
 
     def handle_starttag(self, tag, attrs):
@@ -41,6 +43,18 @@ class _Blocks(HTMLParser):
         if not self.dropping:
             self.parts.append(data)
 
+    def handle_entityref(self, name):
+        self.handle_data(html5.get(f"{name};", f"&{name}"))
+
+    def handle_charref(self, name):
+        code = int(name[1:], 16) if name[0] in "xX" else int(name)
+        if 128 <= code <= 159:
+            self.handle_data(LEGACY_LATIN[code - 128])
+        elif code > 0x10FFFF:
+            self.handle_data("\ufffd")
+        elif code:
+            self.handle_data(chr(code))
+
     def handle_comment(self, data):
         self.parts.append("\n")
 

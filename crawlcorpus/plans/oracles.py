@@ -4,7 +4,7 @@ Written from the definitions, not from the Spark expressions: lines are split an
 joined, first records come from windows, forward neighbours from forward frames.
 """
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from ..operators import boilerplate as B, langid as L, sampling as S
 from ..schema import (HTML_LIKE_TYPES, INLINE_ELEMENTS, LETTER, PLAIN_TYPES, SPACE,
@@ -76,11 +76,19 @@ def _letters(text: str) -> str:
     return f"array_to_string(regexp_extract_all({text}, '[{LETTER}]+'), ' ')"
 
 
+_REFERENCE = "&(?:[a-zA-Z][-.a-zA-Z0-9]*|#[0-9]+|#[xX][0-9a-fA-F]+);?"
+_NAMES = "map {" + ", ".join(f"{_s(k[:-1])}: {_s(v)}" for k, v in sorted(html5.items())
+                             if k.endswith(";")) + "}"
+
+
 def _unescaped(text: str) -> str:
-    for name, code in sorted(name2codepoint.items()):
-        if name != "amp":
-            text = f"replace({text}, '&{name};', chr({code}))"
-    return f"replace({text}, '&amp;', '&')"
+    """Named references; the tables hold no numeric ones."""
+    name = "regexp_replace(p[2], '^&|;$', '', 'g')"
+    return (f"(select array_to_string(list_transform(list_zip("
+            f"regexp_split_to_array(u.t, {_s(_REFERENCE)}), "
+            f"regexp_extract_all(u.t, {_s(_REFERENCE)})), lambda p: p[1] || case "
+            f"when p[2] is null then '' else coalesce(names.m[{name}], '&' || {name}) end), '') "
+            f"from (select {text} as t) u, (select {_NAMES} as m) names)")
 
 
 def _without(text: str, *elements: str, by="''") -> str:

@@ -105,8 +105,11 @@ def test_ids(spark):
     ("<body><b>x</b>y<br>z<br/>w", "xy\nz\nw", "x\ny\nz\nw"),
     ("<a title='a>b' href=\"c>d\">t</a>", "t", "t"),
     ("1 < 2 &amp;&amp; 3 > 2", "1 < 2 && 3 > 2", "1 < 2 && 3 > 2"),
-    ("&lt;b&gt; &amp;lt; &#169;&#xA9;&copy; &eacute; &#150; &nosuch; &#0;",
-     "<b> &lt; ©©© é – &nosuch; �", None),
+    ("&lt;b&gt; &amp;lt; &#169;&#xA9;&copy; &eacute; &#150; &#0;&nosuch;",
+     "<b> &lt; ©©© é – &nosuch", None),
+    ("&amp &copy. &copyright &amp;amp &ampere;x &lt", "& &copy. &copyright &amp &amperex <",
+     None), ("&#xD800; &#99999999999999999999; &#x110000;", "? � �", None),
+    ("&hellip;&NotEqualTilde;&x-y;", "…≂̸&x-y", None),
     ("x<script>never closed", "x", "x"), ("x<!-- never closed", "x", "x"),
     ("<SCRIPT type='a'>x</SCRIPT>A<BR>B", "A\nB", "A\nB"),
     ("<p title=\"never closed>t</p><p class='x'>u", "t\nu", "t\nu"),
