@@ -5,7 +5,7 @@
     records.write.format("warc").mode("append").save("dir")
 
 Reading: one task per archive, or per run of small archives up to
-``maxPartitionBytes``. A compressed stream is read front to back with one batch of
+``maxPartitionBytes`` that still leaves ``minPartitions`` tasks. A compressed stream is read front to back with one batch of
 records in memory. Writing: one archive per task, or with ``inputRoot`` one per input
 file at the same relative path; a file appears under its final name only when the job
 commits.
@@ -15,6 +15,7 @@ import fnmatch
 import gzip
 import json
 import os
+import re
 import uuid
 
 import pyarrow as pa
@@ -30,6 +31,8 @@ from .records import open_archive, read_records, write_record
 
 BATCH_ROWS = 256
 BATCH_BYTES = 8 << 20
+OPEN_COST = 4 << 20
+_HIDDEN = re.compile(r"(?:^|/)[_.]")
 
 
 def register(spark: SparkSession) -> None:
@@ -37,7 +40,11 @@ def register(spark: SparkSession) -> None:
 
 
 def list_archives(path: str, pattern: str) -> list[tuple[str, int]]:
-    """``(path, size)`` in path order: the file itself, or matches below the folder."""
+    """``(path, size)`` in path order: the file itself, or matches below the folder.
+
+    As for Spark's own sources, names that begin with ``_`` or ``.`` are not data: they
+    hold the unfinished output of running or failed jobs.
+    """
     filesystem, local = fs.FileSystem.from_uri(path)
     info = filesystem.get_file_info(local)
     prefix = path[:len(path) - len(local)] if path.endswith(local) else ""
@@ -45,7 +52,8 @@ def list_archives(path: str, pattern: str) -> list[tuple[str, int]]:
         return [(path, info.size)]
     found = filesystem.get_file_info(fs.FileSelector(local, recursive=True))
     return sorted((prefix + f.path, f.size) for f in found
-                  if f.type == fs.FileType.File and fnmatch.fnmatch(f.base_name, pattern))
+                  if f.type == fs.FileType.File and fnmatch.fnmatch(f.base_name, pattern)
+                  and not _HIDDEN.search(f.path[len(local):]))
 
 
 def _lowered(options) -> dict:
@@ -119,8 +127,12 @@ class WarcReader(DataSourceReader):
         paths = json.loads(self.options["paths"]) if "paths" in self.options else [
             self.options["path"]]
         pattern = self.options.get("pathglobfilter", "*.warc.gz")
-        limit = int(self.options.get("maxpartitionbytes", 128 << 20))
         found = [f for path in paths for f in list_archives(path, pattern)]
+        # as for Spark's own files: few enough bytes for all cores to have work, but not
+        # a task for every tiny archive
+        share = sum(size for _, size in found) // int(self.options.get("minpartitions", 64))
+        limit = min(int(self.options.get("maxpartitionbytes", 128 << 20)),
+                    max(OPEN_COST, share))
         groups, room = [], 0
         for seq, (path, size) in enumerate(found):
             if not groups or size > room:
@@ -145,6 +157,7 @@ class WarcWriter(DataSourceArrowWriter):
         self.path = options["path"].rstrip("/")
         self.root = options.get("inputroot")
         self.job = uuid.uuid4().hex
+        self.pending = f"{self.path}/_temporary/{self.job}"
 
     def _final(self, row_file: str, task: int) -> str:
         if self.root is None:
@@ -154,7 +167,7 @@ class WarcWriter(DataSourceArrowWriter):
 
     def write(self, iterator):
         context = TaskContext.get()
-        folder = f"{self.path}/_temporary/{self.job}/{context.taskAttemptId()}"
+        folder = f"{self.pending}/{context.taskAttemptId()}"
         filesystem, local = fs.FileSystem.from_uri(folder)
         filesystem.create_dir(local, recursive=True)
         written, streams = {}, {}
@@ -186,13 +199,18 @@ class WarcWriter(DataSourceArrowWriter):
             target = filesystem.normalize_path(fs.FileSystem.from_uri(final)[1])
             filesystem.create_dir(os.path.dirname(target), recursive=True)
             filesystem.move(fs.FileSystem.from_uri(temporary)[1], target)
+        self._discard_pending()
         with filesystem.open_output_stream(f"{local}/_SUCCESS"):
             pass
 
     def abort(self, messages):
-        for temporary, _ in [f for m in messages if m for f in m.files]:
-            filesystem, local = fs.FileSystem.from_uri(temporary)
-            filesystem.delete_file(local)
+        self._discard_pending()
+
+    def _discard_pending(self):
+        """What this job's failed or repeated attempts left behind."""
+        filesystem, local = fs.FileSystem.from_uri(self.pending)
+        if filesystem.get_file_info(local).type == fs.FileType.Directory:
+            filesystem.delete_dir(local)
 
 
 class WarcSource(DataSource):
@@ -215,8 +233,9 @@ class WarcSource(DataSource):
 def read_archives(spark: SparkSession, *paths: str, **options) -> DataFrame:
     """Records of files and folders, in the order given."""
     register(spark)
-    return spark.read.format("warc").option("paths", json.dumps(paths)).options(
-        **options).load()
+    cores = spark.sparkContext.defaultParallelism
+    return (spark.read.format("warc").option("paths", json.dumps(paths))
+            .option("minPartitions", 2 * cores).options(**options).load())
 
 
 def read_listed(manifest: DataFrame, **options) -> DataFrame:

@@ -84,6 +84,8 @@ def test_write_copies_bytes_and_mirrors_the_tree(spark, tmp_path):
     sinks.write_archives(read_archives(spark, root, keepRaw="true"), out, root)
     assert gzip.open(f"{out}/a/y.warc.gz").read() == b"".join(ordinary())
     assert (tmp_path / "out/_SUCCESS").exists()
+    assert not list((tmp_path / "out/_temporary").iterdir())
+    write(tmp_path / "out/_temporary/job/1/0.warc.gz", ordinary())  # of a job that died
     assert read_archives(spark, out).count() == 10
 
 
