@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..plans.tables import table
-from . import fingerprints, minhash, quality
+from . import debruijn, fingerprints, minhash, quality
 
 
 def _documents(spark, sf):
@@ -22,6 +22,10 @@ def op4_quality_rules(spark, sf):
     return quality.judged(_documents(spark, sf))
 
 
+def op9_substring_dedup(spark, sf):
+    return debruijn.repeated_words(_documents(spark, sf))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
 
 #: SQL of those that SQL can express.
