@@ -1,9 +1,12 @@
 """One query per operator, over the whole ``documents`` table, with production parameters."""
 
-from pyspark.sql import functions as F
+import public_tokenizers
 
 from ..plans.tables import table
-from . import debruijn, fingerprints, minhash, quality
+from . import bytepairs, debruijn, fingerprints, minhash, packing, quality, tokens
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _documents(spark, sf):
@@ -22,10 +25,25 @@ def op4_quality_rules(spark, sf):
     return quality.judged(_documents(spark, sf))
 
 
+def op5_best_fit_packing(spark, sf):
+    return packing.packed(_documents(spark, sf), TOKENIZER)
+
+
+def op7_byte_pair_encoding(spark, sf):
+    vocabulary = {"ranks": RANKS, "pattern": public_tokenizers.PATTERN}
+    return bytepairs.digests(bytepairs.encode(_documents(spark, sf), **vocabulary), **vocabulary)
+
+
 def op9_substring_dedup(spark, sf):
     return debruijn.repeated_words(_documents(spark, sf))
 
 
+def op10_token_files(spark, sf):
+    folder = tokens.fresh_folder(spark)
+    tokens.write_token_files(_documents(spark, sf), folder, TOKENIZER)
+    return tokens.checksums(tokens.read_token_files(spark, folder))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
 
 #: SQL of those that SQL can express.

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 #: A cache holds at most so many units; then it starts anew, so its memory is bounded.
-CACHE_UNITS = 300_000
+CACHE_UNITS = 500_000
 
 #: White space (in any reading of the term) beside a space or line break, or a NUL, which
 #: marks a unit that has no space before it.
