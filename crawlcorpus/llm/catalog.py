@@ -1,9 +1,10 @@
 """One query per operator, over the whole ``documents`` table, with production parameters."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from ..plans.tables import table
-from . import bytepairs, debruijn, fingerprints, minhash, packing, quality, tokens
+from . import bytepairs, debruijn, fingerprints, language, minhash, packing, quality, tokens, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -17,6 +18,14 @@ def op1_document_fingerprints(spark, sf):
     return fingerprints.edit_report(_documents(spark, sf))
 
 
+def op2_toxicity(spark, sf):
+    docs = _documents(spark, sf)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    field = toxicity.fit(docs, table(spark, sf, "labels"), learn=~held_out)
+    return toxicity.score(docs, field).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
+
+
 def op3_minhash_near_duplicates(spark, sf):
     return minhash.near_duplicates(_documents(spark, sf), k=3, percent=85)
 
@@ -29,6 +38,13 @@ def op5_best_fit_packing(spark, sf):
     return packing.packed(_documents(spark, sf), TOKENIZER)
 
 
+def op6_language_id(spark, sf):
+    docs = _documents(spark, sf)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    found = language.predict(docs, language.fit(docs, learn=~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_byte_pair_encoding(spark, sf):
     vocabulary = {"ranks": RANKS, "pattern": public_tokenizers.PATTERN}
     return bytepairs.digests(bytepairs.encode(_documents(spark, sf), **vocabulary), **vocabulary)
