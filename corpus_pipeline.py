@@ -6,9 +6,10 @@ result of each is written to the shared folder and read again before the next be
 but the last return the columns of ``documents``.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlcorpus.llm import debruijn, minhash, quality
+from crawlcorpus.llm import debruijn, minhash, packing, quality, toxicity
+from crawlcorpus.llm.catalog import TOKENIZER
 from crawlcorpus.llm.storage import stored
 from crawlcorpus.plans.tables import table
 
@@ -18,10 +19,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.filtered(docs)
 
 
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go whose score is a half or more. All labels of these documents are learned
+    from; the score itself reads only texts."""
+    field = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    # scores and texts stay in one row, so no join is needed to filter
+    return toxicity.filtered(docs, field)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: that of the smallest id."""
-    gone = minhash.near_duplicates(docs, k=5, percent=80).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = minhash.near_duplicates(docs, k=5, percent=80).where("not kept").select(
+        F.col("doc_id").alias("_gone"))
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +39,14 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return debruijn.removed(docs)
 
 
-STAGES = [("quality rules", quality_rules), ("near dedup", near_dedup),
-          ("substring dedup", substring_dedup)]
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes; the digest stands for its ids."""
+    return packing.packed(docs, TOKENIZER)
+
+
+STAGES = [("quality rules", quality_rules), ("toxicity", toxicity_filter),
+          ("near dedup", near_dedup), ("substring dedup", substring_dedup),
+          ("packing", packing_stage)]
 
 #: Graphs, trained models and tokenizers are beyond SQL; tests use brute force instead.
 ORACLE_SQL = None

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..plans.tables import table
-from . import bytepairs, debruijn, fingerprints, language, minhash, packing, quality, tokens, toxicity
+from . import bytepairs, debruijn, fingerprints, language, minhash, packing, quality, sharding, tokens, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -50,6 +50,10 @@ def op7_byte_pair_encoding(spark, sf):
     return bytepairs.digests(bytepairs.encode(_documents(spark, sf), **vocabulary), **vocabulary)
 
 
+def op8_sharding(spark, sf):
+    return sharding.sharded(_documents(spark, sf))
+
+
 def op9_substring_dedup(spark, sf):
     return debruijn.repeated_words(_documents(spark, sf))
 

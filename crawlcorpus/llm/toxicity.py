@@ -309,3 +309,13 @@ def score(docs: DataFrame, field: Field) -> DataFrame:
     found = docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, score double, spans array<struct<start: int, end: int, marginal: double>>")
     return found.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+
+
+def filtered(docs: DataFrame, field: Field, least: float = 0.5) -> DataFrame:
+    """Documents, all columns, whose score is below ``least``."""
+    def run(batches):
+        for batch in batches:
+            keep = [field.score(*field.summary(words(text.as_py()))[:2]) < least
+                    for text in batch.column("text")]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
