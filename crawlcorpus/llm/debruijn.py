@@ -100,20 +100,25 @@ def _scan(batches):
 def _windows(batches):
     """Hashes of the windows in given ranges of each text."""
     for batch in batches:
-        at, anchor, window = [], [], []
+        lo, hi, anchor, window = [], [], [], []
         for part, _, texts in _texts(batch):
             for own, ranges in zip(texts, part.column("ranges")):
                 places = np.concatenate([np.arange(r["lo"], r["hi"]) for r in ranges.as_py()])
-                at.append(places)
-                anchor.append(_anchors(own)[places])
-                window.append(W.grams(own, WINDOW)[places])
-        if at:
-            rows = pa.array(np.repeat(np.arange(len(at)), [len(x) for x in at]))
+                windows = W.grams(own, WINDOW)[places]
+                # a word said over and over makes one window many times: one row for the run
+                first = np.flatnonzero(np.concatenate(
+                    [[True], (windows[1:] != windows[:-1]) | (np.diff(places) != 1)]))
+                lo.append(places[first])
+                hi.append(places[np.append(first[1:], len(places)) - 1] + 1)
+                anchor.append(_anchors(own)[places[first]])
+                window.append(windows[first])
+        if lo:
+            rows = pa.array(np.repeat(np.arange(len(lo)), [len(x) for x in lo]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(rows), batch.column("row").take(rows),
                  pa.array(W.signed(np.concatenate(anchor))), pa.array(W.signed(np.concatenate(window))),
-                 pa.array(np.concatenate(at).astype(np.int32))],
-                names=["id", "row", "anchor", "window", "at"])
+                 *(pa.array(np.concatenate(x).astype(np.int32)) for x in (lo, hi))],
+                names=["id", "row", "anchor", "window", "lo", "hi"])
 
 
 def _kept(n: int, spans: list | None) -> np.ndarray:
@@ -178,24 +183,25 @@ def _spans(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     """``id, row, spans`` (first and behind the last window) of rows with repeated windows,
     but for rows whose whole text is an earlier one's."""
     edges = scanned.where("id = owner").select("id", "row", F.inline("edges"))
-    nodes = edges.groupBy("anchor").agg(
+    # both are stored, so that the joins below read plain shuffles, which can be split
+    nodes, nodes_at = stored(edges.groupBy("anchor").agg(
         F.min("id").alias("first"), F.max("id").alias("last"),
         F.min("edge").alias("e0"), F.max("edge").alias("e1"),
-    ).where("first < last").select("anchor", "first", (F.col("e0") != F.col("e1")).alias("branches"))
+    ).where("first < last").select("anchor", "first", (F.col("e0") != F.col("e1")).alias("branches")),
+                            "nodes")
     graph, graph_at = stored(edges.join(nodes, "anchor").drop("anchor", "edge"), "graph")
     whole = graph.where("not branches and id > first").select("id", "row", "lo", "hi")
     ranges = graph.where("branches").groupBy("id", "row").agg(
         F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     windows, windows_at = stored(
         _keyed(docs).join(ranges, ["id", "row"]).mapInArrow(
-            _windows, "id long, row long, anchor long, window long, at int"), "windows")
-    owners = windows.groupBy("anchor", "window").agg(
-        F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
-    single = windows.join(owners, ["anchor", "window"]).where("id > first").select(
-        "id", "row", F.col("at").alias("lo"), (F.col("at") + 1).alias("hi"))
+            _windows, "id long, row long, anchor long, window long, lo int, hi int"), "windows")
+    owners, owners_at = stored(windows.groupBy("anchor", "window").agg(
+        F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last"), "owners")
+    single = windows.join(owners, ["anchor", "window"]).where("id > first").select("id", "row", "lo", "hi")
     spans, _ = stored(whole.unionByName(single).groupBy("id", "row").agg(
         F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
-    discard(docs.sparkSession, graph_at, windows_at)
+    discard(docs.sparkSession, nodes_at, graph_at, windows_at, owners_at)
     return spans
 
 
