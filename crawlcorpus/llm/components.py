@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .storage import discard, stored
 
+EDGES_PER_FILE = 500_000
+
 
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -24,11 +26,11 @@ def large_star(edges: DataFrame) -> DataFrame:
 
 
 def small_star(edges: DataFrame) -> DataFrame:
-    """A node and its neighbours below it are linked to the least of them."""
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v")))
+    """A node and its neighbours below it are linked to the least of them. Edges point down."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    linked = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
+                     F.struct(F.col("u").alias("u"), F.col("m").alias("v")))
+    return edges.join(least, "u").select(F.inline(linked)).where("u <> v").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -39,13 +41,16 @@ def components(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     now, path = stored(edges.where("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "stars")
+    # a round never has more edges than the first, so files need not be more than these take
+    files = 1 + now.count() // EDGES_PER_FILE
     mark = None
     while True:
-        then, old = stored(small_star(large_star(now)).distinct(), "stars")
+        large, large_at = stored(large_star(now).coalesce(files), "stars")
+        then, old = stored(small_star(large).coalesce(files), "stars")
         # a forest of stars is a fixed point: the same edges, each from a node to its root
         state = then.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")),
                          F.sum(F.xxhash64("v", "u") % 1_000_003)).first()
-        discard(spark, path)
+        discard(spark, path, large_at)
         now, path = then, old
         if state == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))

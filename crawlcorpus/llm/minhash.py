@@ -7,17 +7,23 @@ word sequence where it has fewer. Documents are linked if ``100 * |A & B| >= per
 1. One pass makes signatures: ``HASHES`` universal hash minima, cut into bands of ``ROWS``,
    and a digest of the whole set. Equal sets are one class from here on, represented by the
    smallest id, so a text that is a third of all rows costs one row.
-2. Stars: in each bucket (equal band) every class is paired with the smallest id there.
-   Pairs whose sketches differ too much are dropped, the others verified on whole texts, and
-   components of the verified links found.
-3. Rest: in buckets that still hold several components, and only there, classes of
-   different components are paired, sieved and verified likewise, and components found again.
-   So a link is missed only if no band of its two sets agrees (at most 1e-7 for a link at the
-   threshold) or its sketch errs by more than five standard deviations.
-
-Step 2 makes one pair per class and band, and step 3 none inside a component; no step makes
-all pairs of a bucket. Sides of a join with one hot bucket have one row per bucket on the
-other side (step 2), or are split by adaptive execution.
+2. Stars: in each bucket (equal band) every class is paired with the smallest id there, and of
+   its pairs the one whose sketches agree most is verified on whole texts.
+   Following links to the least neighbour three times labels classes that hang together.
+3. Rest: only in buckets that still hold several labels, and only across labels. In buckets of up to ``SMALL`` classes these are paired, sieved and verified likewise. Classes of
+   larger buckets are dealt into blocks of bounded numbers and sizes, by the largest bucket they
+   are in; two blocks meet if a bucket reaches into both, and one task finds all exact
+   intersections between them with a matrix product over their shingles. It returns one link for
+   each two labels, so no pairs are emitted. Blocks of one large label do not meet.
+4. Components of all links.
+
+So a link is missed only if no band of its two sets agrees (at most 1e-7 for a link at the
+threshold) or, in small buckets, its sketch errs by more than five standard deviations.
+
+Step 2 makes one pair per class and band. Step 3 makes at most ``SMALL`` pairs per class and small
+bucket; in large buckets its work is the number of classes outside the largest label times
+the bucket's size, and what moves is that divided by a block's size. Joins with a hot bucket have
+one row per bucket on the other side.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked
 with nothing. Ids are nodes: rows that repeat an id share its component, and rows that repeat
@@ -41,7 +47,9 @@ _RANDOM = np.random.Generator(np.random.PCG64(7121))
 #: h(x) = the high half of (a * x + b) mod 2**64 for a 32-bit x: a strongly universal family.
 _A = _RANDOM.integers(0, 1 << 64, HASHES, dtype=np.uint64)
 _B = _RANDOM.integers(0, 1 << 64, HASHES, dtype=np.uint64)
-_BLOCK = 2048
+_AT_ONCE = 2048
+#: Largest bucket whose members are paired as rows, and the aims for blocks of larger ones.
+SMALL, BLOCK_CLASSES, BLOCK_SHINGLES = 32, 512, 400_000
 
 SIGNATURES = ("id long, n_shingles long, digest binary, bands array<long>,"
               " s0 long, s1 long, s2 long, s3 long")
@@ -59,8 +67,8 @@ def minima(shingle_set: np.ndarray) -> np.ndarray:
     """The least value of each hash function over a set, as 32-bit numbers."""
     x = shingle_set >> np.uint64(32)
     least = np.full(HASHES, (1 << 64) - 1, np.uint64)
-    for at in range(0, len(x), _BLOCK):
-        np.minimum(least, (x[at:at + _BLOCK, None] * _A + _B).min(axis=0), out=least)
+    for at in range(0, len(x), _AT_ONCE):
+        np.minimum(least, (x[at:at + _AT_ONCE, None] * _A + _B).min(axis=0), out=least)
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
@@ -114,18 +122,19 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(_signatures(k), SIGNATURES)
 
 
-def _verified(k: int, percent: int):
-    def sets(texts):
-        found = W.of(texts)
-        hashes = found.hashes(lower=True)
-        grams = W.grams(hashes, k)
-        return [shingles(found, hashes, i, grams, k) for i in range(len(texts))]
+def _sets(texts: pa.Array, k: int) -> list[np.ndarray]:
+    found = W.of(texts)
+    hashes = found.hashes(lower=True)
+    grams = W.grams(hashes, k)
+    return [shingles(found, hashes, i, grams, k) for i in range(len(texts))]
+
 
+def _verified(k: int, percent: int):
     def run(batches):
         for batch in batches:
             kept = []
             for part in W.sliced(batch, "text_u"):
-                for a, b in zip(sets(part.column("text_u")), sets(part.column("text_v"))):
+                for a, b in zip(_sets(part.column("text_u"), k), _sets(part.column("text_v"), k)):
                     both = len(np.intersect1d(a, b, assume_unique=True))
                     kept.append(100 * both >= percent * (len(a) + len(b) - both) and both > 0)
             yield pa.RecordBatch.from_arrays(
@@ -142,6 +151,94 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     return both.mapInArrow(_verified(k, percent), "u long, v long")
 
 
+def intersections(a: list[np.ndarray], b: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of each set of ``a`` with each of ``b``."""
+    def placed(sets, shared):
+        rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        values = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(shared, values), len(shared) - 1)
+        hit = shared[at] == values
+        order = np.argsort(at[hit], kind="stable")
+        return rows[hit][order], at[hit][order]
+
+    out = np.zeros((len(a), len(b)), np.float32)
+    shared = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    if not len(shared):
+        return out
+    sides = placed(a, shared), placed(b, shared)
+    for lo in range(0, len(shared), width):
+        blocks = []
+        for (rows, at), n in zip(sides, out.shape):
+            cut = slice(*np.searchsorted(at, [lo, lo + width]))
+            block = np.zeros((n, min(width, len(shared) - lo)), np.float32)
+            block[rows[cut], at[cut] - lo] = 1
+            blocks.append(block)
+        out += blocks[0] @ blocks[1].T
+    return out
+
+
+def _met(k: int, percent: int):
+    """Links between two blocks of ``id, component, text``: one for each two components."""
+    def run(batches):
+        for batch in batches:
+            links = {}
+            for i in range(batch.num_rows):
+                sides = [batch.column(c)[i].values for c in ("members_a", "members_b")]
+                sets = [_sets(side.field("text"), k) for side in sides]
+                (ids, own), (others, other) = ([side.field(f).to_numpy() for f in ("id", "component")]
+                                               for side in sides)
+                sizes = [np.array([len(x) for x in s]) for s in sets]
+                both = intersections(*sets)
+                joined = sizes[0][:, None] + sizes[1][None] - both
+                linked = (100 * both >= percent * joined) & (both > 0) & (own[:, None] != other[None])
+                for x, y in np.argwhere(linked).tolist():
+                    links.setdefault(tuple(sorted((own[x], other[y]))), (ids[x], others[y]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([link[j] for link in links.values()], pa.int64()) for j in (0, 1)], names=["u", "v"])
+    return run
+
+
+def _across_blocks(open_: DataFrame, sizes: DataFrame, texts: DataFrame, k: int,
+                   percent: int) -> tuple[DataFrame, list[str]]:
+    """Links across components in large buckets ``bucket, id, component, n``; paths it reads.
+
+    ``sizes`` has ``id, n_shingles``.
+    """
+    placed = open_.groupBy("id").agg(F.max(F.struct("n", "bucket"))["bucket"].alias("family"),
+                                     F.min("component").alias("component")).join(sizes, "id")
+    large = placed.groupBy("family", "component").agg(F.count(F.lit(1)).alias("m")).where(
+        F.col("m") >= BLOCK_CLASSES).drop("m").withColumn("large", F.col("component"))
+    placed = placed.join(large, ["family", "component"], "left")
+    key = ["family", F.coalesce("large", F.lit(0)).alias("part"), F.col("large").isNotNull().alias("whole")]
+    counts = placed.groupBy(*key).agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks"))
+    dealt, dealt_at = stored(placed.select("id", "component", "large", *key).join(
+        counts, ["family", "part", "whole"]).select("id", "component", "large", F.xxhash64(
+            "family", "part", "whole", F.pmod(F.xxhash64("id"), "blocks")).alias("block")), "dealt")
+    reach = open_.select("bucket", "id").join(dealt, "id").select("bucket", "block", "large").distinct()
+    a, b = (reach.select("bucket", F.col("block").alias(f"block_{x}"), F.col("large").alias(f"large_{x}"))
+            for x in "ab")
+    meet = a.join(b, "bucket").where("block_a <= block_b and not coalesce(large_a = large_b, false)")
+    meet = meet.select("block_a", "block_b").distinct()
+    blocks, blocks_at = stored(dealt.join(texts, "id").groupBy("block").agg(
+        F.collect_list(F.struct("id", "component", "text")).alias("members")), "blocks")
+    both = meet.join(blocks.toDF("block_a", "members_a"), "block_a").join(
+        blocks.toDF("block_b", "members_b"), "block_b")
+    # one meeting of two blocks at a time goes to Python
+    return both.select("members_a", "members_b").mapInArrow(
+        _met(k, percent), "u long, v long"), [dealt_at, blocks_at]
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """``id, component``: the least neighbour, twice on. Equal labels are linked, though links
+    may also run between labels; it saves whole components for the end."""
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    step = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("v"))
+    far = step.select(F.col("u").alias("v"), F.col("v").alias("w"))
+    return step.join(far, "v").join(far.toDF("w", "x"), "w").select(
+        F.col("u").alias("id"), F.col("x").alias("component"))
+
+
 def least_agreement(percent: int) -> int:
     """Bits of two sketches that agree at the threshold, less five standard deviations.
 
@@ -153,10 +250,10 @@ def least_agreement(percent: int) -> int:
     return int(HASHES * (1 + j) - 5 * spread)
 
 
-def _alike(a: str, b: str, percent: int):
-    agree = sum((F.bit_count(F.bitwise_not(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))))
-                 for i in range(4)), F.lit(0))
-    return agree >= least_agreement(percent)
+def _agreement(a: str, b: str):
+    """Bits on which two sketches agree."""
+    return sum((F.bit_count(F.bitwise_not(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))))
+                for i in range(4)), F.lit(0))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -167,10 +264,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     named = rows.where("id is not null and digest is not null")
     firsts = named.groupBy("digest").agg(
-        F.min("id").alias("first"), F.count(F.lit(1)).alias("n"),
+        F.min("id").alias("first"), F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("n_shingles"),
         F.max_by(F.struct("bands", "s0", "s1", "s2", "s3"), F.bitwise_not("id")).alias("x"))
     classes, classes_at = stored(firsts.select(
-        F.col("first").alias("id"), "n", "digest", "x.bands", *[f"x.s{i}" for i in range(4)]), "classes")
+        F.col("first").alias("id"), "n", "n_shingles", "digest", "x.bands", *[f"x.s{i}" for i in range(4)]), "classes")
     copies = named.select("digest", "id").join(
         classes.where("n > 1").select("digest", F.col("id").alias("first")), "digest").where(
         "id <> first").select(F.col("id").alias("u"), F.col("first").alias("v"))
@@ -181,30 +278,36 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     members, members_at = stored(placed.join(shared, "bucket"), "buckets")
     sketch = classes.select("id", F.struct("s0", "s1", "s2", "s3").alias("s"))
 
-    def sieved(pairs):
-        u = sketch.select(F.col("id").alias("u"), F.col("s").alias("a"))
-        v = sketch.select(F.col("id").alias("v"), F.col("s").alias("b"))
-        return pairs.join(u, "u").join(v, "v").where(_alike("a", "b", percent)).select("u", "v")
-
+    u, v = (sketch.select(F.col("id").alias(x), F.col("s").alias(s)) for x, s in ("ua", "vb"))
+    enough = least_agreement(percent)
     stars = members.where("id <> lead").select(F.col("id").alias("u"), F.col("lead").alias("v")).distinct()
+    stars = stars.join(u, "u").join(v, "v").withColumn("agree", _agreement("a", "b")).where(
+        F.col("agree") >= enough).groupBy("u").agg(
+        F.max_by("v", F.struct("agree", F.bitwise_not("v"))).alias("v"))
     texts = source.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
     texts, texts_at = stored(texts, "texts")
-    links, links_at = stored(verified(sieved(stars), texts, k, percent), "links")
-    first, first_at = stored(components(links), "components")
+    links, links_at = stored(verified(stars, texts, k, percent), "links")
+    first, first_at = stored(_labels(links), "labels")
 
-    # what is left: buckets that hold classes of more than one component
-    known = members.drop("lead").join(first.withColumnRenamed("node", "id"), "id", "left").select(
+    # what is left: buckets that hold classes of more than one label
+    known = members.drop("lead").join(first, "id", "left").select(
         "bucket", "id", F.coalesce("component", "id").alias("component"))
-    mixed = known.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
-    open_, open_at = stored(known.join(mixed.select("bucket"), "bucket", "left_semi").join(sketch, "id"), "open")
-    a, b = (open_.select("bucket", F.col("id").alias(f"id_{x}"), F.col("component").alias(f"c_{x}"),
-                         F.col("s").alias(x)) for x in "ab")
+    mixed = known.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"),
+                                        F.count(F.lit(1)).alias("n")).where("a < b").select("bucket", "n")
+    open_, open_at = stored(known.join(mixed, "bucket"), "open")
+    few = open_.where(F.col("n") <= SMALL).join(sketch, "id")
+    a, b = (few.select("bucket", F.col("id").alias(f"id_{x}"), F.col("component").alias(f"c_{x}"),
+                       F.col("s").alias(x)) for x in "ab")
     rest = a.join(b, "bucket").where(
-        (F.col("c_a") < F.col("c_b")) & _alike("a", "b", percent)).select(
+        (F.col("c_a") < F.col("c_b")) & (_agreement("a", "b") >= enough)).select(
         F.col("id_a").alias("u"), F.col("id_b").alias("v")).distinct()
     more, more_at = stored(verified(rest, texts, k, percent), "links")
+    met, met_reads = _across_blocks(open_.where(F.col("n") > SMALL), classes.select("id", "n_shingles"),
+                                    texts, k, percent)
+    met, met_at = stored(met, "links")
+    more = more.unionByName(met)
     found, _ = stored(components(links.unionByName(more).unionByName(copies)), "components")
-    discard(spark, classes_at, members_at, texts_at, links_at, first_at, open_at, more_at)
+    discard(spark, classes_at, members_at, texts_at, links_at, first_at, open_at, more_at, met_at, *met_reads)
 
     marked = rows.select("id", "n_shingles").join(found.withColumnRenamed("node", "id"), "id", "left")
     component = F.coalesce("component", "id")

@@ -1,0 +1,123 @@
+"""Near duplicates and components against brute force."""
+
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from conftest import SF_DIR
+from crawlcorpus.llm import components, minhash
+from crawlcorpus.llm.catalog import QUERIES
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def shingles(text, k):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return set()
+    return set(zip(*(words[i:] for i in range(k)))) if len(words) >= k else {tuple(words)}
+
+
+def brute(rows, k, percent):
+    """Ids to (set size, component)."""
+    sets = {i: shingles(t, k) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    holders = defaultdict(set)
+    for i, s in sets.items():
+        for x in s:
+            holders[x].add(i)
+    for i, s in sets.items():
+        for j in set().union(*(holders[x] for x in s)) - {i} if s else ():
+            both = len(s & sets[j])
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def check(found, rows, k, percent):
+    want = brute(rows, k, percent)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+    assert len(found) == len(rows)
+
+
+def test_documents(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet")
+            .select("doc_id", "text").collect()]
+    check(QUERIES["op3_minhash_near_duplicates"](spark, SF_DIR).collect(), rows, 3, 85)
+
+
+def families():
+    """A large family of edited copies at many distances, smaller ones, and exact copies."""
+    draw = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    rows, at = [], 0
+    for size, length in ((260, 150), (40, 60), (5, 30), (3, 400)):
+        base = draw.choices(words, k=length)
+        for _ in range(size):
+            copy = list(base)
+            for _ in range(draw.choice([0, 1, 1, 2, 3, 4, 6])):
+                copy[draw.randrange(length)] = draw.choice(words)
+            rows.append((at * 7 % 1009, " ".join(copy)))
+            at += 1
+    rows += [(2000 + i, rows[3][1]) for i in range(30)]
+    rows += [(3000, None), (3001, ""), (3002, " \n"), (3003, "One two"), (3004, "one TWO"),
+             (3005, "É one"), (3006, "é one"), (3007, "one")]
+    return rows
+
+
+@pytest.mark.parametrize("k,percent,small", [(5, 80, 32), (3, 85, 4)])
+def test_families(spark, monkeypatch, k, percent, small):
+    monkeypatch.setattr(minhash, "SMALL", small)
+    monkeypatch.setattr(minhash, "BLOCK_CLASSES", 24)
+    rows = families()
+    frame = spark.createDataFrame([(i, t, 1, "x", 5) for i, t in rows],
+                                  "doc_id long, text string, id int, digest string, n int")
+    check(minhash.near_duplicates(frame.repartition(6), k, percent).collect(), rows, k, percent)
+
+
+def test_odd_rows(spark):
+    rows = [(None, "some words of a text"), (1, "some words of a text"), (1, "some words of a text"),
+            (2, "some words of a text")]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in found) == [
+        (0, 0, True), (1, 1, True), (1, 1, True), (2, 1, False)]
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert minhash.near_duplicates(empty).count() == 0
+
+
+def test_intersections():
+    draw = np.random.default_rng(4)
+    a, b = ([np.unique(draw.integers(0, 300, draw.integers(1, 80)).astype(np.uint64)) for _ in range(n)]
+            for n in (17, 9))
+    want = [[len(np.intersect1d(x, y)) for y in b] for x in a]
+    assert minhash.intersections(a, b, width=37).tolist() == want
+
+
+def test_components(spark):
+    draw = random.Random(2)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(900, i) for i in range(300, 330)] + [(5, 5), (7, 6)] + [
+        (draw.randrange(400, 500), draw.randrange(400, 500)) for _ in range(60)]
+    root = {}
+
+    def find(i):
+        root.setdefault(i, i)
+        while root[i] != i:
+            i = root[i]
+        return i
+    for u, v in edges:
+        a, b = sorted((find(u), find(v)))
+        root[b] = a
+    found = {r.node: r.component for r in components.components(
+        spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert found == {i: find(i) for i in root if find(i) != i or i in found}
+    assert all(find(i) == i for i in root if i not in found)
