@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..plans.tables import table
 from . import bytepairs, debruijn, fingerprints, language, minhash, packing, quality, sharding, tokens, toxicity
+from .oracles import ORACLES  # noqa: F401  of those that SQL can express
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -65,6 +66,3 @@ def op10_token_files(spark, sf):
 
 
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
-
-#: SQL of those that SQL can express.
-ORACLES: dict[str, str] = {}
