@@ -61,7 +61,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("paths")
     p.add_argument("--ratio", type=float, default=0.1)
     p.add_argument("--base", default="", help="put before each path")
-    p.add_argument("--limit", type=int, default=MF.MAX_INPUTS["sample_crawl"])
+    p.add_argument("--limit", type=int, help="archives of this run; all that are left if absent")
     language(p)
 
     p = command("filter", "records with listed ids into archives")

@@ -12,10 +12,10 @@ from pyspark.sql import Column, functions as F
 from ..schema import INLINE_ELEMENTS
 from .text import normalize_space
 
-#: Attributes may hold ``>`` inside quotes. The repeat is bounded because the JVM's
-#: matcher recurses once per repeat; a tag with more quotes than that, or with one that is
-#: never closed, ends at its first ``>``.
-_REST_OF_TAG = r"""(?:[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*){0,99}>|[^>]*>)"""
+#: Attributes may hold ``>`` inside quotes. The repeat is possessive, which the JVM's matcher
+#: runs as a loop, so a tag may have any number of quotes; one with a quote that is never
+#: closed ends at its first ``>``.
+_REST_OF_TAG = r"""(?:(?:[^>"']++|"[^"]*"|'[^']*')*+>|[^>]*>)"""
 ANY_TAG = rf"</?[a-zA-Z]{_REST_OF_TAG}"
 COMMENT = r"(?s)<!--.*?(?:-->|\z)|<![a-zA-Z\[][^>]*>|<\?[^>]*>"
 INLINE_TAG = (rf"(?i)</?(?:{'|'.join(INLINE_ELEMENTS)})"
@@ -62,7 +62,7 @@ def _named(name: Column) -> Column:
 def _decoded(reference: Column) -> Column:
     """One character reference such as ``&copy;``, ``&#169;`` or ``&#xa9;``."""
     body = F.regexp_replace(reference, "^&#?|;$", "")
-    code = F.when(body.rlike("^[xX]"), F.conv(F.substring(body, 2, 1 << 20), 16, 10)
+    code = F.when(body.rlike("^[xX]"), F.conv(F.substr(body, F.lit(2)), 16, 10)
                   ).otherwise(body).try_cast("bigint")
     return F.when(reference.startswith("&#"), bound(code, _character)
                   ).otherwise(_named(body))

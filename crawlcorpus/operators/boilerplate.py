@@ -23,7 +23,14 @@ MAX_HEADING_DISTANCE = 200
 # end of a link's address.
 _UNLINK, _LINK, _HEADING, _CHOICE, _ADDRESS = "\x0e", "\x0f", "\x10", "\x11", "\x12"
 _REST = HT._REST_OF_TAG
-LINK_WITH_ADDRESS = rf"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'>\s]*)[^>]*>"""
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>]*+)"""
+#: The first attribute that is named ``href``, whatever comes before it; a quoted address
+#: is taken whole. Loops are possessive, so the JVM's matcher does not recurse.
+LINK_WITH_ADDRESS = (
+    r"""(?i)<a(?:[\s/]++(?!href[\s=])[^\s=>/"']++(?:\s*+=\s*+""" + _VALUE
+    + r"""|))*+[\s/]++href\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]*+))""" + _REST)
+#: References that would decode to one of the marks.
+_MARK_REFERENCE = r"(?i)&#(?:0*1[4-8]|x0*(?:e|f|1[0-2]))(?:;|(?![0-9a-f]))"
 OTHER_LINK = rf"(?i)<a(?:/?>|[\s/]{_REST})"
 LINK_END = r"(?i)</a\s*>"
 HEADING = rf"(?i)<h[1-6](?:/?>|[\s/]{_REST})"
@@ -35,10 +42,10 @@ ADDRESS = r"\x0f([^\x12\n]*)\x12"
 
 def marked_lines(html: Column) -> Column:
     """One line per block of text, with marks for links, headings and form choices."""
-    text = F.regexp_replace(html, r"[\x0e-\x12]", " ")
+    text = F.regexp_replace(F.regexp_replace(html, r"[\x0e-\x12]", " "), _MARK_REFERENCE, " ")
     text = F.regexp_replace(text, HT.elements("script", "style", "noscript"), "")
     text = F.regexp_replace(text, HT.COMMENT, "\n")
-    text = F.regexp_replace(text, LINK_WITH_ADDRESS, f"{_LINK}$1{_ADDRESS}")
+    text = F.regexp_replace(text, LINK_WITH_ADDRESS, f"{_LINK}$1$2$3{_ADDRESS}")
     text = F.regexp_replace(text, OTHER_LINK, f"{_LINK}{_ADDRESS}")
     text = F.regexp_replace(text, LINK_END, _UNLINK)
     text = F.regexp_replace(text, HEADING, f"\n{_HEADING}")

@@ -1,13 +1,11 @@
 """Path lists: what to read, what is left to do, where output goes."""
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import paths as P
+from ..plans.physical import with_place
 from .sampling import FIRST_SEED, SEED_STEP
 
-# Inputs per run of each job.
-MAX_INPUTS = {"sample_crawl": 20_000, "sample": 40_000, "filter": 40_000, "extract": 1}
-
 
 def common_prefix(strings: DataFrame, column: str = "value") -> DataFrame:
     """``prefix``: the longest common prefix of all strings, '' if there are none.
@@ -41,18 +39,16 @@ def first_inputs(manifest: DataFrame, limit: int, column: str = "path") -> DataF
 
 def with_seeds(chosen: DataFrame, column: str = "path", first: int = FIRST_SEED,
                step: int = SEED_STEP) -> DataFrame:
-    """A seed per input by its place in path order.
-
-    The window has no partition key, hence one task: give it the inputs of one run, as
-    ``first_inputs`` bounds them.
-    """
-    place = F.row_number().over(W.orderBy(column)).cast("bigint")
-    return chosen.withColumn("seed", F.lit(first) + F.lit(step) * (place - 1))
+    """A seed per input by its place in path order."""
+    seed = F.lit(first) + F.lit(step) * F.col("_place")
+    return with_place(chosen, column, "_place").withColumn("seed", seed).drop("_place")
 
 
-def crawl_plan(manifest: DataFrame, existing: DataFrame, out_dir: str, limit: int,
+def crawl_plan(manifest: DataFrame, existing: DataFrame, out_dir: str,
+               limit: int | None = None,
                prefix: str | Column | None = None) -> DataFrame:
-    """``path, out_path, seed`` of the next run over a crawl's archives.
+    """``path, out_path, seed`` of the next run over a crawl's archives: all that are left,
+    or the first ``limit`` of them.
 
     ``prefix`` is the common directory of all paths; computed here if not given.
     """
@@ -61,7 +57,8 @@ def crawl_plan(manifest: DataFrame, existing: DataFrame, out_dir: str, limit: in
     prefix = F.lit(prefix) if isinstance(prefix, str) else prefix
     planned = manifest.withColumn("out_path", P.output_path(F.col("path"), prefix, out_dir))
     todo = pending(planned, existing)
-    return with_seeds(first_inputs(todo, limit)).select("path", "out_path", "seed")
+    chosen = todo if limit is None else first_inputs(todo, limit)
+    return with_seeds(chosen).select("path", "out_path", "seed")
 
 
 def output_dirs(manifest: DataFrame, root: str) -> DataFrame:

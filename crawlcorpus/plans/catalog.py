@@ -129,8 +129,7 @@ def _existing(spark, sf):
 
 
 def crawl_manifest(spark, sf):
-    return MF.crawl_plan(page_archives(spark, sf), _existing(spark, sf), "sampled",
-                         MF.MAX_INPUTS["sample_crawl"])
+    return MF.crawl_plan(page_archives(spark, sf), _existing(spark, sf), "sampled")
 
 
 def pending_outputs(spark, sf):
@@ -340,7 +339,7 @@ def _archived(spark, sf):
     """The pages written as archives and read again."""
     register(spark)
     folder = fresh_path(spark, "archives")
-    K.write_archives(_spread_records(spark, sf).coalesce(8), folder)
+    K.write_archives(_spread_records(spark, sf), folder)
     return read_archives(spark, folder)
 
 

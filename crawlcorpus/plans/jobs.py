@@ -11,9 +11,10 @@ from ..operators import boilerplate as B, dedup as D, extraction as E, langid as
 from ..operators import manifest as MF, sampling as S, selection as SEL
 from ..schema import RECORD_KEY
 from ..sources import lists, sinks as K
+from ..sources.files import absolute
 from ..sources.warc import read_archives, read_listed, register
 from ..streaming.dedup import DuplicateStream
-from .physical import materialize
+from .physical import fresh_path, materialize
 
 
 def check(spark: SparkSession, inputs: list[str]) -> DataFrame:
@@ -91,40 +92,61 @@ def extract_text(spark: SparkSession, inputs: list[str], output: str, *,
 def sample_responses(spark: SparkSession, ratio: float, inputs: list[str], output: str, *,
                      seed: int | None = None, language: str | None = None,
                      lang_prob: float = L.DOCUMENT_PROB, model: L.LanguageModel | None = None,
-                     input_root: str | None = None) -> None:
-    """A sample of supported responses, as archives; of one language if asked.
+                     input_root: str | None = None) -> dict:
+    """A sample of supported responses, as archives; of one language if asked (``any`` is
+    none in particular). Returns the counters.
 
     Without ``seed`` each input has its own, by its place in path order.
     """
     records = read_archives(spark, *inputs, keepRaw="true", recordTypes="response")
-    _write_sample(records, ratio, output, seed, language, lang_prob, model, input_root)
+    return _write_sample(records, ratio, output, seed, language, lang_prob, model, input_root)
 
 
-def _write_sample(records, ratio, output, seed, language, lang_prob, model, input_root):
+def _write_sample(records, ratio, output, seed, language, lang_prob, model, input_root,
+                  unread=None) -> dict:
     register(records.sparkSession)
     seeds = F.lit(seed) if seed is not None else (
         F.lit(S.FIRST_SEED) + F.lit(S.SEED_STEP) * F.col("file_seq"))
-    wanted = records.where((F.col("rec_type") == "response") & F.col("error").isNull()
-                           & ~F.coalesce(M.is_unsupported(H.mime_type()), F.lit(True)))
-    drawn = S.bernoulli(wanted, H.record_id(), ratio, seeds)
-    if language is not None:
+    outcome = (F.when(F.col("error").isNotNull(), "unreadable")
+               .when(F.coalesce(M.is_unsupported(H.mime_type()), F.lit(True)), "unsupported")
+               .when(~F.coalesce(S.drawn(H.record_id(), ratio, seeds), F.lit(False)), "notsampled")
+               .otherwise("output"))
+    seen = Observation("sample")
+    marked = records.where("error is not null or rec_type = 'response'").withColumn("_outcome", outcome)
+    marked = marked.observe(seen, F.count(F.lit(1)).alias("total"), *[
+        F.count_if(F.col("_outcome") == name).alias(name)
+        for name in ("unreadable", "unsupported", "notsampled", "output")])
+    # what could not be read goes on to the writer, which lists it
+    drawn = marked.where("_outcome in ('unreadable', 'output')").drop("_outcome")
+    counts = {}
+    if language not in (None, "any"):
         # The sample is read twice, once for its text: do not draw it from the crawl again.
         drawn = materialize(drawn, "drawn")
         texts = E.response_outcomes(drawn).where("outcome = 'ok'").select(*RECORD_KEY, "text")
         scores = L.score_documents(texts, model, *RECORD_KEY)
-        chosen = scores.where(L.in_language(model.languages, language, lang_prob))
-        drawn = drawn.join(chosen.select(*RECORD_KEY), RECORD_KEY, "left_semi")
-        input_root = None  # rows of one input are no longer together
-    K.write_archives(drawn, output, input_root)
+        chosen = materialize(scores.where(L.in_language(model.languages, language, lang_prob))
+                             .select(*RECORD_KEY), "chosen")
+        counts["output"] = chosen.count()
+        counts["notlang"] = drawn.where("error is null").count() - counts["output"]
+        kept = drawn.where("error is null").join(chosen, RECORD_KEY, "left_semi")
+        drawn = kept.unionByName(drawn.where("error is not null"))
+        # rows of one input together again, so that the tree can be mirrored
+        drawn = drawn.repartition("file").sortWithinPartitions("file", "rec_seq")
+    K.write_archives(drawn, output, input_root, unread)
+    return seen.get | counts
 
 
 def filter_by_ids(spark: SparkSession, ids: str, inputs: list[str], output: str, *,
-                  refers_to: bool = False, input_root: str | None = None) -> None:
-    """Records whose id a file lists, as archives."""
-    records = read_archives(spark, *inputs, keepRaw="true", content="false")
-    kept = SEL.by_id_list(records.where("error is null"), lists.id_list(spark, ids),
-                          H.chosen_id(refers_to))
-    K.write_archives(kept, output, input_root)
+                  refers_to: bool = False, input_root: str | None = None) -> dict:
+    """Records whose id a file lists, as archives. Returns the counters."""
+    read, kept = Observation("read"), Observation("kept")
+    records = read_archives(spark, *inputs, keepRaw="true", content="false").observe(
+        read, F.count_if(F.col("error").isNull()).alias("total"),
+        F.count_if(F.col("error").isNotNull()).alias("unreadable"))
+    chosen = SEL.by_id_list(records.where("error is null"), lists.id_list(spark, ids),
+                            H.chosen_id(refers_to))
+    K.write_archives(chosen.observe(kept, F.count(F.lit(1)).alias("output")), output, input_root)
+    return read.get | kept.get
 
 
 def find_duplicates(spark: SparkSession, inputs: list[str], base: str) -> DataFrame:
@@ -153,20 +175,23 @@ def select_language(spark: SparkSession, model: L.LanguageModel, inputs: list[st
 def sample_crawl(spark: SparkSession, manifest: DataFrame, ratio: float, out_dir: str, *,
                  base: str = "", language: str | None = None,
                  lang_prob: float = L.DOCUMENT_PROB, model: L.LanguageModel | None = None,
-                 limit: int = MF.MAX_INPUTS["sample_crawl"]) -> DataFrame:
+                 limit: int | None = None) -> DataFrame:
     """Sample the archives of a crawl's path list whose samples do not exist yet.
 
     ``base`` is put before each path to make an address. Returns the plan of this run:
-    ``path, out_path, seed``, one row per archive.
+    ``path, out_path, seed``, one row per archive. An archive that could not be read to its
+    end is not marked as finished, so a later run plans it again.
     """
+    out_dir = absolute(out_dir)
     existing = lists.finished_outputs(spark, out_dir)
     plan = materialize(MF.crawl_plan(manifest, existing, out_dir, limit), "plan")
     place = ((F.col("seed") - S.FIRST_SEED) / S.SEED_STEP).cast("int")
-    todo = plan.select(F.concat(F.lit(base), "path").alias("path"), "out_path",
-                       place.alias("file_seq"))
+    todo = plan.select(F.concat(F.lit(base), "path").alias("path"), place.alias("file_seq"),
+                       F.col("out_path").alias("name"))
     records = read_listed(todo, keepRaw="true", recordTypes="response")
-    named = records.drop("file").join(F.broadcast(todo.select(
-        "file_seq", F.col("out_path").alias("file"))), "file_seq")  # at most ``limit`` rows
-    _write_sample(named, ratio, out_dir, None, language, lang_prob, model, out_dir)
-    lists.mark_finished(plan.select("out_path"), out_dir)
+    unread = fresh_path(spark, "unread")
+    _write_sample(records, ratio, out_dir, None, language, lang_prob, model, out_dir, unread)
+    failed = spark.read.schema("file string, error string").json(unread)
+    done = plan.join(failed.select(F.col("file").alias("out_path")), "out_path", "left_anti")
+    lists.mark_finished(done.select("out_path"), out_dir)
     return plan

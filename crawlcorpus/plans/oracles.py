@@ -97,7 +97,7 @@ def _without(text: str, *elements: str, by="''") -> str:
     return text
 
 
-_REST = r"""(?:[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*){0,99}>|[^>]*>)"""
+_REST = r"""(?:(?:[^>"']|"[^"]*"|'[^']*')*>|[^>]*>)"""
 _TAG = "</?[a-zA-Z]" + _REST
 _REMARK = r"(?s)<!--.*?(?:-->|\z)|<![a-zA-Z\[][^>]*>|<\?[^>]*>"
 _INLINE = rf"(?i)</?(?:{'|'.join(INLINE_ELEMENTS)})(?:/?>|[\s/]{_REST})"
@@ -251,13 +251,25 @@ _STOPS = f"""stops as (select lang, word from (
           from documents) group by lang, word) where r <= {STOP_WORDS})"""
 
 
+#: A link's start up to its first ``href``, skipping over quoted values.
+_ADDRESSED = (r"""(?i)<a(?:[^>"']|"[^"]*"|'[^']*')*?[\s/]href\s*=\s*"""
+              r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]*))""" + _REST)
+
+
+def _named(names: str) -> str:
+    return rf"(?i)<(?:{names})(?:/?>|[\s/]{_REST})"
+
+
 def _marked(html: str) -> str:
-    text = _without(_replace(html, r"[\x0e-\x12]", "' '"), "script", "style", "noscript")
+    text = _replace(_replace(html, r"[\x0e-\x12]", "' '"),
+                    "(?i)&#(?:0*1[4-8];|x0*(?:e|f|1[0-2]);)", "' '")
+    text = _without(text, "script", "style", "noscript")
     for pattern, by in (
             (_REMARK, "chr(10)"),
-            (B.LINK_WITH_ADDRESS, r"chr(15) || '\1' || chr(18)"),
-            (B.OTHER_LINK, "chr(15) || chr(18)"), (B.LINK_END, "chr(14)"),
-            (B.HEADING, "chr(10) || chr(16)"), (B.CHOICE, "chr(10) || chr(17)"),
+            (_ADDRESSED, r"chr(15) || '\1\2\3' || chr(18)"),
+            (_named("a"), "chr(15) || chr(18)"), (r"(?i)</a\s*>", "chr(14)"),
+            (_named("h[1-6]"), "chr(10) || chr(16)"),
+            (_named("select|option"), "chr(10) || chr(17)"),
             (_INLINE, "''"), (_TAG, "chr(10)")):
         text = _replace(text, pattern, by)
     return _normal_space(_unescaped(text))
@@ -347,7 +359,7 @@ ORACLES = {
       case when {_PICK} = 0 then 'blocks' else 'tags' end as extractor from rec""",
     "crawl_manifest": f"""with {_ARCHIVES} select path, out_path,
       {S.FIRST_SEED} + {S.SEED_STEP} * (row_number() over (order by path) - 1) as seed
-      from todo order by path limit 20000""",
+      from todo""",
     "pending_outputs": f"with {_ARCHIVES} select path, out_path from todo",
     "output_dirs": "select distinct (page_id % 100) || '/warc' as rel_dir from pages",
     "output_names": f"""with {_ARCHIVES} select path,

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,12 +37,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_place(df: DataFrame, order: str, place: str) -> DataFrame:
+    """Number the rows from 0 by a column, without bringing them to one task.
+
+    Ranges of the column, as Spark samples them, are stored and numbered each for itself;
+    the counts of the ranges before are added, one row per range.
+    """
+    ranged = materialize(df.repartitionByRange(shuffle_partitions(df), order).withColumn(
+        "_part", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1
+    return ranged.withColumn("_within", within).join(F.broadcast(bases), "_part").withColumn(
+        place, F.col("_base") + F.col("_within")).drop("_part", "_base", "_within")
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     """Mark a side for broadcast once its row count is known to be within bounds.
 
-    The count stops at the bound, so a large side costs no more than a small one.
+    The count is a plain one: each task adds up its own rows, and none move.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
+    small = df.count() <= max_rows
     return (F.broadcast(df) if small else df), small
 
 

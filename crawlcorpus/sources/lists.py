@@ -1,9 +1,10 @@
 """Id lists, path lists and folder listings as DataFrames."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import strip_space
+from ..plans.physical import with_place
 
 
 def id_list(spark: SparkSession, path: str) -> DataFrame:
@@ -54,6 +55,6 @@ def mark_finished(outputs: DataFrame, folder: str) -> None:
 
 
 def numbered(paths: DataFrame) -> DataFrame:
-    """Add ``file_seq``, the place in path order. One task: a path list, not a crawl."""
-    place = F.row_number().over(W.orderBy("path")) - 1
-    return paths.withColumn("file_seq", place.cast("int"))
+    """Add ``file_seq``, the place in path order."""
+    return with_place(paths, "path", "file_seq").withColumn(
+        "file_seq", F.col("file_seq").cast("int"))

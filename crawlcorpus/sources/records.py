@@ -4,7 +4,12 @@ import io
 import zlib
 
 import zstandard
-from pyarrow import fs
+
+from .files import located
+
+#: What reading raises where an archive itself is at fault. Anything else, such as a failure
+#: of the network, is for a retry of the task to cure.
+FORMAT_ERRORS = (ValueError, EOFError, zlib.error, zstandard.ZstdError)
 
 _HTTP_RECORDS = ("response", "request", "revisit")
 
@@ -44,7 +49,7 @@ class _GzipMembers(io.RawIOBase):
 
 def open_archive(path: str) -> io.BufferedIOBase:
     """A decompressed stream, by suffix, from any file system Arrow knows."""
-    filesystem, local = fs.FileSystem.from_uri(path)
+    filesystem, local = located(path)
     stream = filesystem.open_input_stream(local, compression=None)
     if path.endswith(".gz"):
         return io.BufferedReader(_GzipMembers(stream), 1 << 16)
@@ -63,19 +68,26 @@ def _text(line: bytes) -> str:
 
 
 def _read_headers(stream) -> tuple[dict, bytes]:
-    """Headers up to the blank line, names in lower case, and the bytes they came in."""
+    """Headers up to the blank line, names in lower case, and the bytes they came in.
+
+    Of a header that is repeated the first value counts; the bytes keep all.
+    """
     headers, raw, name = {}, [], None
     for line in iter(stream.readline, b""):
         raw.append(line)
         content = _text(line.rstrip(b"\r\n"))
         if not content:
             return headers, b"".join(raw)
-        if content[0] in " \t" and name:
-            headers[name] += " " + content.strip()
+        if content[0] in " \t":
+            if name:
+                headers[name] += " " + content.strip()
         elif ":" in content:
             name, value = content.split(":", 1)
             name = name.strip().lower()
-            headers[name] = value.strip()
+            if name in headers:
+                name = None
+            else:
+                headers[name] = value.strip()
     return headers, b"".join(raw)
 
 

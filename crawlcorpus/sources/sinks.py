@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import headers as H, text as X
+from .files import absolute
 
 
 def documents(outcomes: DataFrame, *, refers_to: bool = False, prefix="commoncrawl:",
@@ -50,9 +51,15 @@ def write_xml(df: DataFrame, path: str) -> None:
     df.write.format("xml").option("rootTag", "corpus").option("rowTag", "doc").save(path)
 
 
-def write_archives(records: DataFrame, path: str, input_root: str | None = None) -> None:
-    """Archives again; with ``input_root``, in a tree that mirrors the inputs."""
+def write_archives(records: DataFrame, path: str, input_root: str | None = None,
+                   unread: str | None = None) -> None:
+    """Archives again; with ``input_root``, in a tree that mirrors the inputs.
+
+    Rows with an ``error`` are no records and are not written; a folder ``unread`` gets a
+    list of them.
+    """
     writer = records.write.format("warc").mode("append")
-    if input_root is not None:
-        writer = writer.option("inputRoot", input_root)
-    writer.save(path)
+    for name, value in (("inputRoot", input_root), ("unreadPath", unread)):
+        if value is not None:
+            writer = writer.option(name, absolute(value))
+    writer.save(absolute(path))

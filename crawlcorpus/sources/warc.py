@@ -17,6 +17,7 @@ import json
 import os
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyarrow import fs
@@ -27,8 +28,10 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..schema import RECORD
-from .records import open_archive, read_records, write_record
+from .files import absolute, located
+from .records import FORMAT_ERRORS, open_archive, read_records, write_record
 
+MOVES_AT_ONCE = 16
 BATCH_ROWS = 256
 BATCH_BYTES = 8 << 20
 OPEN_COST = 4 << 20
@@ -45,9 +48,12 @@ def list_archives(path: str, pattern: str) -> list[tuple[str, int]]:
     As for Spark's own sources, names that begin with ``_`` or ``.`` are not data: they
     hold the unfinished output of running or failed jobs.
     """
-    filesystem, local = fs.FileSystem.from_uri(path)
+    filesystem, local = located(path)
     info = filesystem.get_file_info(local)
+    path = path.rstrip("/")
     prefix = path[:len(path) - len(local)] if path.endswith(local) else ""
+    if info.type == fs.FileType.NotFound:
+        raise FileNotFoundError(path)
     if info.type == fs.FileType.File:
         return [(path, info.size)]
     found = filesystem.get_file_info(fs.FileSelector(local, recursive=True))
@@ -71,31 +77,32 @@ class ArchiveScan:
         types = options.get("recordtypes", "")
         self.types = {t.strip() for t in types.split(",") if t.strip()}
 
-    def rows(self, path: str, seq: int):
-        count = 0
+    def rows(self, path: str, seq: int, name: str | None = None):
+        """Records of an archive; ``name`` stands in ``file`` instead of its path."""
+        count, name = 0, name or path
         try:
             with open_archive(path) as stream:
                 for count, (headers, http, content, raw) in enumerate(read_records(stream), 1):
                     kind = headers.get("warc-type")
                     if self.types and kind not in self.types:
                         continue
-                    yield (path, seq, count, kind, headers, http,
+                    yield (name, seq, count, kind, headers, http,
                            content if self.keep_content else None,
                            raw if self.keep_raw else None, None)
             if not count:
                 raise ValueError("no records")
-        except Exception as e:
-            if self.mode == "FAILFAST":
+        except (*FORMAT_ERRORS, FileNotFoundError) as e:
+            if self.mode == "FAILFAST" or isinstance(e, pa.ArrowException):
                 raise
             if self.mode == "PERMISSIVE":
-                yield (path, seq, count + 1, None, None, None, None, None,
+                yield (name, seq, count + 1, None, None, None, None, None,
                        f"{type(e).__name__}: {e}")
 
     def batches(self, archives):
         schema = to_arrow_schema(RECORD)
         rows, size = [], 0
-        for seq, path in archives:
-            for row in self.rows(path, seq):
+        for archive in archives:
+            for row in self.rows(*archive):
                 rows.append(row)
                 size += len(row[6] or b"") + len(row[7] or b"")
                 if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
@@ -138,7 +145,7 @@ class WarcReader(DataSourceReader):
             if not groups or size > room:
                 groups.append([])
                 room = limit
-            groups[-1].append((seq, path))
+            groups[-1].append((path, seq))
             room -= size
         return [_Archives(g) for g in groups] or [_Archives([])]
 
@@ -147,8 +154,8 @@ class WarcReader(DataSourceReader):
 
 
 class _Written(WriterCommitMessage):
-    def __init__(self, files):
-        self.files = files
+    def __init__(self, files, unread):
+        self.files, self.unread = files, unread
 
 
 class WarcWriter(DataSourceArrowWriter):
@@ -156,6 +163,7 @@ class WarcWriter(DataSourceArrowWriter):
         options = _lowered(options)
         self.path = options["path"].rstrip("/")
         self.root = options.get("inputroot")
+        self.unread = options.get("unreadpath")
         self.job = uuid.uuid4().hex
         self.pending = f"{self.path}/_temporary/{self.job}"
 
@@ -168,47 +176,76 @@ class WarcWriter(DataSourceArrowWriter):
     def write(self, iterator):
         context = TaskContext.get()
         folder = f"{self.pending}/{context.taskAttemptId()}"
-        filesystem, local = fs.FileSystem.from_uri(folder)
+        filesystem, local = located(folder)
         filesystem.create_dir(local, recursive=True)
-        written, streams = {}, {}
+        written, unread, current, stream = {}, [], None, None
         try:
             for batch in iterator:
                 for row in batch.to_pylist():
+                    if row.get("error") is not None:  # no record, but what a reader met
+                        unread.append((row["file"], row["error"]))
+                        continue
                     final = self._final(row["file"], context.partitionId())
-                    if final not in streams:
-                        written[final] = f"{folder}/{len(written)}.warc.gz"
-                        streams[final] = filesystem.open_output_stream(
-                            f"{local}/{len(written) - 1}.warc.gz", compression=None)
-                    raw = row.get("raw") or write_record(
+                    if final != current:
+                        if final in written:
+                            raise ValueError("records of one input are not together: sort "
+                                             "them by file, or leave inputRoot out")
+                        if stream is not None:
+                            stream.close()
+                        written[final] = f"{local}/{len(written)}.warc.gz"
+                        stream = filesystem.open_output_stream(written[final], compression=None)
+                        current = final
+                    raw = row.get("raw")
+                    if raw is None and row["content"] is None:
+                        raise ValueError("rows without payload: read them with content, or "
+                                         "with keepRaw")
+                    raw = raw or write_record(
                         dict(row["headers"]), dict(row["http_headers"] or []), row["content"])
-                    streams[final].write(gzip.compress(raw, 6))
+                    stream.write(gzip.compress(raw, 6))
         finally:
-            for stream in streams.values():
+            if stream is not None:
                 stream.close()
-        return _Written([(temporary, final) for final, temporary in written.items()])
+        return _Written([(temporary, final) for final, temporary in written.items()], unread)
 
     def commit(self, messages):
         files = [f for m in messages if m for f in m.files]
+        unread = [x for m in messages if m for x in m.unread]
+        if self.unread is not None:  # inputs that are to be read again leave no output
+            partial = {self._final(file, 0) for file, _ in unread}
+            files = [f for f in files if f[1] not in partial]
         finals = [final for _, final in files]
         if len(set(finals)) < len(finals):
             raise ValueError("records of one input came from several tasks: write them "
                              "before any shuffle, or leave inputRoot out")
-        filesystem, local = fs.FileSystem.from_uri(self.path)
+        filesystem, local = located(self.path)
         filesystem.create_dir(local, recursive=True)
-        for temporary, final in files:
-            target = filesystem.normalize_path(fs.FileSystem.from_uri(final)[1])
+
+        def move(file):
+            target = located(file[1])[1]
             filesystem.create_dir(os.path.dirname(target), recursive=True)
-            filesystem.move(fs.FileSystem.from_uri(temporary)[1], target)
+            filesystem.move(file[0], target)
+        with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+            list(pool.map(move, files))
+        if self.unread is not None:
+            self._note(unread)
         self._discard_pending()
         with filesystem.open_output_stream(f"{local}/_SUCCESS"):
             pass
 
+    def _note(self, unread):
+        """What could not be read, as JSON lines of ``file, error``."""
+        filesystem, folder = located(self.unread)
+        filesystem.create_dir(folder, recursive=True)
+        with filesystem.open_output_stream(f"{folder}/{self.job}.json") as out:
+            for file, error in unread:
+                out.write(json.dumps({"file": file, "error": error}).encode() + b"\n")
+
     def abort(self, messages):
         self._discard_pending()
 
     def _discard_pending(self):
         """What this job's failed or repeated attempts left behind."""
-        filesystem, local = fs.FileSystem.from_uri(self.pending)
+        filesystem, local = located(self.pending)
         if filesystem.get_file_info(local).type == fs.FileType.Directory:
             filesystem.delete_dir(local)
 
@@ -234,23 +271,24 @@ def read_archives(spark: SparkSession, *paths: str, **options) -> DataFrame:
     """Records of files and folders, in the order given."""
     register(spark)
     cores = spark.sparkContext.defaultParallelism
-    return (spark.read.format("warc").option("paths", json.dumps(paths))
+    return (spark.read.format("warc").option("paths", json.dumps([absolute(p) for p in paths]))
             .option("minPartitions", 2 * cores).options(**options).load())
 
 
 def read_listed(manifest: DataFrame, **options) -> DataFrame:
-    """Records of the archives in a table of ``path, file_seq``.
+    """Records of the archives in a table of ``path, file_seq``, and optionally ``name``,
+    which then stands in ``file``.
 
     The paths stay in the table: they are spread over tasks and read where they land,
     so a plan of any length never passes through the driver.
     """
+    columns = ["path", "file_seq", *({"name"} & set(manifest.columns))]
     scan = ArchiveScan(options)
 
     def read(batches):
         for batch in batches:
-            rows = batch.to_pydict()
-            yield from scan.batches(zip(rows["file_seq"], rows["path"]))
+            yield from scan.batches(zip(*batch.to_pydict().values()))
 
     tasks = int(options.get("tasks", manifest.sparkSession.sparkContext.defaultParallelism))
-    placed = manifest.select("path", "file_seq").repartition(tasks, "path")
+    placed = manifest.select(*columns).repartition(tasks, "path")
     return placed.mapInArrow(read, RECORD)

@@ -27,8 +27,7 @@ class DuplicateStream:
         self.id_type = schema["id"].dataType.simpleString()
 
     def _read(self, path: str, columns: str) -> DataFrame:
-        return self.spark.read.schema(f"{columns}, batch bigint").option(
-            "ignoreMissingFiles", "true").parquet(path)
+        return self.spark.read.schema(f"{columns}, batch bigint").parquet(path)
 
     def _index(self) -> DataFrame:
         return self._read(self.index, f"digest {self.digest_type}, first_id {self.id_type}, "
