@@ -22,6 +22,7 @@ id comes first. Rows that repeat an id are documents of their own, in the order
 their texts. An empty table gives parts without documents. Extra columns are left out.
 """
 
+import json
 import os
 import uuid
 import zlib
@@ -36,22 +37,71 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..plans.physical import fresh_path, shuffle_partitions
 from . import words as W
 from .storage import stored
-from .units import UnitEncoder
+from .units import UnitEncoder, flat
 
 NO_ID = -(1 << 63)
 READ_IDS = 1 << 20
 _ENCODERS: dict[str, UnitEncoder] = {}
 
 
+class _ByteLevel:
+    """Many units by few calls of a byte-level tokenizer.
+
+    Units of printable characters are put together to long strings, which the tokenizer cuts
+    again just there: a unit with a space in front begins with the only token in it that has
+    one, and units without are put on lines of their own, whose breaks are tokens of their own.
+    """
+
+    TOGETHER = 4000
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        vocabulary = tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.line_break = vocabulary["\u010a"]
+
+    def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def _many(self, units: list[str], together, alone) -> tuple[np.ndarray, np.ndarray]:
+        found = []
+        for at in range(0, len(units), self.TOGETHER):
+            part = units[at:at + self.TOGETHER]
+            ids, lengths = together(part) if "".join(part).isprintable() and "" not in part else (None, [])
+            # a unit with other white space in it could be cut elsewhere: then one by one
+            found.append((ids, lengths) if len(lengths) == len(part) else self.each(alone(part)))
+        ids, lengths = zip(*found) if found else ([np.zeros(0, np.int32)], [np.zeros(0, np.int64)])
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def _one(self, text: str) -> np.ndarray:
+        return self.each([text])[0]
+
+    def spaced(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        def together(part):
+            ids = self._one(" " + " ".join(part))
+            return ids, np.diff(np.append(np.flatnonzero(self.begins[ids]), len(ids)))
+        return self._many(units, together, lambda part: [" " + u for u in part])
+
+    def plain(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        def together(part):
+            ids = self._one("\n".join(part))
+            breaks = np.flatnonzero(ids == self.line_break)
+            return np.delete(ids, breaks), np.diff(np.concatenate([[-1], breaks, [len(ids)]])) - 1
+        return self._many(units, together, lambda part: part)
+
+
 def encoder(path: str) -> UnitEncoder:
-    """This process's encoder for a file of the tokenizers library."""
+    """This process's encoder for a byte-level file of the tokenizers library."""
     if path not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
+        if (json.loads(tokenizer.to_str()).get("pre_tokenizer") or {}).get("type") != "ByteLevel":
+            raise ValueError("units are for byte-level tokenizers only")
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _ENCODERS[path] = UnitEncoder(lambda texts: [
-            e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        units = _ByteLevel(tokenizer)
+        _ENCODERS[path] = UnitEncoder(units.each, units.spaced, units.plain)
     return _ENCODERS[path]
 
 

@@ -10,34 +10,71 @@ tokenizer as it is.
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 
-#: A cache holds at most so many units; then it starts anew, so its memory is bounded.
-CACHE_UNITS = 500_000
+#: A cache with so many units starts anew, so its memory is bounded.
+CACHE_UNITS = 800_000
 
 #: White space (in any reading of the term) beside a space or line break, or a NUL, which
 #: marks a unit that has no space before it.
 _UNSURE = re.compile(r"[ \n][\s\x1c-\x1f\x85]|[\s\x1c-\x1f\x85][ \n]|\x00")
+_MARKS = (".", ",")
+_DOUBLES = ("  ", " \n", "\n ", "\n\n")
 
 
 def cut(text: str) -> list[str] | None:
     """Units in order, or None if the text must stay whole. A unit that begins with NUL
     stands as it is; any other has a space before it, which is left out here."""
-    if _UNSURE.search(text):
+    for pair in _DOUBLES:
+        if pair in text:
+            return None
+    # printable text has no white space but the space, nor NUL: the search is for the rest
+    if not text.replace("\n", "").isprintable() and _UNSURE.search(text):
         return None
     return ("\0" + text).replace("\n", " \0\n \0").split(" ")
 
 
+class _Index(dict):
+    """Units to numbers in order of arrival; ``new`` are those that came since last asked."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        number = self[unit] = len(self)
+        self.new.append(unit)
+        return number
+
+
+def flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists one after the other, and their lengths."""
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())), lengths
+
+
+Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
+
+
 class UnitEncoder:
-    """Ids of texts. ``encode`` takes a list of strings and gives a list of id lists."""
+    """Ids of texts.
+
+    ``encode`` takes strings and gives their ids one after the other, and the number of each.
+    ``encode_spaced`` and ``encode_plain`` do so for units, the first of which are given
+    without the space before them; by default they are encoded one by one.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
+    def __init__(self, encode: Encode, encode_spaced: Encode | None = None,
+                 encode_plain: Encode | None = None):
         self.encode = encode
+        self.encode_spaced = encode_spaced or (lambda units: encode([" " + u for u in units]))
+        self.encode_plain = encode_plain or encode
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {"\0": 0}
+        self.index = _Index()
         self.begin, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.flat, self.used = np.zeros(4096, np.int32), 0
 
@@ -47,28 +84,41 @@ class UnitEncoder:
             return a
         return np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)])
 
-    def _add(self, units: list[str]) -> None:
-        ids = self.encode([u[1:] if u[:1] == "\0" else " " + u for u in units])
-        at = len(self.index)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(lengths.sum())
-        self.begin, self.length = self._grown(self.begin, at + len(ids)), self._grown(self.length, at + len(ids))
-        self.flat = self._grown(self.flat, self.used + total)
-        self.length[at:at + len(ids)] = lengths
-        self.begin[at:at + len(ids)] = self.used + np.cumsum(lengths) - lengths
-        self.flat[self.used:self.used + total] = [i for x in ids for i in x]
-        self.used += total
-        self.index.update(zip(units, range(at, at + len(ids))))
-
-    def _numbers(self, units: list[list[str]]) -> list[np.ndarray]:
-        missing = set().union(*units).difference(self.index)
-        if len(missing) + len(self.index) > CACHE_UNITS:
-            self._clear()
-            missing = set().union(*units).difference(self.index)
-        if missing:
-            self._add(list(missing))
-        get = self.index.__getitem__
-        return [np.fromiter(map(get, u), np.int64, len(u)) for u in units]
+    def _stored(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.flat = self._grown(self.flat, self.used + len(ids))
+        self.length[numbers] = lengths
+        self.begin[numbers] = self.used + np.cumsum(lengths) - lengths
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def _learn(self) -> None:
+        """Encode the units that the index has taken up.
+
+        A comma or full stop after a letter begins a new match, so a unit that ends in one
+        is the unit before it and the mark.
+        """
+        index, new = self.index, self.index.new
+        at = len(index) - len(new)
+        marks = {m: index["\0" + m] for m in _MARKS} if new else {}
+        kinds, spaced, plain, parts = bytearray(), [], [], []  # a byte for each new unit
+        for unit in new:  # bases that are new are added to the end of this list
+            if unit[-1:] in marks and unit[-2:-1].isalpha():
+                kinds.append(2)
+                parts += (index[unit[:-1]], marks[unit[-1]])
+            elif unit[:1] == "\0":
+                kinds.append(1)
+                plain.append(unit[1:])
+            else:
+                kinds.append(0)
+                spaced.append(unit)
+        self.begin, self.length = (self._grown(x, len(index)) for x in (self.begin, self.length))
+        kinds = np.frombuffer(kinds, np.uint8)
+        self._stored(at + np.flatnonzero(kinds == 0), *self.encode_spaced(spaced))
+        self._stored(at + np.flatnonzero(kinds == 1), *self.encode_plain(plain))
+        of = np.array(parts, np.int64)
+        self._stored(at + np.flatnonzero(kinds == 2), self._gathered(of),
+                     self.length[of].reshape(-1, 2).sum(axis=1))
+        index.new = []
 
     def _gathered(self, numbers: np.ndarray) -> np.ndarray:
         lengths = self.length[numbers]
@@ -79,12 +129,13 @@ class UnitEncoder:
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, as int32 arrays, in order."""
-        pieces = [cut(t) for t in texts]
-        whole = self.encode([t for t, p in zip(texts, pieces) if p is None])
-        numbers = iter(self._numbers([p for p in pieces if p is not None]))
-        wholes = iter(whole)
-        for p in pieces:
-            yield (np.asarray(next(wholes), np.int32) if p is None
-                   else self._gathered(next(numbers)))
-        if self.used > 8 * CACHE_UNITS or len(self.index) > CACHE_UNITS:
+        if len(self.index) > CACHE_UNITS or self.used > 16 * CACHE_UNITS:
             self._clear()
+        pieces = [cut(t) for t in texts]
+        number = self.index.__getitem__
+        numbers = [None if p is None else np.fromiter(map(number, p), np.int64, len(p)) for p in pieces]
+        self._learn()
+        ids, lengths = self.encode([t for t, p in zip(texts, pieces) if p is None])
+        wholes = iter(np.split(ids, np.cumsum(lengths)[:-1]))
+        for n in numbers:
+            yield next(wholes) if n is None else self._gathered(n)
