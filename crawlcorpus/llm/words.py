@@ -123,10 +123,11 @@ def spans(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def sliced(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each part has about ``SLICE_BYTES`` of text, or one long text."""
+def sliced(batch: pa.RecordBatch, text: str = "text",
+           size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that each part has about ``size`` bytes of text, or one long text."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+    part = np.cumsum(sizes, dtype=np.int64) // size
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for lo, hi in zip(cuts[:-1], cuts[1:]):
         if hi > lo:

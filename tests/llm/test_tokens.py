@@ -68,7 +68,8 @@ def test_long_match(reference, pairs):
 
 def test_cache_starts_anew(monkeypatch, tokenizer):
     monkeypatch.setattr(units, "CACHE_UNITS", 20)
-    encode = units.UnitEncoder(lambda xs: [e.ids for e in tokenizer.encode_batch(xs, add_special_tokens=False)])
+    many = tokens._ByteLevel(tokenizer)
+    encode = units.UnitEncoder(many.each, many.spaced, many.plain)
     for at in range(30):
         texts = [f"word{at} and {i * at} more" for i in range(9)]
         assert [x.tolist() for x in encode(texts)] == [
@@ -186,21 +187,27 @@ def test_plan(counts):
     assert len(used) == len(rooms)
 
 
-def test_queue_order():
-    draw, queue, plain = random.Random(1), bytepairs.RankQueue(50_000), []
+def test_merges_leave_the_queue_empty(pairs, reference):
+    draw = random.Random(1)
+    texts = ["".join(draw.choices("abcdehinorst", k=n)) for n in (1, 2, 3, 10, 64, 100, 3000)]
+    texts += ["a" * n for n in range(1, 40)] + ["abab" * 9, "aab" * 12, "ba" * 20]
+    for text in texts:
+        assert pairs.merged(text.encode()) == reference.encode_ordinary(text)
+    ids, lengths = pairs.merged_together([t.encode() for t in texts])
+    parts = np.split(ids, np.cumsum(lengths)[:-1])
+    assert [p.tolist() for p in parts] == [reference.encode_ordinary(t) for t in texts]
+    assert not pairs.queue.buckets and not pairs.queue.upper and not any(pairs.queue.lower)
+
+
+def test_queue_gives_the_least_rank():
+    draw, queue = random.Random(1), bytepairs.RankQueue(50_000)
     for _ in range(3000):
-        if plain and draw.random() < 0.45:
-            least = min(plain)
-            plain.remove(least)
-            assert queue.pop() == least
+        if queue.buckets and draw.random() < 0.45:
+            assert queue.least() == min(queue.buckets)
+            queue.drop(queue.least())
         else:
-            item = (draw.randrange(50_000) // draw.choice([1, 500, 5000]), draw.randrange(1000))
-            plain.append(item)
-            queue.push(*item)
-    while plain:
-        plain.remove(least := min(plain))
-        assert queue.pop() == least
-    assert queue.pop() is None
+            queue.bucket(draw.randrange(50_000) // draw.choice([1, 500, 5000]))
+    assert queue.least() == min(queue.buckets, default=None)
 
 
 def test_empty_files(spark):
