@@ -10,8 +10,9 @@ multiplied into grams. The gram table depends on the writing systems and not on
 corpus, the word table is bounded in training; both are broadcast after a check.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -29,8 +30,8 @@ MIN_PRED_WORDS = 1
 THRESHOLD = 0.999
 DOCUMENT_PROB = 0.1
 
-#: A model row is a short string and one long per language: 200 bytes with 20 languages.
-MAX_BROADCAST_ROWS = 1_000_000
+#: A model row is a short string and one long per language; so many bytes may be broadcast.
+MAX_BROADCAST_BYTES = 256 << 20
 MAX_MODEL_WORDS = 200_000
 SCALE = 1000
 SALTS = 64
@@ -76,10 +77,16 @@ def labels_of(labelled: DataFrame) -> list[str]:
 
 @dataclass(frozen=True)
 class LanguageModel:
+    """``words`` are only made when something asks for them, as scoring does."""
+
     grams: DataFrame
-    words: DataFrame
+    make_words: Callable[[], DataFrame]
     languages: list[str]
 
+    @cached_property
+    def words(self) -> DataFrame:
+        return self.make_words()
+
     def save(self, path: str) -> None:
         self.grams.write.parquet(f"{path}/grams")
         self.words.write.parquet(f"{path}/words")
@@ -87,7 +94,7 @@ class LanguageModel:
     @staticmethod
     def load(spark: SparkSession, path: str) -> "LanguageModel":
         grams, words = (spark.read.parquet(f"{path}/{part}") for part in ("grams", "words"))
-        return LanguageModel(grams, words, sorted(set(grams.columns) - {"gram"}))
+        return LanguageModel(grams, lambda: words, sorted(set(grams.columns) - {"gram"}))
 
 
 def word_counts(labelled: DataFrame, languages: list[str]) -> DataFrame:
@@ -142,11 +149,13 @@ def train(labelled: DataFrame, max_words: int = MAX_MODEL_WORDS) -> LanguageMode
     languages = labels_of(labelled)
     words = materialize(word_counts(labelled, languages), "word-counts")
     grams = materialize(gram_scores(gram_counts(words, languages), languages), "grams")
-    cut = _common(words, languages, max_words).select(
-        "word", F.explode(grams_of(F.col("word"))).alias("gram"))
-    summed = cut.join(grams, "gram").groupBy("word").agg(
-        *[F.sum(l).alias(l) for l in languages])
-    return LanguageModel(grams, materialize(summed, "words"), languages)
+
+    def make_words():
+        cut = _common(words, languages, max_words).select(
+            "word", F.explode(grams_of(F.col("word"))).alias("gram"))
+        return materialize(cut.join(grams, "gram").groupBy("word").agg(
+            *[F.sum(l).alias(l) for l in languages]), "words")
+    return LanguageModel(grams, make_words, languages)
 
 
 # --- scoring -------------------------------------------------------------------------
@@ -162,9 +171,11 @@ def _placed(texts: DataFrame, *keys: str) -> DataFrame:
 
 
 def _score(rows: DataFrame, model: LanguageModel, *by: str,
-           max_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast: int | None = None) -> DataFrame:
     """Sum of scores by ``by`` over rows with an array ``words``; NULL if none is known."""
     languages = model.languages
+    if max_broadcast is None:
+        max_broadcast = MAX_BROADCAST_BYTES // (64 + 8 * len(languages))
     rows = rows.select(*by, F.explode_outer("words").alias("word"))
     common, small = broadcast_if_small(
         model.words.select("word", *[F.col(l).alias(f"w_{l}") for l in languages]),
@@ -230,7 +241,7 @@ def target_probability(languages: list[str], target: str, k: int = MAX_LABELS) -
 
 def score_lines(texts: DataFrame, model: LanguageModel, *keys: str,
                 pattern: str = X.DEFAULT_WORD_PATTERN, min_words: int = MIN_PRED_WORDS,
-                max_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast: int | None = None) -> DataFrame:
     """``keys, pos, n_words`` and the score of each language, for every non-blank line.
 
     ``keys`` must identify a text. Lines with fewer than ``min_words`` are kept with NULL
@@ -263,7 +274,7 @@ def keep(target_words: Column, total_words: Column, *, keep_words=KEEP_WORDS,
 def keep_decisions(texts: DataFrame, model: LanguageModel, *keys: str, target: str = TARGET,
                    threshold: float = THRESHOLD, max_labels: int = MAX_LABELS,
                    pattern: str = X.DEFAULT_WORD_PATTERN, min_words: int = MIN_PRED_WORDS,
-                   max_broadcast: int = MAX_BROADCAST_ROWS, **limits) -> DataFrame:
+                   max_broadcast: int | None = None, **limits) -> DataFrame:
     """``keys, target_words, total_words, keep`` for every text that has a line."""
     scores = score_lines(texts, model, *keys, pattern=pattern, min_words=min_words,
                          max_broadcast=max_broadcast)
@@ -276,7 +287,7 @@ def keep_decisions(texts: DataFrame, model: LanguageModel, *keys: str, target: s
 
 
 def score_documents(texts: DataFrame, model: LanguageModel, *keys: str,
-                    max_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast: int | None = None) -> DataFrame:
     """``keys`` and the score of each language over the whole text."""
     rows = lines_of(_placed(texts, *keys), *keys).select(
         *keys, words_of(F.col("line")).alias("words"))

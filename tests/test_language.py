@@ -80,7 +80,7 @@ def test_tabulated_words_do_not_change_scores(spark, texts, model, limit):
     assert a == b
 
 
-@pytest.mark.parametrize("max_broadcast", [L.MAX_BROADCAST_ROWS, 0])
+@pytest.mark.parametrize("max_broadcast", [None, 0])
 def test_line_scores(texts, model, max_broadcast):
     """Also without any broadcast: the salted join gives the same."""
     grams_, lines = brute_model(), {}
