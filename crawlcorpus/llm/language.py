@@ -101,14 +101,13 @@ def phrases(model: tuple[np.ndarray, np.ndarray], pieces: np.ndarray, lengths: n
         known = symbol >= 0
         step = flat[np.where(known, state[:n] * width + symbol, -1)]
         broken = step < 0
+        count[:n] += broken | (state[:n] == 0)  # a phrase begins here
         if broken.any():
             again = np.flatnonzero(broken)
-            count[again] += 1
             s = symbol[again]
             step[again] = np.where(s >= 0, flat[np.where(s >= 0, s, -1)], 0)
         state[:n] = step
-    # an open phrase at the end counts; a phrase opened at the start was not counted yet
-    return count + (lengths > 0)
+    return count
 
 
 def sample(docs: DataFrame, learn: Column) -> DataFrame:

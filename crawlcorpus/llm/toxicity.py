@@ -152,21 +152,19 @@ class Field:
         return out
 
     @cached_property
-    def plain(self) -> tuple[list[float], float, float]:
-        """Sums of marginals of chains without lexicon words by length, the marginal in the
-        middle of a long one, and the largest at an end."""
-        long = self.marginals([0] * 2 * _EDGE)
-        return [sum(self.marginals([0] * n)) for n in range(2 * _EDGE)], long[_EDGE], max(long)
+    def plain(self) -> tuple[list[float], list[float], float]:
+        """Sums and maxima of the marginals of chains without lexicon words by length, and
+        the marginal in the middle of a long one."""
+        chains = [self.marginals([0] * n) for n in range(2 * _EDGE + 1)]
+        return list(map(sum, chains)), [max(c, default=0.0) for c in chains], chains[-1][_EDGE]
 
     def summary(self, found: list[str]) -> tuple[float, float, list[float] | None]:
         """Sum and maximum of the marginals, and all of them if a word is in the lexicon."""
         chain = list(map(self.number.__getitem__, found))
         if not any(chain):
-            sums, middle, top = self.plain
-            n = len(found)
-            if n < len(sums):
-                return sums[n], top if n else 0.0, None
-            return sums[-1] + (n - len(sums) + 1) * middle, top, None
+            sums, tops, middle = self.plain
+            n = min(len(found), 2 * _EDGE)
+            return sums[n] + (len(found) - n) * middle, tops[n], None
         each = self.marginals(chain)
         return sum(each), max(each), each
 
@@ -244,7 +242,7 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
     rank = F.xxhash64("doc_id", F.lit("toxicity sample"))
     ids = labels.where(learn).groupBy("toxic", F.pmod(rank, F.lit(SAMPLES)).alias("bucket")).agg(
         F.min_by("doc_id", rank).alias("doc_id")).select("doc_id", "toxic")
-    return docs.select("doc_id", "text").where(F.length("text") <= SAMPLE_CHARS).join(
+    return docs.select("doc_id", "text").where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).join(
         F.broadcast(ids), "doc_id").select("toxic", "doc_id", "text")
 
 

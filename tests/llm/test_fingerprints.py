@@ -52,7 +52,8 @@ def test_documents(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
     found = QUERIES["op1_document_fingerprints"](spark, SF_DIR).collect()
     check(found, rows)
-    assert sum(r.near_edited > r.near_next for r in found) > 0.97 * len(found)
+    texts = dict(rows)  # a text of one leaf has nothing to grade
+    assert all(r.near_edited > r.near_next for r in found if len(texts[r.doc_id].split()) >= 24)
 
 
 def test_odd_rows(spark):
