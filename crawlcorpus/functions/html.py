@@ -10,7 +10,7 @@ from html.entities import html5
 from pyspark.sql import Column, functions as F
 
 from ..schema import INLINE_ELEMENTS
-from .text import normalize_space
+from .text import LEGACY_LATIN, normalize_space
 
 #: Attributes may hold ``>`` inside quotes. The repeat is possessive, which the JVM's matcher
 #: runs as a loop, so a tag may have any number of quotes; one with a quote that is never
@@ -34,9 +34,6 @@ def replace_all(text: Column, patterns, by: str) -> Column:
     return text
 
 
-# Code points 128 to 159 as old pages mean them.
-LEGACY_LATIN = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
-
 #: A reference; the semicolon may be missing.
 REFERENCE = "&(?:[a-zA-Z][-.a-zA-Z0-9]*|#[0-9]+|#[xX][0-9a-fA-F]+);?"
 

@@ -14,9 +14,15 @@ def utf8_text(content: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text)
 
 
+# Code points 128 to 159 as old pages mean them.
+LEGACY_LATIN = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
+_CONTROLS = "".join(map(chr, range(128, 160)))
+
+
 def html_source(content: Column) -> Column:
-    """Bytes as markup: UTF-8 if valid, else Latin-1, in which every byte is a character."""
-    return F.coalesce(utf8_text(content), F.decode(content, "ISO-8859-1"))
+    """Bytes as markup: UTF-8 if valid, else windows-1252, in which every byte is a character."""
+    latin = F.translate(F.decode(content, "ISO-8859-1"), _CONTROLS, LEGACY_LATIN)
+    return F.coalesce(utf8_text(content), latin)
 
 
 def encodable(text: Column) -> Column:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from archives import ordinary, write
-from crawlcorpus.functions import html as HT
+from crawlcorpus.functions import html as HT, text as X
 from crawlcorpus.operators import boilerplate as B, manifest as MF, selection as SEL
 from crawlcorpus.plans import jobs
 from crawlcorpus.plans.physical import with_place
@@ -130,3 +130,9 @@ def test_the_first_of_repeated_headers_counts(tmp_path):
 
 def test_finished_outputs_of_a_new_folder(spark, tmp_path):
     assert lists.finished_outputs(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_bytes_that_are_not_utf8_are_windows_1252(spark):
+    page = "<p>“Größe” – 5 €</p>".encode("cp1252")
+    frame = spark.createDataFrame([(bytearray(page),)], "content binary")
+    assert frame.select(X.html_source(F.col("content"))).first()[0] == "<p>“Größe” – 5 €</p>"
