@@ -84,8 +84,15 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Slot]:
     return slots
 
 
-def _pieces(path: str, end_id: int, capacity: int, with_ids: bool):
+def _pieces(path: str, end_id: int, capacity: int, with_ids: bool, keep_cache: bool):
     def run(batches):
+        try:
+            yield from cut(batches)
+        finally:
+            if not keep_cache:
+                T.forget()
+
+    def cut(batches):
         for batch in batches:
             for rows, ids in T.encoded(batch, path, end_id):
                 of, piece, starts, cut = [], [], [], []
@@ -107,10 +114,14 @@ def _pieces(path: str, end_id: int, capacity: int, with_ids: bool):
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY,
-           with_ids: bool = False) -> DataFrame:
-    """``doc_id, text`` to one row for each piece, with its ids if asked for."""
+           with_ids: bool = False, keep_cache: bool = True) -> DataFrame:
+    """``doc_id, text`` to one row for each piece, with its ids if asked for.
+
+    Python workers keep their cache of encoded units for the next task, which is faster; a
+    job with other stages to come may want the memory back instead.
+    """
     return docs.select("doc_id", "text").mapInArrow(
-        _pieces(tokenizer, end_id, capacity, with_ids),
+        _pieces(tokenizer, end_id, capacity, with_ids, keep_cache),
         PIECES + ", ids array<int>" * with_ids)
 
 
@@ -128,10 +139,10 @@ def with_rank(rows: DataFrame) -> DataFrame:
 
 
 def packed(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY,
-           with_ids: bool = False) -> DataFrame:
+           with_ids: bool = False, keep_cache: bool = True) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``; every piece has a place of its own."""
     spark = docs.sparkSession
-    rows, _ = stored(pieces(docs, tokenizer, end_id, capacity, with_ids), "pieces")
+    rows, _ = stored(pieces(docs, tokenizer, end_id, capacity, with_ids, keep_cache), "pieces")
     counts = {r.length: r["n"] for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots = spark.createDataFrame(
         [(s.length, s.rank, s.rank + s.count, s.each, s.sequence, s.offset)

@@ -105,6 +105,12 @@ def encoder(path: str) -> UnitEncoder:
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Give the memory of this process's encoders back. They are made anew when needed."""
+    _ENCODERS.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def vocabulary_size(path: str) -> int:
     from tokenizers import Tokenizer
     return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
