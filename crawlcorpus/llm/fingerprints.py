@@ -106,7 +106,7 @@ def predecessors(keys: DataFrame) -> DataFrame:
 def with_next(docs: DataFrame) -> DataFrame:
     """Each document beside the tree leaves of the next and that one's first characters.
 
-    ``doc_id, text`` to ``doc_id, key, text, next_key, head, next_sha256, next_leaves``; ``head`` has half
+    ``doc_id, text`` to ``doc_id, key, text, next_id, head, next_sha256, next_leaves``; ``head`` has half
     the length of ``text``, or the whole next text. Texts move once, heads and leaves once.
     """
     text = F.coalesce("text", F.lit(""))
@@ -114,13 +114,13 @@ def with_next(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(":"), "text")))
     chain = predecessors(named.select("doc_id", "key", F.floor(F.length("text") / 2)
                                       .cast("int").alias("half")).distinct())
-    copy = F.row_number().over(Window.partitionBy("key").orderBy("key"))
-    keyed = named.withColumn("copy", copy)
-    givers = keyed.where("copy = 1").join(chain, "key").select(
-        F.col("prev_key").alias("key"), F.col("key").alias("next_key"),
+    # both uses below read the same columns, so that Spark shuffles the texts once for both
+    first = F.lag("key").over(Window.partitionBy("key").orderBy("key")).isNull()
+    givers = named.withColumn("first", first).where("first").join(chain, "key").select(
+        F.col("prev_key").alias("key"), F.col("doc_id").alias("next_id"),
         F.expr("substring(text, 1, prev_half)").alias("head"),
         F.sha2("text", 256).alias("next_sha256"), leaves(F.col("text")).alias("next_leaves"))
-    return keyed.join(givers, "key").drop("copy")
+    return named.join(givers, "key")
 
 
 def edit_report(docs: DataFrame) -> DataFrame:
@@ -133,7 +133,7 @@ def edit_report(docs: DataFrame) -> DataFrame:
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), "head")
     pairs = with_next(docs).withColumn("edited", edited)
     found = pairs.select(
-        "doc_id", "text", "edited", "next_sha256", "next_leaves", F.inline(F.array(F.struct(
+        "doc_id", "text", "edited", "next_id", "next_sha256", "next_leaves", F.inline(F.array(F.struct(
             tree(F.col("text")).alias("tree"), leaves(F.col("text")).alias("leaves"),
             tree(F.col("edited")).alias("edited_tree"),
             leaves(F.col("edited")).alias("edited_leaves")))))
@@ -146,4 +146,4 @@ def edit_report(docs: DataFrame) -> DataFrame:
         F.col("edited_tree.root").alias("edited_fingerprint"),
         likeness(F.col("leaves"), F.col("edited_leaves"), same_edit).alias("near_edited"),
         likeness(F.col("leaves"), F.col("next_leaves"), same_next).alias("near_next"),
-        F.size(changes(F.col("tree"), F.col("edited_tree"))["sections"]).alias("n_sections_changed"))
+        F.size(changes(F.col("tree"), F.col("edited_tree"))["sections"]).alias("n_sections_changed"), "next_id")
