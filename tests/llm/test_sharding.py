@@ -65,3 +65,32 @@ def test_quotas():
         flow = sharding.allowed(wanted, load, size) * wanted
         after = load + flow.sum(axis=0) - flow.sum(axis=1)
         assert (after <= np.maximum(size, load) + 1e-6).all() and (flow <= wanted + 1e-9).all()
+
+
+def test_groups_that_fit_are_whole(spark):
+    """Groups of up to a shard's size (500) are in one shard, a larger one in as few as hold it."""
+    sizes = {"all of one": 500, "most of one": 450, "half": 250, "a third": 170, "few": 40, "more than two": 1100}
+    texts = [t for t, n in sizes.items() for _ in range(n)] + [f"pair {i // 2}" for i in range(600)]
+    rows = list(enumerate(texts + [f"single {i}" for i in range(4000 - len(texts))]))
+    found = sharding.sharded(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    check(found, rows)
+    held, names = defaultdict(Counter), dict(rows)
+    for r in found:
+        held[names[r.doc_id]][r.shard] += 1
+    assert {t: len(held[t]) for t in sizes} == {t: -(-n // 500) for t, n in sizes.items()}
+
+
+def test_plan():
+    draw = np.random.default_rng(2)
+    for _ in range(50):
+        size = np.array([101, 101, 100, 100])
+        groups = {f"g{i}": int(n) for i, n in enumerate(draw.integers(2, 130, 3))}
+        parts, room = sharding.plan(groups, size)
+        taken = np.zeros(4, int)
+        for g, n in groups.items():
+            own = sorted((lo, end, s) for x, lo, end, s in parts if x == g)
+            assert [lo for lo, _, _ in own] == [0, *(end for _, end, _ in own[:-1])] and own[-1][1] == n
+            assert len(own) <= -(-n // 100) + 1
+            for lo, end, s in own:
+                taken[s] += end - lo
+        assert (taken + room == size).all() and (room >= 0).all()
