@@ -91,21 +91,32 @@ def _repeat_words(docs: DataFrame) -> DataFrame:
     Each window of three words becomes one long: the high bits of its hash above its place,
     with as many low bits as the places need. Sorted, equal windows are neighbours; the
     places of those that have an equal neighbour, sorted again, tell how many words they
-    cover. Sorting longs keeps this at n log n for any text.
+    cover. Sorting longs keeps this at n log n for any text. Neighbours of equal hash are
+    compared as words; a text where these differ anywhere sorts its windows as words instead.
     """
     docs = docs.withColumn("_bits", F.length(F.bin(F.size("_words").cast("long"))))
+    places = "if(size(_words) >= 3, sequence(0, size(_words) - 3), cast(array() as array<int>))"
     docs = computed_once(docs, _sorted=F.expr(
-        "sort_array(transform(if(size(_words) >= 3, sequence(0, size(_words) - 3),"
-        " cast(array() as array<int>)), i -> shiftleft(xxhash64(get(_words, i),"
+        f"sort_array(transform({places}, i -> shiftleft(xxhash64(get(_words, i),"
         " get(_words, i + 1), get(_words, i + 2)), _bits) | cast(i as bigint)))"))
+    docs = computed_once(docs, _equal=F.expr(
+        "filter(_sorted, (x, i) ->"
+        " (x >> _bits) = coalesce(get(_sorted, i - 1) >> _bits, ~(x >> _bits)) or"
+        " (x >> _bits) = coalesce(get(_sorted, i + 1) >> _bits, ~(x >> _bits)))"))
+    here, there = (f"cast({x} & (shiftleft(1L, _bits) - 1) as int)" for x in ("x", "get(_equal, i - 1)"))
+    differ = " or ".join(f"get(_words, {here} + {k}) <> get(_words, {there} + {k})" for k in range(3))
+    docs = computed_once(docs, _exact=F.expr(
+        "if(exists(transform(_equal, (x, i) -> i > 0 and"
+        f" (x >> _bits) = (get(_equal, i - 1) >> _bits) and ({differ})), d -> d),"
+        f" sort_array(transform({places}, i -> struct(struct(get(_words, i) as a,"
+        " get(_words, i + 1) as b, get(_words, i + 2) as c) as w, i as i))), null)"))
     docs = computed_once(docs, _places=F.expr(
-        "sort_array(transform(filter(transform(_sorted, (x, i) -> if("
-        "(x >> _bits) = coalesce(get(_sorted, i - 1) >> _bits, ~(x >> _bits)) or"
-        " (x >> _bits) = coalesce(get(_sorted, i + 1) >> _bits, ~(x >> _bits)),"
-        " x & (shiftleft(1L, _bits) - 1), -1L)), p -> p >= 0), p -> p))"))
+        "sort_array(if(_exact is null, transform(_equal, x -> x & (shiftleft(1L, _bits) - 1)),"
+        " transform(filter(_exact, (x, i) -> coalesce(x.w = get(_exact, i - 1).w, false)"
+        " or coalesce(x.w = get(_exact, i + 1).w, false)), x -> cast(x.i as bigint))))"))
     return docs.withColumn("n_repeat_words", F.expr(
         "aggregate(transform(_places, (p, i) -> least(3L, coalesce(get(_places, i + 1) - p, 3L))),"
-        " 0L, (s, x) -> s + x)")).drop("_bits", "_sorted", "_places")
+        " 0L, (s, x) -> s + x)")).drop("_bits", "_sorted", "_equal", "_exact", "_places")
 
 
 def base_counts(docs: DataFrame) -> DataFrame:

@@ -46,6 +46,32 @@ def test_odd_rows(spark):
         brute(r.text) for r in rows]
 
 
+def clashing(spark):
+    """Two triples of words with the same hash: the last word of the second follows from the
+    seed that the words before it give, as each step of the hash can be undone."""
+    full, p1, p2, p5 = 2**64, 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5
+    turned = lambda x, n: (x << n | x >> (64 - n)) % full
+    seeds = [r[0] % full for r in spark.range(3000).selectExpr(
+        "xxhash64(concat('a', id), 'b')").collect()]
+    mixed = turned(int.from_bytes(b"lastword", "little") * p2 % full, 31) * p1 % full
+    for i, seed in enumerate(seeds[1:], 1):
+        key = mixed ^ (seeds[0] + p5 + 8) % full ^ (seed + p5 + 8) % full
+        key = turned(key * pow(p1, -1, full) % full, 33) * pow(p2, -1, full) % full
+        word = key.to_bytes(8, "little")
+        if word.isascii() and len(WORD.findall(word.decode())) == 1 and WORD.fullmatch(word.decode()):
+            return ["a0", "b", "lastword"], [f"a{i}", "b", word.decode()]
+
+
+def test_windows_of_equal_hash(spark):
+    one, two = clashing(spark)
+    frame = spark.createDataFrame([one, two], "a string, b string, c string")
+    assert frame.selectExpr("xxhash64(a, b, c)").distinct().count() == 1
+    texts = [one + two, one + two + one, one + two + one + two, two + ["x"] + one + ["y", "a", "b", "a", "b", "a", "b"]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = quality.judged(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [tuple(r)[1:7] for r in sorted(found)] == [brute(t) for _, t in rows]
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert quality.judged(empty).count() == 0
