@@ -40,9 +40,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document goes; the digest stands for its ids. The workers
+    """Each piece of each document with its token ids and its place in a sequence. The workers
     of a session go on to other stages and runs, so they give their caches back."""
-    return packing.packed(docs, TOKENIZER, keep_cache=False)
+    return packing.packed(docs, TOKENIZER, with_ids=True, keep_cache=False)
 
 
 STAGES = [("quality rules", quality_rules), ("toxicity", toxicity_filter),

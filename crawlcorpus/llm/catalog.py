@@ -36,7 +36,7 @@ def op4_quality_rules(spark, sf):
 
 
 def op5_best_fit_packing(spark, sf):
-    return packing.packed(_documents(spark, sf), TOKENIZER)
+    return packing.checksums(packing.packed(_documents(spark, sf), TOKENIZER, with_ids=True))
 
 
 def op6_language_id(spark, sf):

@@ -154,3 +154,18 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAP
     return placed.select(
         *rows.columns, F.expr("sequence + (rank - lo) div each").alias("sequence_id"),
         (F.col("at") + nth % F.col("each") * F.col("length")).alias("offset"))
+
+
+def _summed(batches):
+    for batch in batches:
+        ids = batch.column("ids")
+        at, own = ids.offsets.to_numpy(), ids.values.to_numpy()
+        sums = pa.array([T.crc32(own[a:b]) for a, b in zip(at[:-1], at[1:])], pa.int64())
+        names = [x for x in batch.schema.names if x != "ids"]
+        yield pa.RecordBatch.from_arrays(
+            [sums if x == "ids_crc32" else batch.column(x) for x in names], names=names)
+
+
+def checksums(packed: DataFrame) -> DataFrame:
+    """What ``packed`` gives with ids, with ``ids_crc32`` of those ids in their place."""
+    return packed.mapInArrow(_summed, PIECES + ", sequence_id long, offset long")

@@ -4,13 +4,15 @@ import hashlib
 import re
 
 import pytest
+from tokenizers import Tokenizer
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF_DIR
 from test_debruijn import brute as repeated
 from test_minhash import brute as near
-from crawlcorpus.llm import quality
+from crawlcorpus.llm import packing, quality
+from crawlcorpus.llm.catalog import TOKENIZER
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -72,6 +74,24 @@ def test_packing(stages):
     assert sums.where("n <> end or n > 2048").count() == 0
 
 
+def test_packed_ids_are_of_the_texts(stages):
+    before, after = stages["packing"]
+    tokenizer, found = Tokenizer.from_file(TOKENIZER), {}
+    for r in sorted(after.collect(), key=lambda r: (r.doc_id, r.start)):
+        assert len(r.ids) == r.length
+        found.setdefault(r.doc_id, []).extend(r.ids)
+    assert found == {i: tokenizer.encode(t, add_special_tokens=False).ids + [0] for i, t in _texts(before).items()}
+
+
+def test_checksums_are_of_the_packed_ids(stages):
+    after = stages["packing"][1]
+    found = packing.checksums(after.withColumn("ids_crc32", F.lit(0)))
+    want = [tuple(r) for r in after.drop("ids").collect()]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    shorter = packing.checksums(after.withColumn("ids", F.slice("ids", 1, 1))).collect()
+    assert all(r.ids_crc32 != w for r, (*_, w, _, _) in zip(shorter, want) if r.length > 1)
+
+
 def test_run(spark, stages):
     found = corpus_pipeline.run(spark, SF_DIR)
     assert found.drop("sequence_id", "offset").exceptAll(
