@@ -27,7 +27,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .units import _Index
 from .words import sliced
 
 MIN_WORDS = 24
@@ -39,25 +38,27 @@ _BLOCK = 16
 
 @dataclass
 class Tree:
-    """A suffix tree: for each node the length of its string, edges by (node, symbol), and
-    the leaves in order of the places their suffixes begin at."""
+    """A suffix tree. Inner nodes come first, the root is 0; then the leaves, in order of the
+    places their suffixes begin at. ``depth`` is the length of a node's string; edges lead
+    from node times ``width`` plus symbol to a node."""
 
-    depth: list[int]
-    edges: dict[int, int]
+    depth: np.ndarray
+    keys: np.ndarray
+    child: np.ndarray
     width: int
-    leaves: list[int]
+    leaves: int
 
 
 def suffix_tree(text: list[int], width: int) -> Tree:
     """Ukkonen's algorithm. Symbols are below ``width`` and the last one occurs only there.
 
-    An edge's label is read off the text at ``begin``; a leaf's edge grows with the text.
+    An edge's label is read off the text at ``begin``; a leaf's edge grows with the text. While
+    the tree is built leaf ``k`` is ``~k``, so that leaves need no more than their beginning.
     """
-    begin, end, link, depth, leaves = [0], [0], [0], [0], []
+    begin, end, link, depth, leaf_begin = [0], [0], [0], [0], []
     edges: dict[int, int] = {}
-    find = edges.get
-    total = len(text)
-    node = edge = length = pending = 0  # the active point, and suffixes not yet in the tree
+    find, leaf = edges.get, leaf_begin.append
+    node = edge = length = pending = leaves = 0  # the active point, and suffixes not yet in the tree
     for i, symbol in enumerate(text):
         pending += 1
         fresh = 0  # an inner node of this phase that still needs its link
@@ -67,64 +68,70 @@ def suffix_tree(text: list[int], width: int) -> Tree:
             key = node * width + text[edge]
             child = find(key)
             if child is None:
-                edges[key] = len(depth)
+                edges[key] = ~leaves
                 if fresh:
                     link[fresh] = node
                     fresh = 0
             else:
-                size = (end[child] if end[child] <= i else i + 1) - begin[child]
-                if length >= size:
-                    node, edge, length = child, edge + size, length - size
-                    continue
-                at = begin[child] + length
+                if child < 0:
+                    at = leaf_begin[~child] + length
+                else:
+                    at = begin[child] + length
+                    if at >= end[child]:
+                        size = end[child] - begin[child]
+                        node, edge, length = child, edge + size, length - size
+                        continue
                 if text[at] == symbol:
                     length += 1
                     if fresh:
                         link[fresh] = node
                     break
                 inner = edges[key] = len(depth)
-                begin.append(begin[child])
+                if child < 0:
+                    begin.append(leaf_begin[~child])
+                    leaf_begin[~child] = at
+                else:
+                    begin.append(begin[child])
+                    begin[child] = at
                 end.append(at)
                 link.append(0)
                 depth.append(pending - 1)
-                begin[child] = at
                 edges[inner * width + text[at]] = child
                 if fresh:
                     link[fresh] = inner
                 fresh = inner
-                edges[inner * width + symbol] = len(depth)
-            leaves.append(len(depth))
-            begin.append(i)
-            end.append(total)
-            link.append(0)
-            depth.append(total - len(leaves) + 1)
+                edges[inner * width + symbol] = ~leaves
+            leaf(i)
+            leaves += 1
             pending -= 1
             if node:
                 node = link[node]
             elif length:
                 length, edge = length - 1, i - pending + 1
-    return Tree(depth, edges, width, leaves)
+    keys = np.fromiter(edges.keys(), np.int64, len(edges))
+    child = np.fromiter(edges.values(), np.int64, len(edges))
+    child[child < 0] = len(depth) + ~child[child < 0]
+    return Tree(np.concatenate([depth, np.arange(leaves, 0, -1)]), keys, child, width, leaves)
 
 
 def _tour(tree: Tree, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Nodes from left to right, each before its children; these in the ``rank`` of symbols.
     Also the parent of each node."""
-    n = len(tree.depth)
-    keys = np.fromiter(tree.edges.keys(), np.int64, len(tree.edges))
-    child = np.fromiter(tree.edges.values(), np.int64, len(tree.edges))
-    above = keys // tree.width
-    order = np.lexsort((-rank[keys % tree.width], above))  # the last child is taken off first
+    n, inner = len(tree.depth), len(tree.depth) - tree.leaves
+    above, symbol = np.divmod(tree.keys, tree.width)
+    # the last child is taken off first
+    order = np.argsort(above * tree.width + (tree.width - 1 - rank[symbol]))
     parent = np.zeros(n, np.int64)
-    parent[child] = above
-    at = np.searchsorted(above[order], np.arange(n + 1)).tolist()
-    kids = child[order].tolist()
+    parent[tree.child] = above
+    at = np.searchsorted(above[order], np.arange(inner + 1)).tolist()
+    kids = tree.child[order].tolist()
     seen, stack = [], [0]
-    pop, push, see = stack.pop, stack.extend, seen.append
+    pop, see = stack.pop, seen.append
     while stack:
         v = pop()
         see(v)
-        if at[v + 1] > at[v]:
-            push(kids[at[v]:at[v + 1]])
+        if v < inner:
+            stack += kids[at[v]:at[v + 1]]
     return np.array(seen), parent
 
 
@@ -133,12 +140,12 @@ class Lcp:
     Euler tour, by prefix and suffix minima of blocks and a sparse table over whole blocks."""
 
     def __init__(self, tree: Tree, seen: np.ndarray, parent: np.ndarray):
-        depth = np.array(tree.depth, np.int32)
+        depth = tree.depth.astype(np.int32)
         tour = np.empty(2 * len(seen), np.int32)  # the tour's return to the parent, then the node
         tour[0::2], tour[1::2] = depth[parent[seen]], depth[seen]
         place = np.empty(len(seen), np.int64)
         place[seen] = 2 * np.arange(len(seen)) + 1
-        self.place = place[np.array(tree.leaves)]
+        self.place = place[len(seen) - tree.leaves:]
         padded = np.full(-(-len(tour) // _BLOCK) * _BLOCK, np.iinfo(np.int32).max, np.int32)
         padded[:len(tour)] = tour
         blocks = padded.reshape(-1, _BLOCK)
@@ -226,14 +233,12 @@ def runs_of(parts: list[np.ndarray]) -> list[np.ndarray]:
     upward = np.arange(width)
     seen, parent = _tour(tree, upward)
     ahead = Lcp(tree, seen, parent)
-    leaf = np.full(len(tree.depth), -1)
-    leaf[tree.leaves] = np.arange(n)
+    inner = len(tree.depth) - n
     candidates = []
-    for rank, tour in ((upward, seen), (np.where(marks, upward, width - upward + n_parts), None)):
+    for rank, tour in ((upward, seen), (np.where(marks, upward, width + n_parts - upward), None)):
         tour = _tour(tree, rank)[0] if tour is None else tour
-        places = leaf[tour]
         ranks = np.empty(n, np.int64)
-        ranks[places[places >= 0]] = np.arange(n)
+        ranks[tour[tour >= inner] - inner] = np.arange(n)
         period = _next_smaller(ranks.tolist()) - np.arange(n)
         first = np.flatnonzero(~marks[text])
         first = first[period[first] * MIN_REPEATS <= ends[owner[first]] - first + period[first]]
@@ -287,6 +292,14 @@ def _collapsed(words: list[bytes], runs: np.ndarray) -> bytes:
     return b" ".join([words[i] for i in np.flatnonzero(np.cumsum(steps[:-1]) == 0).tolist()])
 
 
+class _Numbers(dict):
+    """Words to numbers in order of arrival."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 _RUNS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
 
 
@@ -295,10 +308,7 @@ def _found(batches):
         for part in sliced(batch):
             # words end at 0x20 and 0x09 to 0x0D, which is what splitting bytes does
             words = [t.encode().split() if t else [] for t in part.column("text").to_pylist()]
-            numbers = []
-            for own in words:
-                index = _Index()
-                numbers.append(np.fromiter(map(index.__getitem__, own), np.int64, len(own)))
+            numbers = [np.fromiter(map(_Numbers().__getitem__, own), np.int64, len(own)) for own in words]
             runs = runs_of_texts(numbers)
             rows = np.concatenate(runs)
             structs = pa.StructArray.from_arrays(list(rows.T), fields=list(_RUNS.value_type))
