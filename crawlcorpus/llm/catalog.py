@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..plans.tables import table
-from . import (bytepairs, debruijn, fingerprints, language, minhash, packing, periodic, quality, sharding,
-               tokens, toxicity)
+from . import (bytepairs, debruijn, divergence, fingerprints, language, minhash, mixing, packing, periodic,
+               quality, sharding, tokens, toxicity)
 from .oracles import ORACLES  # noqa: F401  of those that SQL can express
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -70,4 +70,12 @@ def op11_periodic_runs(spark, sf):
     return periodic.digests(periodic.runs(periodic.with_planted_runs(_documents(spark, sf))))
 
 
+def op12_source_divergence(spark, sf):
+    return divergence.audit(_documents(spark, sf))
+
+
+def op13_source_mixing(spark, sf):
+    return mixing.taken(_documents(spark, sf))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}

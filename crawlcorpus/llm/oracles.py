@@ -95,5 +95,80 @@ select docs.doc_id, len(docs.words)::bigint as n_words,
   sha256(coalesce(kept.words, '')) as kept_sha256
 from docs left join kept using (doc_id)"""
 
+DIVERGENCE = r"""
+with docs as (
+  select row_number() over () as nr, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents),
+occurring as (select nr, lang, source, unnest(terms) as term from docs),
+kept as (select lang, term from occurring group by lang, term having count(distinct nr) >= 30),
+found as (select lang, source, term, count(*) as n from occurring join kept using (lang, term) group by all),
+sizes as (select lang, count(*) as v from kept group by lang),
+groups as (
+  select lang, source, coalesce(v, 0) as v, coalesce(total, 0) as total
+  from (select distinct lang, source from docs) left join sizes using (lang)
+  left join (select lang, source, sum(n) as total from found group by all) using (lang, source)),
+wholes as (
+  select lang, term, sum(n) as n, sum(sum(n)) over (partition by lang) as total from found group by lang, term),
+priced as (
+  select lang, source, term, coalesce(found.n, 0) as n,
+    1 + (1000000000::hugeint * (coalesce(found.n, 0) + 5)) // (groups.total + 5 * v) as p,
+    1 + (1000000000::hugeint * (wholes.n + 5)) // (wholes.total + 5 * v) as q
+  from groups join wholes using (lang) left join found using (lang, source, term)),
+pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(sum(value), 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join (select x.lang, x.source as s, y.source as t, abs(x.p - y.p) as value from priced x
+             join priced y on x.lang = y.lang and x.term = y.term and x.source <> y.source)
+d
+    on d.lang = a.lang and d.s = a.source and d.t = b.source
+  group by all),
+terms as (
+  select lang, source, 'term' as part, term as item, (p - q)::bigint as value from priced where n > 0 and p > q)
+select * from (
+  select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+  from (select * from pairs union all select * from terms))
+where part = 'pair' or rank <= 50"""
+
+MIXING = r"""
+with docs as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+    coalesce(doc_id::varchar, '-' || md5(coalesce(text, ''))) as key
+  from documents),
+sources as (
+  select source, sum(size)::bigint as source_size,
+    ([1, 2, 3])[((row_number() over (order by source nulls last) - 1) % 3 + 1)::int]::hugeint as weight
+  from docs group by source),
+levels as (
+  select a.source, any_value(a.source_size) as source_size, any_value(a.weight) as weight,
+    sum(least(3 * b.source_size::hugeint * a.weight, 3 * a.source_size::hugeint * b.weight))
+      < any_value(a.weight) * sum(b.source_size) as stops
+  from sources a cross join sources b group by a.source),
+rest as (
+  select sum(source_size)::hugeint - coalesce(sum(3 * source_size) filter (where stops), 0)::hugeint as words,
+    sum(weight) filter (where not stops)::hugeint as weight from levels),
+shares as (
+  select source, source_size, case when stops then 3 * source_size::hugeint else words * levels.weight end as share,
+    case when stops then 1 else rest.weight end as parts from levels cross join rest),
+rates as (
+  select source, source_size, share::double / parts::double as target,
+    case when source_size = 0 then 0 else share // (parts * source_size) end as copies,
+    case when source_size = 0 then 0 else (share % (parts * source_size))::double / (parts * source_size)::double
+      end as chance from shares),
+seeds as (select unnest(range(16)) as seed),
+drawn as (
+  select doc_id, docs.source, size, seed, source_size, target, copies,
+    copies + (('0x' || substr(md5((seed // 4)::varchar || ':' || key), 1 + 8 * (seed % 4), 8))::bigint
+              < chance * 4294967296.0)::int as own
+  from docs join rates on docs.source is not distinct from rates.source cross join seeds),
+chosen as (
+  select source, seed from drawn group by source, seed
+  qualify row_number() over (partition by source order by
+    abs(any_value(copies) * any_value(source_size) + sum((own - copies) * size) - any_value(target)), seed) = 1)
+select doc_id, size, source_size, target, (size * own)::bigint as taken
+from drawn join chosen on drawn.source is not distinct from chosen.source and drawn.seed = chosen.seed"""
+
 ORACLES = {"op3_minhash_near_duplicates": NEAR_DUPLICATES, "op4_quality_rules": QUALITY,
-           "op9_substring_dedup": SUBSTRINGS}
+           "op9_substring_dedup": SUBSTRINGS,
+           "op12_source_divergence": DIVERGENCE, "op13_source_mixing": MIXING}

@@ -9,7 +9,7 @@ import pytest
 from conftest import SF_DIR
 from crawlcorpus.llm.catalog import ORACLES, QUERIES
 
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
