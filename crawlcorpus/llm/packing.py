@@ -6,9 +6,11 @@
    ``capacity`` numbers whatever the corpus. Lengths go from long to short, each to the open
    sequences with the least room that holds it (best fit, decreasing), all sequences of one
    kind at once. The plan is a list of slots ``(length, first rank, sequence, offset)``.
-3. Pieces are numbered within their length and take the slot that has their number. To
-   number them, each length is dealt into buckets by a hash, buckets are counted and moved
-   by the counts before them; so a length that a third of all rows share is spread out.
+3. Pieces are numbered within their length and take the slot that has their number. Tasks number
+   them as they make them, each for itself; pieces of one length in one task are counted, and
+   moved by the counts of the tasks before. That needs a row for each task and length, which the pieces
+   meet by broadcast if these are few (counted), so the ids stay where they are, else by a join.
+   A length that a third of all rows share is spread over all tasks.
 
 Defined cases: a null text is empty, and a piece of just the end id. Rows that repeat others
 are packed as often as they come. Ids are only carried. An empty table gives an empty plan
@@ -20,13 +22,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..plans.physical import broadcast_if_small
 from . import tokens as T
 from .storage import stored
 
 CAPACITY = 2048
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id long, piece int, start long, length long"
+#: Rows of counts by task and length that are broadcast.
+BROADCAST_COUNTS = 200_000
 
 
 @dataclass(frozen=True)
@@ -84,7 +90,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Slot]:
     return slots
 
 
-def _pieces(path: str, end_id: int, capacity: int, with_ids: bool, keep_cache: bool):
+def _pieces(path: str, end_id: int, capacity: int, keep_cache: bool):
     def run(batches):
         try:
             yield from cut(batches)
@@ -93,56 +99,62 @@ def _pieces(path: str, end_id: int, capacity: int, with_ids: bool, keep_cache: b
                 T.forget()
 
     def cut(batches):
+        part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for rows, ids in T.encoded(batch, path, end_id):
-                of, piece, starts, cut = [], [], [], []
-                for i, x in enumerate(ids):
-                    cuts = [0, *range(len(x) % capacity or capacity, len(x) + 1, capacity)]
-                    for j, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-                        of.append(i)
-                        piece.append(j)
-                        starts.append(a)
-                        cut.append(x[a:b])
-                columns = [rows.column("doc_id").take(pa.array(of)), pa.array(piece, pa.int32()),
-                           pa.array(starts, pa.int64()), pa.array([len(x) for x in cut], pa.int64()),
-                           pa.array([T.crc32(x) for x in cut], pa.int64())]
-                if with_ids:
-                    columns.append(pa.array(cut, pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays(columns, names=[
-                    "doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids])
+            for rows, ids, lengths in T.encoded(batch, path, end_id):
+                n = np.maximum(-(-lengths // capacity), 1)
+                of = np.repeat(np.arange(len(n)), n)
+                first = (lengths - capacity * (n - 1))[of]
+                piece = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                length = np.where(piece, capacity, first)
+                yield pa.RecordBatch.from_arrays([
+                    rows.column("doc_id").take(pa.array(of)), pa.array(piece, pa.int32()),
+                    pa.array(np.where(piece, first + capacity * (piece - 1), 0)), pa.array(length),
+                    pa.array(np.full(len(of), part, np.int64)), pa.array(_within(length, seen)),
+                    pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(length)]).astype(np.int32), ids)
+                ], names=["doc_id", "piece", "start", "length", "part", "within", "ids"])
     return run
 
 
+def _within(lengths: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Number the pieces of each length from ``seen[length]`` on, and count them there."""
+    order = np.argsort(lengths, kind="stable")
+    ordered = lengths[order]
+    out = np.empty(len(lengths), np.int64)
+    out[order] = seen[ordered] + np.arange(len(ordered)) - np.searchsorted(ordered, ordered)
+    np.add.at(seen, lengths, 1)
+    return out
+
+
 def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY,
-           with_ids: bool = False, keep_cache: bool = True) -> DataFrame:
-    """``doc_id, text`` to one row for each piece, with its ids if asked for.
+           keep_cache: bool = True) -> DataFrame:
+    """``doc_id, text`` to one row for each piece with its ids, its task and its number among
+    the pieces of its length there.
 
     Python workers keep their cache of encoded units for the next task, which is faster; a
     job with other stages to come may want the memory back instead.
     """
     return docs.select("doc_id", "text").mapInArrow(
-        _pieces(tokenizer, end_id, capacity, with_ids, keep_cache),
-        PIECES + ", ids array<int>" * with_ids)
+        _pieces(tokenizer, end_id, capacity, keep_cache),
+        PIECES + ", part long, within long, ids array<int>")
 
 
 def with_rank(rows: DataFrame) -> DataFrame:
     """Number the rows of each length from 0, as ``rank``. ``rows`` is a stored table."""
-    spark = rows.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
-    counts = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32"))
-    return dealt.withColumn("within", within - 1).join(bases, ["length", "bucket"]).withColumn(
-        "rank", F.col("base") + F.col("within")).drop("bucket", "base", "within")
+    counts = rows.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases, _ = stored(counts.select(
+        "length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
+    bases, _ = broadcast_if_small(bases, BROADCAST_COUNTS)
+    return rows.join(bases, ["length", "part"]).withColumn("rank", F.col("base") + F.col("within")).drop(
+        "part", "base", "within")
 
 
 def packed(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY,
            with_ids: bool = False, keep_cache: bool = True) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``; every piece has a place of its own."""
     spark = docs.sparkSession
-    rows, _ = stored(pieces(docs, tokenizer, end_id, capacity, with_ids, keep_cache), "pieces")
+    rows, _ = stored(pieces(docs, tokenizer, end_id, capacity, keep_cache), "pieces")
     counts = {r.length: r["n"] for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots = spark.createDataFrame(
         [(s.length, s.rank, s.rank + s.count, s.each, s.sequence, s.offset)
@@ -152,20 +164,19 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAP
     placed = with_rank(rows).join(F.broadcast(slots), "length").where("rank >= lo and rank < hi")
     nth = F.col("rank") - F.col("lo")
     return placed.select(
-        *rows.columns, F.expr("sequence + (rank - lo) div each").alias("sequence_id"),
+        "doc_id", "piece", "start", "length", *["ids"] * with_ids,
+        F.expr("sequence + (rank - lo) div each").alias("sequence_id"),
         (F.col("at") + nth % F.col("each") * F.col("length")).alias("offset"))
 
 
 def _summed(batches):
     for batch in batches:
-        ids = batch.column("ids")
-        at, own = ids.offsets.to_numpy(), ids.values.to_numpy()
-        sums = pa.array([T.crc32(own[a:b]) for a, b in zip(at[:-1], at[1:])], pa.int64())
-        names = [x for x in batch.schema.names if x != "ids"]
-        yield pa.RecordBatch.from_arrays(
-            [sums if x == "ids_crc32" else batch.column(x) for x in names], names=names)
+        columns = {n: T.list_sums(batch.column(n)) if n == "ids" else batch.column(n) for n in batch.schema.names}
+        columns["ids_crc32"] = columns.pop("ids")
+        yield pa.RecordBatch.from_pydict(columns)
 
 
 def checksums(packed: DataFrame) -> DataFrame:
-    """What ``packed`` gives with ids, with ``ids_crc32`` of those ids in their place."""
-    return packed.mapInArrow(_summed, PIECES + ", sequence_id long, offset long")
+    """What ``packed`` gives with ids, with their ``ids_crc32`` in their place."""
+    rows = packed.select("doc_id", "piece", "start", "length", "sequence_id", "offset", "ids")
+    return rows.mapInArrow(_summed, PIECES + ", sequence_id long, offset long, ids_crc32 long")

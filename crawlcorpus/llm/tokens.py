@@ -99,9 +99,10 @@ def encoder(path: str) -> UnitEncoder:
         tokenizer = Tokenizer.from_file(path)
         if (json.loads(tokenizer.to_str()).get("pre_tokenizer") or {}).get("type") != "ByteLevel":
             raise ValueError("units are for byte-level tokenizers only")
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         units = _ByteLevel(tokenizer)
-        _ENCODERS[path] = UnitEncoder(units.each, units.spaced, units.plain)
+        # the library finds these in a text before all else, also across spaces
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        _ENCODERS[path] = UnitEncoder(units.each, units.spaced, units.plain, whole=added)
     return _ENCODERS[path]
 
 
@@ -117,12 +118,13 @@ def vocabulary_size(path: str) -> int:
 
 
 def encoded(batch: pa.RecordBatch, path: str, end_id: int | None, text: str = "text"):
-    """Slices of a batch, each with the id arrays of its texts."""
+    """Slices of a batch, each with the ids of its texts one after the other, and how many each has."""
     encode = encoder(path)
-    tail = np.zeros(0, np.int32) if end_id is None else np.array([end_id], np.int32)
+    tail = np.array([] if end_id is None else [end_id], np.int32)
     for part in W.sliced(batch, text):
-        texts = [t or "" for t in part.column(text).to_pylist()]
-        yield part, [np.concatenate([ids, tail]) for ids in encode(texts)]
+        ids = [x for own in encode([t or "" for t in part.column(text).to_pylist()]) for x in (own, tail)]
+        lengths = np.fromiter(map(len, ids[::2]), np.int64, part.num_rows) + len(tail)
+        yield part, np.concatenate(ids), lengths
 
 
 def crc32(ids: np.ndarray) -> int:
@@ -147,9 +149,9 @@ def _write_part(folder: str, path: str, end_id: int, width: int):
         fs.create_dir(root, recursive=True)
         with fs.open_output_stream(f"{root}/{name}.bin") as out:
             for batch in batches:
-                for rows, ids in encoded(batch, path, end_id):
-                    out.write(np.concatenate(ids).astype(f"<u{width}").tobytes())
-                    ends = total + np.cumsum([len(x) for x in ids])
+                for rows, ids, lengths in encoded(batch, path, end_id):
+                    out.write(ids.astype(f"<u{width}").tobytes())
+                    ends = total + np.cumsum(lengths)
                     total = int(ends[-1])
                     starts.append(ends)
                     docs.append(rows.column("doc_id").fill_null(NO_ID).to_numpy())
@@ -201,11 +203,11 @@ def _read_parts(folder: str):
                 to = min(max(to, at + 1), len(docs))
                 starts = offsets[at:to + 1].astype(np.int64)
                 own = np.asarray(docs[at:to])
+                lists = pa.ListArray.from_arrays(
+                    (starts - starts[0]).astype(np.int32), np.asarray(ids[starts[0]:starts[-1]]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(own, mask=own == NO_ID), pa.array(starts[:-1] + part["base"]),
-                    pa.array(np.diff(starts)),
-                    pa.array([np.asarray(ids[a:b]).astype(np.int32) for a, b in zip(starts[:-1], starts[1:])],
-                             pa.list_(pa.int32()))], names=["doc_id", "start", "n_tokens", "ids"])
+                    pa.array(np.diff(starts)), lists], names=["doc_id", "start", "n_tokens", "ids"])
                 at = to
     return run
 
@@ -218,13 +220,17 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                              "doc_id long, start long, n_tokens long, ids array<int>")
 
 
+def list_sums(lists: pa.ListArray) -> pa.Array:
+    """``crc32`` of each list of ids."""
+    ids = memoryview(np.ascontiguousarray(lists.flatten().to_numpy()).astype("<u4", copy=False)).cast("B")
+    at = (4 * (lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py())).tolist()
+    return pa.array([zlib.crc32(ids[a:b]) for a, b in zip(at[:-1], at[1:])], pa.int64())
+
+
 def _summed(batches):
     for batch in batches:
-        lists = batch.column("ids")
-        flat, at = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(batch.column("n_tokens"))])
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("doc_id", "start", "n_tokens")),
-             pa.array([crc32(flat[a:b]) for a, b in zip(at[:-1], at[1:])], pa.int64())],
+            [*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), list_sums(batch.column("ids"))],
             names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 

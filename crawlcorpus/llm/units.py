@@ -63,12 +63,13 @@ class UnitEncoder:
 
     ``encode`` takes strings and gives their ids one after the other, and the number of each.
     ``encode_spaced`` and ``encode_plain`` do so for units, the first of which are given
-    without the space before them; by default they are encoded one by one.
+    without the space before them; by default they are encoded one by one. A text that holds
+    one of the strings in ``whole`` is encoded as it is.
     """
 
     def __init__(self, encode: Encode, encode_spaced: Encode | None = None,
-                 encode_plain: Encode | None = None):
-        self.encode = encode
+                 encode_plain: Encode | None = None, whole: list[str] = ()):
+        self.encode, self.whole = encode, list(whole)
         self.encode_spaced = encode_spaced or (lambda units: encode([" " + u for u in units]))
         self.encode_plain = encode_plain or encode
         self._clear()
@@ -131,7 +132,7 @@ class UnitEncoder:
         """The ids of each text, as int32 arrays, in order."""
         if len(self.index) > CACHE_UNITS or self.used > 16 * CACHE_UNITS:
             self._clear()
-        pieces = [cut(t) for t in texts]
+        pieces = [None if any(x in t for x in self.whole) else cut(t) for t in texts]
         number = self.index.__getitem__
         numbers = [None if p is None else np.fromiter(map(number, p), np.int64, len(p)) for p in pieces]
         self._learn()

@@ -19,14 +19,13 @@ from crawlcorpus.llm.catalog import QUERIES, RANKS, TOKENIZER
 
 ODD = ["", " ", "\n", "\n\n", " a", "a ", "a  b", "a \n b", "\na\n", "it's 'so' ' s", "don't \x00 stop",
        "é è x", "x\x85 y\x1c z", "a\r\nb \t c", "ab" * 300, "日本語 テキスト", "<|endoftext|> a <|endoftext|>",
-       "aaaaaaa aaa", "abcabcabc" * 40 + "!?" * 50, "1234567890 1 22", "\U0001f600\U0001f600 x", "a\n\x00b", "'ll 've\n're"]
+       "aaaaaaa aaa", "alpha <|endoftext|> beta", "a<|endoftext|>", "<|endoftext|", "<|end oftext|>",
+        "abcabcabc" * 40 + "!?" * 50, "1234567890 1 22", "\U0001f600\U0001f600 x", "a\n\x00b", "'ll 've\n're"]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(TOKENIZER)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(TOKENIZER)
 
 
 @pytest.fixture(scope="module")
