@@ -37,7 +37,7 @@ def op4_quality_rules(spark, sf):
 
 
 def op5_best_fit_packing(spark, sf):
-    return packing.checksums(packing.packed(_documents(spark, sf), TOKENIZER, with_ids=True))
+    return packing.checksums(packing.placed(_documents(spark, sf), TOKENIZER))
 
 
 def op6_language_id(spark, sf):

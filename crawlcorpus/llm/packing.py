@@ -31,6 +31,7 @@ from .storage import stored
 
 CAPACITY = 2048
 PIECES = "doc_id long, piece int, start long, length long"
+PLACED = PIECES + ", sequence_id long, offset long"
 #: Rows of counts by task and length that are broadcast.
 BROADCAST_COUNTS = 200_000
 
@@ -111,11 +112,18 @@ def _pieces(path: str, end_id: int, capacity: int, keep_cache: bool):
                     rows.column("doc_id").take(pa.array(of)), pa.array(piece, pa.int32()),
                     pa.array(np.where(piece, first + capacity * (piece - 1), 0)), pa.array(length),
                     pa.array(np.full(len(of), part, np.int64)), pa.array(_within(length, seen)),
-                    pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(length)]).astype(np.int32), ids)
-                ], names=["doc_id", "piece", "start", "length", "part", "within", "ids"])
+                    _as_bytes(ids, length)], names=["doc_id", "piece", "start", "length", "part", "within", "bytes"])
     return run
 
 
+def _as_bytes(ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Runs of ids as little-endian unsigned integers of 4 bytes. Spark copies bytes as they are,
+    where it takes arrays apart, and stores them with their repeats squeezed out."""
+    data = pa.py_buffer(np.ascontiguousarray(ids.astype("<u4")))
+    at = 4 * np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(at), data])
+
+
 def _within(lengths: np.ndarray, seen: np.ndarray) -> np.ndarray:
     """Number the pieces of each length from ``seen[length]`` on, and count them there."""
     order = np.argsort(lengths, kind="stable")
@@ -128,7 +136,7 @@ def _within(lengths: np.ndarray, seen: np.ndarray) -> np.ndarray:
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY,
            keep_cache: bool = True) -> DataFrame:
-    """``doc_id, text`` to one row for each piece with its ids, its task and its number among
+    """``doc_id, text`` to one row for each piece with the bytes of its ids, its task and its number among
     the pieces of its length there.
 
     Python workers keep their cache of encoded units for the next task, which is faster; a
@@ -136,7 +144,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAP
     """
     return docs.select("doc_id", "text").mapInArrow(
         _pieces(tokenizer, end_id, capacity, keep_cache),
-        PIECES + ", part long, within long, ids array<int>")
+        PIECES + ", part long, within long, bytes binary")
 
 
 def with_rank(rows: DataFrame) -> DataFrame:
@@ -150,9 +158,10 @@ def with_rank(rows: DataFrame) -> DataFrame:
         "part", "base", "within")
 
 
-def packed(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY,
-           with_ids: bool = False, keep_cache: bool = True) -> DataFrame:
-    """Pieces with ``sequence_id`` and ``offset``; every piece has a place of its own."""
+def placed(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY,
+           keep_cache: bool = True) -> DataFrame:
+    """Pieces with ``sequence_id`` and ``offset``, every one with a place of its own, and with the
+    ``bytes`` of their ids, as little-endian unsigned integers of 4 bytes."""
     spark = docs.sparkSession
     rows, _ = stored(pieces(docs, tokenizer, end_id, capacity, keep_cache), "pieces")
     counts = {r.length: r["n"] for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -161,22 +170,32 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAP
          for s in plan(counts, capacity)],
         "length long, lo long, hi long, each long, sequence long, at long")
     # the plan has at most a few slots for each of ``capacity`` lengths
-    placed = with_rank(rows).join(F.broadcast(slots), "length").where("rank >= lo and rank < hi")
+    found = with_rank(rows).join(F.broadcast(slots), "length").where("rank >= lo and rank < hi")
     nth = F.col("rank") - F.col("lo")
-    return placed.select(
-        "doc_id", "piece", "start", "length", *["ids"] * with_ids,
-        F.expr("sequence + (rank - lo) div each").alias("sequence_id"),
-        (F.col("at") + nth % F.col("each") * F.col("length")).alias("offset"))
+    return found.select(
+        "doc_id", "piece", "start", "length", F.expr("sequence + (rank - lo) div each").alias("sequence_id"),
+        (F.col("at") + nth % F.col("each") * F.col("length")).alias("offset"), "bytes")
 
 
-def _summed(batches):
+def _read(batches):
     for batch in batches:
-        columns = {n: T.list_sums(batch.column(n)) if n == "ids" else batch.column(n) for n in batch.schema.names}
-        columns["ids_crc32"] = columns.pop("ids")
-        yield pa.RecordBatch.from_pydict(columns)
+        data = batch.column("bytes")
+        at = np.frombuffer(data.buffers()[1], np.int32)[data.offset:data.offset + len(data) + 1]
+        ids = np.frombuffer(data.buffers()[2] or b"", "<u4")[at[0] // 4:at[-1] // 4].astype(np.int32)
+        lists = pa.ListArray.from_arrays((at - at[0]) // 4, ids)
+        names = [n for n in batch.schema.names if n != "bytes"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), lists], names=[*names, "ids"])
+
+
+def packed(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY,
+           with_ids: bool = False, keep_cache: bool = True) -> DataFrame:
+    """Pieces with ``sequence_id`` and ``offset``, and their ``ids`` if asked for."""
+    rows = placed(docs, tokenizer, end_id, capacity, keep_cache)
+    if not with_ids:
+        return rows.drop("bytes")
+    return rows.mapInArrow(_read, PLACED + ", ids array<int>")
 
 
-def checksums(packed: DataFrame) -> DataFrame:
-    """What ``packed`` gives with ids, with their ``ids_crc32`` in their place."""
-    rows = packed.select("doc_id", "piece", "start", "length", "sequence_id", "offset", "ids")
-    return rows.mapInArrow(_summed, PIECES + ", sequence_id long, offset long, ids_crc32 long")
+def checksums(placed: DataFrame) -> DataFrame:
+    """What ``placed`` gives, with ``ids_crc32`` of the ids' bytes in their place."""
+    return placed.withColumn("ids_crc32", F.crc32("bytes")).drop("bytes")
