@@ -2,10 +2,14 @@
 
 The method is that of Pomikalek (2011): judge each paragraph by length, links and
 function words, then settle the short and doubtful ones by the nearest settled
-neighbours. Features are computed in the scan's stage; only the neighbour steps need
-the paragraphs of a page together and in order, which is one shuffle.
+neighbours. A page is one row with an array of its paragraphs, from markup to main text, so
+nothing is shuffled, sorted or exploded. Classes are letters of a string; the nearest
+neighbours of all places are found at once, by stretching each settled letter over the run of
+unsettled ones beside it. That is linear in the number of paragraphs.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import html as HT
@@ -58,19 +62,28 @@ def unmarked(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(line, MARKS, ""), " +", " "))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def paragraph_array(html: Column) -> Column:
+    """An array of ``pos, tag, text, n_chars, link_chars, hrefs`` of a page's paragraphs."""
+    def read(line: Column, pos: Column) -> Column:
+        linked = F.array_join(F.regexp_extract_all(line, F.lit(LINKED), F.lit(1)), "")
+        tag = (F.when(line.contains(_CHOICE), "select").when(line.contains(_HEADING), "head")
+               .otherwise("p"))
+        return let(unmarked(line), lambda text: F.struct(
+            pos.cast("bigint").alias("pos"), tag.alias("tag"), text.alias("text"),
+            F.length(text).cast("bigint").alias("n_chars"),
+            F.length(unmarked(linked)).cast("bigint").alias("link_chars"),
+            F.regexp_extract_all(line, F.lit(ADDRESS), F.lit(1)).alias("hrefs")))
+    return F.filter(F.transform(F.split(marked_lines(html), "\n"), read), lambda p: p["text"] != "")
+
+
 def paragraphs(pages: DataFrame, *keys: str) -> DataFrame:
-    """``keys, pos, tag, text, n_chars, link_chars, hrefs`` from ``keys, html``."""
-    lines = pages.select(*keys, F.posexplode(F.split(marked_lines(F.col("html")), "\n"))
-                         .alias("pos", "_line"))
-    line = F.col("_line")
-    linked = F.array_join(F.regexp_extract_all(line, F.lit(LINKED), F.lit(1)), "")
-    tag = (F.when(line.contains(_CHOICE), "select").when(line.contains(_HEADING), "head")
-           .otherwise("p"))
-    return lines.select(
-        *keys, F.col("pos").cast("bigint").alias("pos"), tag.alias("tag"), unmarked(line).alias("text"),
-        F.length(unmarked(linked)).cast("bigint").alias("link_chars"),
-        F.regexp_extract_all(line, F.lit(ADDRESS), F.lit(1)).alias("hrefs"),
-    ).where("text <> ''").withColumn("n_chars", F.length("text").cast("bigint"))
+    """``keys`` and the fields of ``paragraph_array``, a row for each, from ``keys, html``."""
+    return pages.select(*keys, F.inline(paragraph_array(F.col("html"))))
 
 
 def stop_words(labelled: DataFrame, n: int) -> DataFrame:
@@ -87,99 +100,121 @@ def stop_words(labelled: DataFrame, n: int) -> DataFrame:
         F.col("_rank") <= n).select("lang", "word")
 
 
-def with_features(paragraph_rows: DataFrame, stoplist: list[str]) -> DataFrame:
-    """Add ``n_words`` and ``n_stops``. The list is a parameter of the method, some
-    hundreds of words, and is compiled into a hash set."""
-    words = F.split(F.lower("text"), " ")
-    return paragraph_rows.withColumn("n_words", F.size(words).cast("bigint")).withColumn(
-        "n_stops", F.size(F.filter(words, lambda w: w.isin(*stoplist))).cast("bigint"))
-
-
-def context_free_class() -> Column:
-    """``good``, ``bad``, ``neargood`` or ``short`` by the paragraph alone."""
-    stops = F.col("n_stops") / F.col("n_words")
-    links = F.col("link_chars") / F.col("n_chars")
-    copyright_ = F.col("text").contains("©") | F.col("text").contains("&copy")
-    long_enough = F.col("n_chars") > LENGTH_HIGH
-    return (F.when(links > MAX_LINK_DENSITY, "bad").when(copyright_, "bad")
-            .when(F.col("tag") == "select", "bad")
-            .when(F.col("n_chars") < LENGTH_LOW,
-                  F.when(F.col("link_chars") > 0, "bad").otherwise("short"))
-            .when(stops >= STOPWORDS_HIGH,
-                  F.when(long_enough, "good").otherwise("neargood"))
-            .when(stops >= STOPWORDS_LOW, "neargood").otherwise("bad"))
-
-
-def classify(featured: DataFrame, *keys: str) -> DataFrame:
-    """Add ``cf_class`` and ``class`` (``good`` or ``bad``).
-
-    ``keys`` must identify a page, so a window partition is one page. Both directions
-    use running frames, which cost one step per row; a frame that reaches forward would
-    be computed anew for each row. The steps alternate so that each re-sort serves two.
-    """
-    back = W.partitionBy(*keys).orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
-    ahead = W.partitionBy(*keys).orderBy(F.desc("pos")).rowsBetween(W.unboundedPreceding, -1)
-    so_far = W.partitionBy(*keys).orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    heading = F.col("tag") == "head"
-
-    def nearest(cls, kinds, side):
-        return F.coalesce(F.last(F.when(F.col(cls).isin(*kinds), F.col(cls)),
-                                 ignorenulls=True).over(side), F.lit("bad"))
-
-    def near_next_good(cls):
-        start = F.when(F.col(cls) == "good", F.col("_end") - F.col("n_chars"))
-        gap = F.last(start, ignorenulls=True).over(ahead) - F.col("_end")
-        return F.coalesce(gap <= MAX_HEADING_DISTANCE, F.lit(False))
-
-    settled, any_ = ["good", "bad"], ["good", "bad", "neargood"]
-    d = featured.withColumn("cf_class", context_free_class())
-    d = d.withColumn("_end", F.sum("n_chars").over(so_far))
-
-    # a short heading close above good text may belong to it
-    d = d.withColumn("_hit", near_next_good("cf_class"))
-    d = d.withColumn("_c1", F.when(heading & (F.col("cf_class") == "short") & F.col("_hit"),
-                                   "neargood").otherwise(F.col("cf_class")))
-
-    # short: by both neighbours; between good and bad, by a doubtful one on the bad side
-    d = d.withColumn("_next", nearest("_c1", settled, ahead)).withColumn(
-        "_next_any", nearest("_c1", any_, ahead))
-    d = d.withColumn("_prev", nearest("_c1", settled, back)).withColumn(
-        "_prev_any", nearest("_c1", any_, back))
-    prev, next_ = F.col("_prev"), F.col("_next")
-    backed = (((prev == "bad") & (F.col("_prev_any") == "neargood"))
-              | ((next_ == "bad") & (F.col("_next_any") == "neargood")))
-    resolved = F.when(prev == next_, prev).when(backed, "good").otherwise("bad")
-    d = d.withColumn("_c2", F.when(F.col("_c1") == "short", resolved).otherwise(F.col("_c1")))
-
-    # doubtful: bad only between bad ones
-    d = d.withColumn("_prev2", nearest("_c2", settled, back))
-    d = d.withColumn("_next2", nearest("_c2", settled, ahead))
-    both_bad = (F.col("_prev2") == "bad") & (F.col("_next2") == "bad")
-    d = d.withColumn("_c3", F.when(F.col("_c2") == "neargood", F.when(both_bad, "bad")
-                                   .otherwise("good")).otherwise(F.col("_c2")))
-
-    # a heading that context made bad comes back close above good text
-    d = d.withColumn("_hit3", near_next_good("_c3"))
-    rescued = heading & (F.col("_c3") == "bad") & (F.col("cf_class") != "bad") & F.col("_hit3")
-    d = d.withColumn("class", F.when(rescued, "good").otherwise(F.col("_c3")))
-    return d.select(*featured.columns, "cf_class", "class")
-
-
-def main_text(classified: DataFrame, *keys: str) -> DataFrame:
-    """``keys, text``: the good paragraphs of each page, parted by a blank line.
-
-    The rows are already placed by page, so this adds no shuffle. A page without good
-    paragraphs has an empty text.
-    """
-    good = F.collect_list(F.when(F.col("class") == "good", F.struct("pos", "text")))
-    return classified.groupBy(*keys).agg(F.array_join(
-        F.transform(F.array_sort(good), lambda p: p["text"]), "\n\n").alias("text"))
-
-
-def structured(paragraph_rows: DataFrame, *keys: str) -> DataFrame:
-    """``keys, paragraph``: an array of tag, text and link targets per page."""
-    item = F.struct("pos", F.col("tag").alias("_tag"), "text", F.col("hrefs").alias("href"))
-    return paragraph_rows.groupBy(*keys).agg(F.transform(
-        F.array_sort(F.collect_list(item)),
-        lambda p: F.struct(p["_tag"].alias("_tag"), p["text"].alias("text"),
-                           p["href"].alias("href"))).alias("paragraph"))
+def with_features(paragraphs: Column, stoplist: list[str]) -> Column:
+    """Add ``n_words`` and ``n_stops`` to each paragraph of an array. The list is a parameter of the
+    method, some hundreds of words, and is compiled into a hash set."""
+    def counted(p: Column) -> Column:
+        return let(F.split(F.lower(p["text"]), " "), lambda words: p.withField(
+            "n_words", F.size(words).cast("bigint")).withField(
+            "n_stops", F.size(F.filter(words, lambda w: w.isin(*stoplist))).cast("bigint")))
+    return F.transform(paragraphs, counted)
+
+
+# Letters of the classes.
+_NAMES = {"g": "good", "b": "bad", "n": "neargood", "s": "short"}
+
+
+def _context_free(p: Column) -> Column:
+    """The letter of a paragraph by itself."""
+    stops, links = p["n_stops"] / p["n_words"], p["link_chars"] / p["n_chars"]
+    copyright_ = p["text"].contains("©") | p["text"].contains("&copy")
+    return (F.when(links > MAX_LINK_DENSITY, "b").when(copyright_, "b")
+            .when(p["tag"] == "select", "b")
+            .when(p["n_chars"] < LENGTH_LOW, F.when(p["link_chars"] > 0, "b").otherwise("s"))
+            .when(stops >= STOPWORDS_HIGH, F.when(p["n_chars"] > LENGTH_HIGH, "g").otherwise("n"))
+            .when(stops >= STOPWORDS_LOW, "n").otherwise("b"))
+
+
+def _nearest_before(letters: Column, kinds: str) -> Column:
+    """For each place the nearest letter of these kinds before it, bad if there is none."""
+    runs = F.regexp_extract_all(F.concat(F.lit("b"), F.array_join(letters, "")),
+                                F.lit(f"[{kinds}][^{kinds}]*"), F.lit(0))
+    return F.split(F.array_join(F.transform(runs, lambda r: F.repeat(F.left(r, F.lit(1)), F.length(r))), ""), "")
+
+
+def _nearest_after(letters: Column, kinds: str) -> Column:
+    """As ``_nearest_before``, in the other direction; place ``i`` has its answer at ``i + 1``."""
+    runs = F.regexp_extract_all(F.concat(F.array_join(letters, ""), F.lit("b")),
+                                F.lit(f"[^{kinds}]*[{kinds}]"), F.lit(0))
+    return F.split(F.array_join(F.transform(runs, lambda r: F.repeat(F.right(r, F.lit(1)), F.length(r))), ""), "")
+
+
+def _good_below(paragraphs: Column, letters: Column, i: Column) -> Column:
+    """Whether good text begins at most ``MAX_HEADING_DISTANCE`` characters below a paragraph. Each
+    paragraph between has a character at least, so only so many need be looked at."""
+    below = F.slice(F.transform(paragraphs, lambda p, k: F.struct(
+        p["n_chars"].alias("n"), F.get(letters, k).alias("letter"))), i + 2, MAX_HEADING_DISTANCE + 1)
+
+    def step(state: Column, p: Column) -> Column:
+        def to(gap, hit, open_):
+            return F.struct(gap.alias("gap"), hit.alias("hit"), open_.alias("open"))
+        return F.when(~state["open"], state).when(
+            p["letter"] == "g", to(state["gap"], state["gap"] <= MAX_HEADING_DISTANCE, F.lit(False))
+        ).otherwise(to(state["gap"] + p["n"], F.lit(False), F.lit(True)))
+    start = F.struct(F.lit(0).cast("bigint").alias("gap"), F.lit(False).alias("hit"), F.lit(True).alias("open"))
+    return F.aggregate(below, start, step, lambda state: state["hit"])
+
+
+def classified(paragraphs: Column) -> Column:
+    """Add ``cf_class`` and ``class`` (``good`` or ``bad``) to each paragraph with features."""
+    def heading(p, i):
+        return F.get(p, i)["tag"] == "head"
+
+    def settle(p: Column, own: Column) -> Column:
+        # a short heading close above good text may belong to it
+        raised = F.transform(own, lambda c, i: F.when(
+            heading(p, i) & (c == "s") & _good_below(p, own, i), "n").otherwise(c))
+        return let(raised, lambda c1: let(shorts(c1), lambda c2: let(doubtful(c2), lambda c3: let(
+            rescued(p, own, c3), lambda c4: named(p, own, c4)))))
+
+    def shorts(c1: Column) -> Column:
+        # by both neighbours; between good and bad, by a doubtful one on the bad side
+        sides = F.struct(
+            _nearest_before(c1, "gb").alias("prev"), _nearest_after(c1, "gb").alias("next"),
+            _nearest_before(c1, "gbn").alias("prev_any"), _nearest_after(c1, "gbn").alias("next_any"))
+
+        def resolved(s: Column, c: Column, i: Column) -> Column:
+            prev, next_ = F.get(s["prev"], i), F.get(s["next"], i + 1)
+            backed = (((prev == "b") & (F.get(s["prev_any"], i) == "n"))
+                      | ((next_ == "b") & (F.get(s["next_any"], i + 1) == "n")))
+            return F.when(c != "s", c).when(prev == next_, prev).when(backed, "g").otherwise("b")
+        return let(sides, lambda s: F.transform(c1, lambda c, i: resolved(s, c, i)))
+
+    def doubtful(c2: Column) -> Column:
+        # bad only between bad ones
+        sides = F.struct(_nearest_before(c2, "gb").alias("prev"), _nearest_after(c2, "gb").alias("next"))
+        return let(sides, lambda s: F.transform(c2, lambda c, i: F.when(c != "n", c).when(
+            (F.get(s["prev"], i) == "b") & (F.get(s["next"], i + 1) == "b"), "b").otherwise("g")))
+
+    def rescued(p: Column, own: Column, c3: Column) -> Column:
+        # a heading that context made bad comes back close above good text
+        return F.transform(c3, lambda c, i: F.when(
+            heading(p, i) & (c == "b") & (F.get(own, i) != "b") & _good_below(p, c3, i), "g").otherwise(c))
+
+    def named(p: Column, own: Column, c4: Column) -> Column:
+        def name(letter: Column) -> Column:
+            chain = F
+            for short, long in _NAMES.items():
+                chain = chain.when(letter == short, long)
+            return chain
+        return F.transform(p, lambda x, i: x.withField("cf_class", name(F.get(own, i))).withField(
+            "class", name(F.get(c4, i))))
+
+    return let(paragraphs, lambda p: let(F.transform(p, _context_free), lambda own: settle(p, own)))
+
+
+def good_text(classified: Column) -> Column:
+    """The good paragraphs, parted by a blank line; empty if there is none."""
+    return F.array_join(F.transform(F.filter(classified, lambda p: p["class"] == "good"),
+                                    lambda p: p["text"]), "\n\n")
+
+
+def main_text(html: Column, stoplist: list[str]) -> Column:
+    """Markup to its main text, like any other extractor."""
+    return good_text(classified(with_features(paragraph_array(html), stoplist)))
+
+
+def structured(html: Column) -> Column:
+    """An array of tag, text and link targets of a page's paragraphs."""
+    return F.transform(paragraph_array(html), lambda p: F.struct(
+        p["tag"].alias("_tag"), p["text"].alias("text"), p["hrefs"].alias("href")))

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import headers as H, html, mime as M, parsed, text as X
 from ..plans.physical import computed_once
+from .boilerplate import main_text
 from .sampling import choice, drawn
 
 #: Extractors by name; each maps markup to text without a shuffle. ``parser`` alone
-#: leaves the JVM. Register more by adding to this table.
+#: leaves the JVM. Register more by adding to this table. ``main`` takes a list of stop words.
 EXTRACTORS = {
     "blocks": html.blocks_to_text,
     "tags": html.tags_to_text,
@@ -29,35 +30,41 @@ def first_failing(*tests: tuple[str, Column]) -> Column:
     return chain
 
 
-def _extracted(source: Column, extractor: str, key: Column) -> Column:
+def random_extractors(stoplist: list[str] = ()) -> list[str]:
+    """What ``random`` draws from: main text as well, given the words that it needs."""
+    return RANDOM_EXTRACTORS + ["main"] * bool(stoplist)
+
+
+def _extracted(source: Column, extractor: str, key: Column, stoplist: list[str]) -> Column:
+    if extractor == "main":
+        return main_text(source, list(stoplist))
     if extractor != "random":
         return EXTRACTORS[extractor](source)
-    chosen = choice(key, RANDOM_EXTRACTORS)
-    chain = F
-    for name in RANDOM_EXTRACTORS:
-        chain = chain.when(chosen == name, EXTRACTORS[name](source))
+    options, chain = random_extractors(stoplist), F
+    for name in options:
+        chain = chain.when(choice(key, options) == name, _extracted(source, name, key, stoplist))
     return chain
 
 
-def text_of(content: Column, mime: Column, extractor: str, key: Column) -> Column:
+def text_of(content: Column, mime: Column, extractor: str, key: Column, stoplist: list[str] = ()) -> Column:
     """Plain text is decoded; everything else that is supported is read as markup.
 
     NULL when plain text is not valid UTF-8, and for NULL content.
     """
     source = F.when(~M.is_plain(mime), X.html_source(content))
     return F.when(M.is_plain(mime), X.utf8_text(content)).otherwise(
-        _extracted(source, extractor, key))
+        _extracted(source, extractor, key, stoplist))
 
 
 def extract(records: DataFrame, *tests: tuple[str, Column], extractor: str = "blocks",
-            normalize: bool = False) -> DataFrame:
+            normalize: bool = False, stoplist: list[str] = ()) -> DataFrame:
     """Add ``text`` and ``outcome``.
 
     Only records that pass every test reach the extractor, whatever the order in which
     Catalyst evaluates the columns.
     """
     candidate = F.when(F.col("outcome").isNull(), F.col("content"))
-    text = X.without_nul(text_of(candidate, H.mime_type(), extractor, H.record_id()))
+    text = X.without_nul(text_of(candidate, H.mime_type(), extractor, H.record_id(), stoplist))
     text = X.letters_only(text) if normalize else text
     unreadable = ("unreadable", F.col("error").isNotNull())
     gated = records.withColumn("outcome", first_failing(unreadable, *tests))
@@ -89,14 +96,14 @@ def _no_type() -> tuple[str, Column]:
 
 
 def conversion_outcomes(records: DataFrame, *, refers_to: bool = False, extractor="blocks",
-                        sample: float | None = None, seed=None) -> DataFrame:
+                        sample: float | None = None, seed=None, stoplist: list[str] = ()) -> DataFrame:
     """Tests of the JSONL conversion: draw, type, id, content, support, text."""
     tests = []
     if sample is not None:
         tests.append(("skipped", ~drawn(H.record_id(), sample, seed)))
     tests += [_types("response", "conversion"), _broken_id(H.bare_id(H.chosen_id(refers_to))),
               _empty(), _no_type(), _unsupported()]
-    return extract(records, *tests, extractor=extractor)
+    return extract(records, *tests, extractor=extractor, stoplist=stoplist)
 
 
 def hash_outcomes(records: DataFrame, *, refers_to: bool = False,

@@ -8,7 +8,7 @@ from ..operators import boilerplate as B, dedup as D, extraction as E, langid as
 from ..operators import manifest as MF, sampling as S, selection as SEL
 from ..sources import sinks as K
 from ..sources.warc import read_archives, register
-from .physical import fresh_path, materialize, spread
+from .physical import computed_once, fresh_path, materialize, spread
 from .tables import labelled_ids, page_archives, page_records, table, urn
 
 SUBSTRINGS = ["a1f", "07c", "e55", "3d9"]
@@ -307,11 +307,16 @@ def lang_sample(spark, sf):
 
 # --- main text ---------------------------------------------------------------------------
 
-def _paragraphs(spark, sf):
+def _stoplist(spark, sf) -> list[str]:
+    """``STOP_WORDS`` of each language, as a parameter of the method."""
     words = B.stop_words(_documents(spark, sf), STOP_WORDS)
-    # a list of STOP_WORDS per language, as a parameter of the method
-    stoplist = sorted({row.word for row in words.select("word").collect()})
-    return B.with_features(B.paragraphs(_pages(spark, sf), "page_id"), stoplist)
+    return sorted({row.word for row in words.select("word").collect()})
+
+
+def _classified(spark, sf):
+    """``page_id`` and the classified paragraphs of each page that has any."""
+    found = B.with_features(B.paragraph_array(F.col("html")), _stoplist(spark, sf))
+    return computed_once(_pages(spark, sf), paragraphs=B.classified(found)).where("size(paragraphs) > 0")
 
 
 def stop_words(spark, sf):
@@ -319,13 +324,19 @@ def stop_words(spark, sf):
 
 
 def boilerplate_paragraphs(spark, sf):
-    return B.classify(_paragraphs(spark, sf), "page_id").select(
+    return _classified(spark, sf).select("page_id", F.inline("paragraphs")).select(
         "page_id", "pos", "tag", "text", "n_chars", "link_chars", "n_words", "n_stops",
         "cf_class", "class")
 
 
 def main_text(spark, sf):
-    return B.main_text(B.classify(_paragraphs(spark, sf), "page_id"), "page_id")
+    return _classified(spark, sf).select("page_id", B.good_text(F.col("paragraphs")).alias("text"))
+
+
+def main_text_outcomes(spark, sf):
+    """Every record's outcome when markup is reduced to its main text."""
+    found = E.conversion_outcomes(_spread_records(spark, sf), extractor="main", stoplist=_stoplist(spark, sf))
+    return found.groupBy("rec_type", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
 def page_links(spark, sf):
@@ -365,7 +376,7 @@ QUERIES = {
         duplicates, drop_duplicates, duplicates_indexed, duplicates_stream, distinct_pages,
         line_words, line_words_custom, lang_model,
         lang_model_words, lang_line_scores, lang_keep,
-        lang_keep_documents, lang_sample, stop_words, boilerplate_paragraphs, main_text,
+        lang_keep_documents, lang_sample, stop_words, boilerplate_paragraphs, main_text, main_text_outcomes,
         page_links, archive_round_trip, archive_check,
     ]
 } | {

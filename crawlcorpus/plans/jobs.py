@@ -30,33 +30,18 @@ def report(checked: DataFrame) -> DataFrame:
     return checked.select(line.alias("value"))
 
 
-def _documents_by_main_text(outcomes: DataFrame, stoplist: list[str], **ids) -> DataFrame:
-    """Documents whose markup is reduced to its main text; plain text stays as it is."""
-    documents = materialize(K.documents(
-        outcomes.withColumn("_plain", M.is_plain(H.mime_type())),
-        carry=[*RECORD_KEY, "_plain"], **ids), "pages")
-    keys = [*RECORD_KEY, "id", "meta"]
-    pages = documents.where("not _plain").withColumnRenamed("text", "html")
-    featured = B.with_features(B.paragraphs(pages, *keys), stoplist)
-    main = B.main_text(B.classify(featured, *keys), *keys).where("text <> ''")
-    return main.select("id", "text", "meta").unionByName(
-        documents.where("_plain").select("id", "text", "meta"))
-
-
 def convert(spark: SparkSession, inputs: list[str], output: str, *, extractor="blocks",
             html: bool = False, refers_to: bool = False, sample: float | None = None,
             seed: int = S.FIRST_SEED, text_only: bool = False, prefix: str = "commoncrawl:",
             stoplist: list[str] = ()) -> dict:
-    """Records to JSON lines (or bare text). ``extractor="main"`` needs ``stoplist``."""
+    """Records to JSON lines (or bare text). ``extractor="main"`` needs ``stoplist``, and
+    ``random`` draws from main text too if it is given."""
     seen = Observation("convert")
     records = read_archives(spark, *inputs)
-    by_main_text = extractor == "main" and not html
     outcomes = E.observed(E.conversion_outcomes(
         records, refers_to=refers_to, sample=sample, seed=seed,
-        extractor="html" if html or by_main_text else extractor), seen)
-    ids = {"refers_to": refers_to, "prefix": prefix}
-    documents = (_documents_by_main_text(outcomes, list(stoplist), **ids) if by_main_text
-                 else K.documents(outcomes, **ids))
+        extractor="html" if html else extractor, stoplist=stoplist), seen)
+    documents = K.documents(outcomes, refers_to=refers_to, prefix=prefix)
     (K.write_text if text_only else K.write_jsonl)(documents, output)
     return seen.get
 
@@ -79,11 +64,8 @@ def extract_text(spark: SparkSession, inputs: list[str], output: str, *,
         read_archives(spark, *inputs), substrings=ids.split(",") if ids else None,
         markup_only=xml, extractor="html" if xml else "blocks"), seen)
     if xml:
-        pages = outcomes.where("outcome = 'ok'").select(
-            *RECORD_KEY, H.record_id().alias("_id"), F.col("text").alias("html"))
-        keys = [*RECORD_KEY, "_id"]
-        K.write_xml(B.structured(B.paragraphs(pages, *keys), *keys).select(
-            "_id", "paragraph"), output)
+        K.write_xml(outcomes.where("outcome = 'ok'").select(
+            H.record_id().alias("_id"), B.structured(F.col("text")).alias("paragraph")), output)
     else:
         (K.write_text if raw else K.write_jsonl)(K.responses(outcomes), output)
     return seen.get

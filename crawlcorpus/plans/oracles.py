@@ -329,6 +329,11 @@ _CLASSES = f"""{_STOPS}, {_PARAGRAPHS},
   classes as (select *, case when tag = 'head' and k3 = 'bad' and cf_class <> 'bad'
     and {_gap('k3')} then 'good' else k3 end as class from c3)"""
 
+_MAIN = """select page_id, coalesce(string_agg(case when class = 'good' then text end,
+                          chr(10) || chr(10) order by pos), '') as text from classes group by page_id"""
+# the same over the payloads of records
+_RECORD_CLASSES = _CLASSES.replace("from pages)", "from (select seq as page_id, content as html from rec))")
+
 _FIRST = """first_value(doc_id) over (partition by text order by doc_id) as first_id"""
 
 ORACLES = {
@@ -433,9 +438,11 @@ ORACLES = {
     "stop_words": f"with {_STOPS} select lang, word from stops",
     "boilerplate_paragraphs": f"""with {_CLASSES} select page_id, pos, tag, text, n_chars,
       link_chars, n_words, n_stops, cf_class, class from classes""",
-    "main_text": f"""with {_CLASSES} select page_id,
-      coalesce(string_agg(case when class = 'good' then text end, chr(10) || chr(10)
-                          order by pos), '') as text from classes group by page_id""",
+    "main_text": f"with {_CLASSES} {_MAIN}",
+    "main_text_outcomes": f"""with {REC}, {_RECORD_CLASSES}, main as ({_MAIN}),
+      read as (select rec.*, coalesce(main.text, '') as main_text from rec left join main on page_id = seq),
+      {_outcomes(_gate(_BY_TYPE, _EMPTY, _REJECT), 'main_text', source='read')}
+      select rec_type, outcome, count(*) as n from outcomes group by all""",
     "page_links": f"with {_PARAGRAPHS} select page_id, pos, unnest(hrefs) as href from paragraphs",
     "archive_round_trip": f"""with {REC} select record_id, rec_type, mime, target_uri,
       md5(content) as content_md5 from rec""",

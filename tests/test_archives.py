@@ -169,6 +169,24 @@ def test_convert_by_main_text(spark, tmp_path):
     assert texts == {"plain text", f"{words.strip()}\n\nshort\n\n{words.strip()}"}
 
 
+@pytest.mark.parametrize("extractor", ["main", "random"])
+def test_counts_are_of_what_is_written(spark, tmp_path, extractor):
+    long = "the quick brown fox and the lazy dog are in the garden of the house " * 5
+    pages = [f"<p>{long}{n}</p>" if n % 2 else f"<p>short {n}</p>" for n in range(24)]
+    path = write(tmp_path / "a.warc.gz", [record("response", str(n), p.encode()) for n, p in enumerate(pages)])
+    counts = jobs.convert(spark, [path], f"{tmp_path}/out", extractor=extractor, stoplist=["the", "and", "are", "in", "of"])
+    written = spark.read.json(f"{tmp_path}/out").count()
+    assert counts["total"] == 24 == counts["output"] + counts["empties"] and counts["output"] == written
+    assert counts["empties"] == 12 if extractor == "main" else 0 < counts["empties"] < 12
+
+
+def test_pages_without_paragraphs_are_written_as_xml(spark, tmp_path):
+    path = write(tmp_path / "a.warc.gz", [record("response", "1", b"<hr>"), record("response", "2", b"<p>x</p>")])
+    counts = jobs.extract_text(spark, [path], f"{tmp_path}/x", xml=True)
+    xml = "".join(f.read_text() for f in (tmp_path / "x").glob("part*"))
+    assert counts["output"] == 2 == xml.count("<doc ") and xml.count("<paragraph") == 1
+
+
 def test_hash_and_extract_jobs(spark, tmp_path):
     path = write(tmp_path / "a.warc.gz", ordinary() + [
         record("response", "r2", PAGE), record("response", "r3", b"x", **{

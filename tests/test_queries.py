@@ -45,5 +45,12 @@ def test_query(spark, duck, name):
     assert _rows(found.toPandas()) == _rows(duck.execute(sql).fetchdf())
 
 
+@pytest.mark.parametrize("name", ["boilerplate_paragraphs", "main_text"])
+def test_main_text_is_map_only(spark, name):
+    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    spread = plan.count("REPARTITION_BY_NUM")  # of the scan, which one small file needs
+    assert plan.count("Exchange hash") == spread and "Window" not in plan and "Sort" not in plan
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

@@ -185,7 +185,10 @@ def test_context_classes_against_brute_force(spark):
     df = spark.createDataFrame(rows, "page int, pos long, tag string, text string, n_chars long, "
                                      "link_chars long, n_words long, n_stops long")
     found = {}
-    for r in B.classify(df, "page").orderBy("page", "pos").collect():
+    arrays = df.groupBy("page").agg(F.array_sort(F.collect_list(F.struct(
+        *[c for c in ("pos", "tag", "text", "n_chars", "link_chars", "n_words", "n_stops")]))).alias("p"))
+    classes = arrays.select("page", F.inline(B.classified(F.col("p"))))
+    for r in classes.orderBy("page", "pos").collect():
         found.setdefault(r.page, []).append((r.cf_class, r["class"]))
     for page, (cf, headings, lengths) in pages.items():
         assert [k for k, _ in found[page]] == cf
