@@ -6,7 +6,7 @@
 import argparse
 import sys
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import Observation, SparkSession, functions as F
 
 from .operators import langid as L, manifest as MF, sampling as S
 from .plans import jobs
@@ -21,6 +21,8 @@ def _parser() -> argparse.ArgumentParser:
         p = commands.add_parser(name, help=text)
         if inputs:
             p.add_argument("input", nargs="+", metavar="FILE-OR-DIR")
+            p.add_argument("--mode", choices=jobs.MODES, default=jobs.MODES[0],
+                           help="archives at fault are counted, passed over, or end the run")
         if output:
             p.add_argument("-o", "--output", required=True)
         return p
@@ -68,6 +70,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--ids", required=True)
     p.add_argument("-r", "--refers-to", action="store_true")
     p.add_argument("--input-root")
+    p.add_argument("--index", help="folder of an index of the inputs, to read listed records only")
+
+    command("index", "place and ids of each record, for filter --index")
 
     p = command("duplicates", "responses whose text was seen before")
     p.add_argument("--db", required=True, help="folder of the index")
@@ -97,40 +102,47 @@ def _run(spark: SparkSession, a: argparse.Namespace):
 
     match a.command:
         case "check":
-            return jobs.report(jobs.check(spark, a.input))
+            return jobs.report(jobs.check(spark, a.input, a.mode))
         case "convert":
             words = []
             if a.stop_words:  # a parameter of the method: some hundreds of words
                 words = [r.id for r in lists.id_list(spark, a.stop_words).collect()]
             return jobs.convert(spark, a.input, a.output, extractor=a.extractor, html=a.html,
                                 refers_to=a.refers_to, sample=a.sample, seed=a.seed,
-                                text_only=a.text_only, stoplist=words)
+                                text_only=a.text_only, stoplist=words, mode=a.mode)
         case "hashes":
             return jobs.compute_hashes(spark, a.input, a.output, refers_to=a.refers_to,
-                                       normalize=not a.no_norm)
+                                       normalize=not a.no_norm, mode=a.mode)
         case "extract":
-            return jobs.extract_text(spark, a.input, a.output, ids=a.ids, raw=a.raw, xml=a.xml)
+            return jobs.extract_text(spark, a.input, a.output, ids=a.ids, raw=a.raw, xml=a.xml,
+                                     mode=a.mode)
         case "sample":
             return jobs.sample_responses(
                 spark, a.ratio, a.input, a.output, seed=a.seed, language=a.language,
-                lang_prob=a.lang_prob, model=model(), input_root=a.input_root)
+                lang_prob=a.lang_prob, model=model(), input_root=a.input_root, mode=a.mode)
         case "sample-crawl":
-            return jobs.sample_crawl(
-                spark, lists.path_list(spark, a.paths), a.ratio, a.output, base=a.base,
+            counts = {}
+            jobs.sample_crawl(
+                spark, lists.path_list(spark, a.paths), a.ratio, a.output, base=a.base, counts=counts,
                 language=a.language, lang_prob=a.lang_prob, model=model(), limit=a.limit)
+            return counts
         case "filter":
             return jobs.filter_by_ids(spark, a.ids, a.input, a.output, refers_to=a.refers_to,
-                                      input_root=a.input_root)
+                                      input_root=a.input_root, index=a.index, mode=a.mode)
+        case "index":
+            return jobs.index(spark, a.input, a.output, a.mode)
         case "duplicates":
-            found = jobs.find_duplicates(spark, a.input, a.db)
-            return jobs.K.write_tsv(found, a.output)
+            seen = Observation("duplicates")
+            jobs.K.write_tsv(jobs.find_duplicates(spark, a.input, a.db, a.mode, seen), a.output)
+            return seen.get
         case "train":
             return L.train(spark.read.load(a.table).select("lang", "text")).save(a.output)
         case "select-language":
             return jobs.select_language(
                 spark, model(), a.input, a.output, label=a.label, keep_words=a.keep_words,
                 keep_ratio=a.keep_ratio, min_ratio=a.min_ratio, max_labels=a.max_labels,
-                min_words=a.min_pred_words, threshold=a.threshold, pattern=a.word_regex)
+                min_words=a.min_pred_words, threshold=a.threshold, pattern=a.word_regex,
+                mode=a.mode)
         case "common-prefix":
             strings = lists.lines(spark, *a.input)
             found = MF.common_directory(strings) if a.dir else MF.common_prefix(strings)

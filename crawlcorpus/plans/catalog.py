@@ -7,6 +7,7 @@ from ..functions.parsed import parsed_to_text
 from ..operators import boilerplate as B, dedup as D, extraction as E, langid as L
 from ..operators import manifest as MF, sampling as S, selection as SEL
 from ..sources import sinks as K
+from ..sources.members import chosen, member_index, read_members
 from ..sources.warc import read_archives, register
 from .physical import computed_once, fresh_path, materialize, spread
 from .tables import labelled_ids, page_archives, page_records, table, urn
@@ -222,8 +223,8 @@ def duplicates_indexed(spark, sf):
         F.col("doc_id").alias("id"), "doc_id", "source",
         X.raw_digest(F.col("text")).alias("digest")), "digests")
     first = rows.agg(F.min("source")).scalar()
-    index = D.first_seen(rows.where(F.col("source") == first), ["doc_id"])
-    later = rows.where(F.col("source") != first)
+    index = D.first_seen(rows.where(F.col("source") == first), ["doc_id"])  # one without a source is later
+    later = rows.where(~F.col("source").eqNullSafe(first))
     settled = materialize(D.against_index(later, index, ["doc_id"]), "settled")
     return D.duplicates_given(later, settled)
 
@@ -365,6 +366,25 @@ def archive_check(spark, sf):
     return checked.groupBy("status").agg(F.sum("n_records").alias("n_records"))
 
 
+def filter_by_member_index(spark, sf):
+    """As ``filter_by_ids``, over archives: ids are joined to an index, listed records read by place."""
+    register(spark)
+    folder = fresh_path(spark, "archives")
+    K.write_archives(_spread_records(spark, sf), folder)
+    index = materialize(member_index(spark, folder), "members")
+    found = read_members(materialize(chosen(index, labelled_ids(spark, sf)), "places"))
+    return found.select(H.record_id().alias("record_id"), "rec_type", F.md5("content").alias("content_md5"))
+
+
+def archive_members(spark, sf):
+    """What an index knows of the records of archives, of which all have a place."""
+    register(spark)
+    folder = fresh_path(spark, "archives")
+    K.write_archives(_spread_records(spark, sf), folder)
+    return member_index(spark, folder).select(
+        F.col("id").alias("record_id"), "rec_type", "refers_to", F.col("offset").isNotNull().alias("has_place"))
+
+
 QUERIES = {
     f.__name__: f for f in [
         record_headers, mime_profile, record_outcomes, outcomes_by_file, hash_outcomes,
@@ -377,7 +397,7 @@ QUERIES = {
         line_words, line_words_custom, lang_model,
         lang_model_words, lang_line_scores, lang_keep,
         lang_keep_documents, lang_sample, stop_words, boilerplate_paragraphs, main_text, main_text_outcomes,
-        page_links, archive_round_trip, archive_check,
+        page_links, archive_round_trip, archive_check, filter_by_member_index, archive_members,
     ]
 } | {
     "html_text_tags": _page_text(HT.tags_to_text),

@@ -398,10 +398,10 @@ ORACLES = {
     "drop_duplicates": f"""select doc_id as id, upper(md5(text)) as digest
       from (select *, {_FIRST} from documents) where doc_id = first_id""",
     "duplicates_indexed": """with ranked as (select doc_id, source, first_value(doc_id) over (
-        partition by text order by source <> (select min(source) from documents), doc_id)
+        partition by text order by source is distinct from (select min(source) from documents), doc_id)
         as first_id from documents)
       select doc_id as id, first_id from ranked
-      where source <> (select min(source) from documents) and doc_id <> first_id""",
+      where source is distinct from (select min(source) from documents) and doc_id <> first_id""",
     "duplicates_stream": f"""select doc_id as id, first_id from (select doc_id, {_FIRST}
       from documents) where doc_id <> first_id""",
     "distinct_pages": f"""with {REC}, {_CONVERT},
@@ -446,5 +446,8 @@ ORACLES = {
     "page_links": f"with {_PARAGRAPHS} select page_id, pos, unnest(hrefs) as href from paragraphs",
     "archive_round_trip": f"""with {REC} select record_id, rec_type, mime, target_uri,
       md5(content) as content_md5 from rec""",
+    "filter_by_member_index": f"""with {REC} select record_id, rec_type, md5(content) as content_md5
+      from rec where record_id in {_GOOD_IDS}""",
+    "archive_members": f"with {REC} select record_id, rec_type, refers_to, true as has_place from rec",
     "archive_check": f"with {REC} select 'OK' as status, count(*) as n_records from rec",
 }

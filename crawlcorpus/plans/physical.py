@@ -37,12 +37,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_place(df: DataFrame, order: str, place: str) -> DataFrame:
-    """Number the rows from 0 by a column, without bringing them to one task.
+#: Rows that one task may sort and number, after a count.
+SMALL_ROWS = 100_000
+
+
+def with_place(df: DataFrame, order: str, place: str, small: int = SMALL_ROWS) -> DataFrame:
+    """Number the rows from 0 by a column; many of them without bringing them to one task.
 
     Ranges of the column, as Spark samples them, are stored and numbered each for itself;
-    the counts of the ranges before are added, one row per range.
+    the counts of the ranges before are added, one row per range. Up to ``small`` rows, counted
+    first, are numbered as they are.
     """
+    if df.limit(small + 1).count() <= small:
+        return df.withColumn(place, F.row_number().over(Window.orderBy(order)).cast("bigint") - 1)
     ranged = materialize(df.repartitionByRange(shuffle_partitions(df), order).withColumn(
         "_part", F.spark_partition_id()), "ranges")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -18,6 +18,18 @@ RECORD = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
+#: Where a record stands in its archive, and what to choose it by.
+MEMBER = T.StructType([
+    T.StructField("file", T.StringType()),
+    T.StructField("file_seq", T.IntegerType()),
+    T.StructField("rec_seq", T.LongType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("rec_type", T.StringType()),
+    T.StructField("id", T.StringType()),
+    T.StructField("refers_to", T.StringType()),
+])
+
 #: Columns that identify a record wherever its id may be missing or repeated.
 RECORD_KEY = ["file_seq", "rec_seq"]
 

@@ -27,9 +27,10 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
                                     InputPartition, WriterCommitMessage)
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..schema import RECORD
+from ..schema import MEMBER, RECORD
 from .files import absolute, located
-from .records import FORMAT_ERRORS, open_archive, read_records, write_record
+from .records import (FORMAT_ERRORS, Position, next_record, open_archive, read_records,
+                      write_record)
 
 MOVES_AT_ONCE = 16
 BATCH_ROWS = 256
@@ -66,6 +67,10 @@ def _lowered(options) -> dict:
     return {name.lower(): str(value) for name, value in dict(options).items()}
 
 
+def _indexing(options: dict) -> bool:
+    return options.get("index", "false").lower() == "true"
+
+
 class ArchiveScan:
     """Rows of archives under one set of options; runs inside tasks."""
 
@@ -74,42 +79,97 @@ class ArchiveScan:
         self.mode = options.get("mode", "PERMISSIVE").upper()
         self.keep_raw = options.get("keepraw", "false").lower() == "true"
         self.keep_content = options.get("content", "true").lower() == "true"
+        self.http_headers = options.get("httpheaders", "true").lower() == "true"
         types = options.get("recordtypes", "")
         self.types = {t.strip() for t in types.split(",") if t.strip()}
 
+    def wanted(self, headers: dict) -> bool:
+        return not self.types or headers.get("warc-type") in self.types
+
+    def read(self, stream, position=None):
+        return read_records(stream, wanted=self.wanted, content=self.keep_content, raw=self.keep_raw,
+                            http_headers=self.http_headers, position=position)
+
     def rows(self, path: str, seq: int, name: str | None = None):
-        """Records of an archive; ``name`` stands in ``file`` instead of its path."""
-        count, name = 0, name or path
-        try:
-            with open_archive(path) as stream:
-                for count, (headers, http, content, raw) in enumerate(read_records(stream), 1):
-                    kind = headers.get("warc-type")
-                    if self.types and kind not in self.types:
-                        continue
-                    yield (name, seq, count, kind, headers, http,
-                           content if self.keep_content else None,
-                           raw if self.keep_raw else None, None)
-            if not count:
-                raise ValueError("no records")
-        except (*FORMAT_ERRORS, FileNotFoundError) as e:
-            if self.mode == "FAILFAST" or isinstance(e, pa.ArrowException):
-                raise
-            if self.mode == "PERMISSIVE":
-                yield (name, seq, count + 1, None, None, None, None, None,
-                       f"{type(e).__name__}: {e}")
+        """Records of an archive; ``name`` stands in ``file`` instead of its path.
+
+        Where an archive is damaged the scan goes on at the next record that can be found; what
+        was lost in between is one row with an ``error``, which counts as a record.
+        """
+        count, name, offset = 0, name or path, 0
+        while offset is not None:
+            position, stream = Position(), None
+            try:
+                with open_archive(path, offset) as stream:
+                    for count, record in enumerate(self.read(stream, position), count + 1):
+                        if record is not None:
+                            headers, http, content, raw = record
+                            yield (name, seq, count, headers.get("warc-type"), headers, http, content, raw, None)
+                if not count:
+                    raise ValueError("no records")
+                return
+            except (*FORMAT_ERRORS, FileNotFoundError) as e:
+                if self.mode == "FAILFAST" or isinstance(e, pa.ArrowException):
+                    raise
+                count += 1
+                if self.mode == "PERMISSIVE":
+                    yield (name, seq, count, None, None, None, None, None, f"{type(e).__name__}: {e}")
+                if stream is None or path.endswith(".zst"):
+                    return
+                offset = next_record(path, stream.raw.start_of(position.at)[1])
+
+    def index(self, path: str, seq: int):
+        """``file, file_seq, rec_seq, offset, length, rec_type, id, refers_to`` of records that begin a
+        member of their own or stand in a plain file; of others ``offset`` is null. ``length`` is
+        null for the last one of a stretch, which reaches as far as it reaches."""
+        count, offset = 0, 0
+        while offset is not None:
+            position, stream, last = Position(), None, None
+            try:
+                with open_archive(path, offset) as stream:
+                    for count, record in enumerate(read_records(
+                            stream, wanted=self.wanted, content=False, raw=False, http_headers=False, position=position), count + 1):
+                        if record is None:
+                            continue
+                        headers = record[0]
+                        start, place = (None, None) if path.endswith(".zst") else stream.raw.start_of(position.at)
+                        place = place if start == position.at else None
+                        if last:
+                            yield (*last[:4], place - last[3] if None not in (place, last[3]) else None, *last[4:])
+                        last = (path, seq, count, place, headers.get("warc-type"),
+                                headers.get("warc-record-id"), headers.get("warc-refers-to"))
+                offset = None
+            except FORMAT_ERRORS as e:
+                if self.mode == "FAILFAST" or isinstance(e, pa.ArrowException):
+                    raise
+                count += 1
+                again = stream is not None and not path.endswith(".zst")
+                offset = next_record(path, stream.raw.start_of(position.at)[1]) if again else None
+            if last:
+                yield (*last[:4], None, *last[4:])
+
+    def member(self, path: str, seq: int, count: int, offset: int):
+        """The row of one record that an index names."""
+        with open_archive(path, offset) as stream:
+            headers, http, content, raw = next(read_records(
+                stream, content=self.keep_content, raw=self.keep_raw, http_headers=self.http_headers))
+        return (path, seq, count, headers.get("warc-type"), headers, http, content, raw, None)
 
     def batches(self, archives):
-        schema = to_arrow_schema(RECORD)
-        rows, size = [], 0
-        for archive in archives:
-            for row in self.rows(*archive):
-                rows.append(row)
-                size += len(row[6] or b"") + len(row[7] or b"")
-                if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
-                    yield _batch(rows, schema)
-                    rows, size = [], 0
-        if rows:
+        return batched(row for archive in archives for row in self.rows(*archive))
+
+
+def batched(found, kind=RECORD):
+    """Rows of a schema in batches of bounded size."""
+    schema, rows, size = to_arrow_schema(kind), [], 0
+    for row in found:
+        rows.append(row)
+        size += sum(len(x) for x in row if isinstance(x, bytes))
+        if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
             yield _batch(rows, schema)
+            rows, size = [], 0
+    if rows:
+        yield _batch(rows, schema)
 
 
 def _batch(rows, schema) -> pa.RecordBatch:
@@ -150,7 +210,11 @@ class WarcReader(DataSourceReader):
         return [_Archives(g) for g in groups] or [_Archives([])]
 
     def read(self, partition):
-        yield from ArchiveScan(self.options).batches(partition.archives)
+        scan = ArchiveScan(self.options)
+        if _indexing(self.options):
+            yield from batched((row for a in partition.archives for row in scan.index(*a)), MEMBER)
+        else:
+            yield from scan.batches(partition.archives)
 
 
 class _Written(WriterCommitMessage):
@@ -256,7 +320,7 @@ class WarcSource(DataSource):
         return "warc"
 
     def schema(self):
-        return RECORD
+        return MEMBER if _indexing(_lowered(self.options)) else RECORD
 
     def reader(self, schema):
         return WarcReader(self.options)
@@ -268,7 +332,9 @@ class WarcSource(DataSource):
 
 
 def read_archives(spark: SparkSession, *paths: str, **options) -> DataFrame:
-    """Records of files and folders, in the order given."""
+    """Records of files and folders, in the order given. What the scan may pass over is given as
+    options: Spark 4.1 keeps filters that it hands down to a Python source with the relation, so
+    that two branches of one query would read by the filters of the last."""
     register(spark)
     cores = spark.sparkContext.defaultParallelism
     return (spark.read.format("warc").option("paths", json.dumps([absolute(p) for p in paths]))

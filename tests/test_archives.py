@@ -2,7 +2,7 @@ import gzip
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from archives import PAGE, ordinary, record, write
 from crawlcorpus.functions import headers as H
@@ -247,5 +247,19 @@ def test_duplicates_job_remembers(spark, tmp_path):
     a, b, c, d, e, f = ids
     found = jobs.find_duplicates(spark, [one], f"{tmp_path}/db").collect()
     assert {tuple(r) for r in found} == {(b, a)}
-    found = jobs.find_duplicates(spark, [two], f"{tmp_path}/db").collect()
+    seen = Observation("seen")
+    found = jobs.find_duplicates(spark, [two], f"{tmp_path}/db", seen=seen).collect()
     assert {tuple(r) for r in found} == {(d, a), (f, e)}
+    assert (seen.get["total"], seen.get["output"], seen.get["unreadable"]) == (4, 4, 0)
+
+
+def test_modes_of_jobs(spark, tmp_path):
+    write(tmp_path / "in/a.warc.gz", ordinary())
+    write(tmp_path / "in/cut.warc.gz", ordinary(), cut=20)
+    root = [f"{tmp_path}/in"]
+    counts = jobs.convert(spark, root, f"{tmp_path}/p")
+    assert (counts["unreadable"], counts["output"]) == (1, 3)
+    assert jobs.compute_hashes(spark, root, f"{tmp_path}/d", mode="DROPMALFORMED")["unreadable"] == 0
+    for job in (jobs.convert, jobs.extract_text):
+        with pytest.raises(Exception):
+            job(spark, root, f"{tmp_path}/f", mode="FAILFAST")

@@ -53,6 +53,8 @@ def test_a_plan_has_every_path(spark):
     assert plan.count() == 20_001
     last = plan.orderBy(F.desc("path")).first()
     assert last.seed == 6472 + 163 * 20_000
+    numbered = with_place(paths, "path", "n", small=100)  # in ranges
+    assert numbered.where("n <> cast(substr(path, 6) as bigint)").count() == 0
     assert with_place(paths, "path", "n").where("n <> cast(substr(path, 6) as bigint)").count() == 0
 
 
@@ -72,7 +74,7 @@ def test_unread_archives_are_planned_again(spark, tmp_path):
 def test_other_failures_are_for_a_retry(tmp_path, monkeypatch):
     path = write(tmp_path / "a.warc.gz", ordinary())
 
-    def broken(stream):
+    def broken(stream, **_):
         raise OSError("connection reset")
     monkeypatch.setattr("crawlcorpus.sources.warc.read_records", broken)
     with pytest.raises(OSError, match="reset"):
