@@ -27,6 +27,19 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/crawlcorpus/{name}-{uuid.uuid4().hex}"
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark knows; none if it is not there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in system.listStatus(where)) if system.exists(where) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a table that nothing will read again."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table that several later jobs read, and read it back.
 

@@ -2,15 +2,21 @@
 
 Every micro-batch is settled against the index with the batch operators, so a text that
 floods a batch is merged before any shuffle and no group is ever held by one task. The
-index grows by one Parquet folder per batch. A batch that is retried after a failure
-replaces its own folders and ignores them while reading, so each is counted once.
+index has each digest once: a batch adds a folder ``batch=N`` of those it was the first to have, and
+when there are more than ``MERGE_PARTS`` folders they become one, ``upto=N``. Tables that only a batch itself
+needs are removed when it is done. A batch that is retried after a failure replaces its own
+folders and ignores them while reading, so each is counted once; folders that a merge has taken up are
+ignored from the moment it is complete.
 """
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import dedup as D
+from ..plans.physical import folders, remove
+
+#: Folders of the index that a batch reads at most.
+MERGE_PARTS = 8
 
 
 class DuplicateStream:
@@ -22,52 +28,66 @@ class DuplicateStream:
     def __init__(self, spark: SparkSession, base: str, schema: StructType, order=D.ORDER):
         self.spark, self.order = spark, list(order)
         self.index, self.pairs = f"{base}/index", f"{base}/pairs"
-        self.progress, self.rows = f"{base}/progress", f"{base}/rows"
+        self.progress, self.work = f"{base}/progress", f"{base}/work"
         self.digest_type = schema["digest"].dataType.simpleString()
         self.id_type = schema["id"].dataType.simpleString()
-
-    def _read(self, path: str, columns: str) -> DataFrame:
-        return self.spark.read.schema(f"{columns}, batch bigint").parquet(path)
-
-    def _index(self) -> DataFrame:
-        return self._read(self.index, f"digest {self.digest_type}, first_id {self.id_type}, "
-                                      "n bigint, is_new boolean")
+        self.known = f"digest {self.digest_type}, first_id {self.id_type}"
 
     def duplicates(self) -> DataFrame:
         """``batch, id, first_id`` found so far."""
-        return self._read(self.pairs, f"id {self.id_type}, first_id {self.id_type}"
-                          ).select("batch", "id", "first_id")
+        return self.spark.read.schema(f"id {self.id_type}, first_id {self.id_type}, batch bigint").parquet(
+            self.pairs).select("batch", "id", "first_id")
+
+    def _parts(self, before: int) -> list[tuple[int, str]]:
+        """Folders that together hold the digests of all batches before a number: the last complete
+        merge, and the batches since."""
+        found = []
+        for name in folders(self.spark, self.index):
+            kind, _, number = name.partition("=")
+            if kind in ("upto", "batch") and int(number) < before:
+                path = f"{self.index}/{name}"
+                if kind == "batch" or "_SUCCESS" in folders(self.spark, path):
+                    found.append((int(number), kind, path))
+        base = max((x for x in found if x[1] == "upto"), default=(-1, "", ""))
+        return [(n, path) for n, kind, path in sorted(found) if n > base[0] or path == base[2]]
+
+    def _earlier(self, number: int) -> DataFrame:
+        """``digest, first_id`` of all batches before this one."""
+        parts = [path for _, path in self._parts(number)]
+        if not parts:
+            return self.spark.createDataFrame([], self.known)
+        return self.spark.read.schema(self.known).parquet(*parts)
+
+    def _merge(self, number: int) -> None:
+        """One folder of all that batches before this one have left, if there are many."""
+        if len(self._parts(number)) <= MERGE_PARTS:
+            return
+        self._earlier(number).write.mode("overwrite").parquet(f"{self.index}/upto={number - 1}")
+        for name in folders(self.spark, self.index):
+            if name != f"upto={number - 1}" and int(name.partition("=")[2]) < number:
+                remove(self.spark, f"{self.index}/{name}")
 
     def _settle(self, batch: DataFrame, number: int) -> None:
-        rows_path, here = f"{self.rows}/batch={number}", f"batch={number}"
-        batch.write.mode("overwrite").parquet(rows_path)
-        rows = self.spark.read.schema(batch.schema).parquet(rows_path)
-        if number == 0:
-            earlier = self.spark.createDataFrame([], self._known_schema())
-        else:
-            # folders are partitions: later batches are pruned, not read
-            earlier = self._index().where((F.col("batch") < number) & F.col("is_new"))
-        settled = D.against_index(rows, earlier, self.order)
-        settled.write.mode("overwrite").parquet(f"{self.index}/{here}")
-        settled = self.spark.read.schema(settled.schema).parquet(f"{self.index}/{here}")
-        D.duplicates_given(rows, settled).write.mode("overwrite").parquet(
-            f"{self.pairs}/{here}")
-
-    def _known_schema(self) -> str:
-        return f"digest {self.digest_type}, first_id {self.id_type}"
+        self._merge(number)
+        work = f"{self.work}/batch={number}"
+        batch.write.mode("overwrite").parquet(f"{work}/rows")
+        rows = self.spark.read.schema(batch.schema).parquet(f"{work}/rows")
+        settled = D.against_index(rows, self._earlier(number), self.order)
+        settled.write.mode("overwrite").parquet(f"{work}/settled")
+        settled = self.spark.read.schema(settled.schema).parquet(f"{work}/settled")
+        settled.where("is_new").select("digest", "first_id").write.mode("overwrite").parquet(
+            f"{self.index}/batch={number}")
+        D.duplicates_given(rows, settled).write.mode("overwrite").parquet(f"{self.pairs}/batch={number}")
+        remove(self.spark, work)
 
     def add(self, rows: DataFrame) -> int:
         """Process a batch table as the next batch; returns its number.
 
         For runs without a stream. One index is fed either by ``run`` or by ``add``.
         """
-        try:
-            last = self._index().agg(F.max("batch")).first()[0]
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            last = None
-        number = 0 if last is None else last + 1
+        done = [name for name in folders(self.spark, self.pairs) if name.startswith("batch=")
+                and "_SUCCESS" in folders(self.spark, f"{self.pairs}/{name}")]  # what failed runs again
+        number = max((int(name.partition("=")[2]) for name in done), default=-1) + 1
         self._settle(rows, number)
         return number
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from crawlcorpus.operators import dedup as D
 from crawlcorpus.plans.physical import materialize
+from crawlcorpus.streaming import dedup as stream
 from crawlcorpus.streaming.dedup import DuplicateStream
 
 SCHEMA = "digest string, id string, file_seq int, rec_seq long"
@@ -135,3 +136,32 @@ def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
     index._settle(first, 0)
     index._settle(second, 1)
     assert pairs(index.duplicates()) == brute(rows)
+
+
+def test_the_index_holds_each_digest_once_and_is_merged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream, "MERGE_PARTS", 2)
+    rows, base = skewed(160), tmp_path / "base"
+    index = DuplicateStream(spark, str(base), spark.createDataFrame([], SCHEMA).schema)
+    for n in range(8):
+        assert index.add(spark.createDataFrame(rows[n * 20:n * 20 + 20], SCHEMA)) == n
+        names = {p.name for p in (base / "index").iterdir()}
+        assert len(names) <= 3 and f"batch={n}" in names
+        assert not list((base / "work").iterdir())
+        digests = [r.digest for r in index._earlier(n + 1).collect()]
+        assert sorted(digests) == sorted({r[0] for r in rows[:n * 20 + 20]})
+    assert pairs(index.duplicates()) == brute(rows)
+    index._settle(spark.createDataFrame(rows[140:], SCHEMA), 7)  # the last one once more
+    assert pairs(index.duplicates()) == brute(rows)
+
+
+def test_a_merge_that_did_not_end_is_not_read(spark, tmp_path, monkeypatch):
+    rows, base = skewed(60), tmp_path / "base"
+    index = DuplicateStream(spark, str(base), spark.createDataFrame([], SCHEMA).schema)
+    for n in range(3):
+        index.add(spark.createDataFrame(rows[n * 20:n * 20 + 20], SCHEMA))
+    (base / "index/upto=1/_temporary").mkdir(parents=True)
+    assert {r.digest for r in index._earlier(3).collect()} == {r[0] for r in rows}
+    (base / "index/upto=1/_temporary").rmdir()
+    index._earlier(2).write.mode("overwrite").parquet(f"{base}/index/upto=1")  # ended, but nothing was removed yet
+    digests = [r.digest for r in index._earlier(3).collect()]
+    assert sorted(digests) == sorted({r[0] for r in rows})
