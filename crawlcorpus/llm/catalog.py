@@ -63,7 +63,7 @@ def op9_substring_dedup(spark, sf):
 def op10_token_files(spark, sf):
     folder = tokens.fresh_folder(spark)
     tokens.write_token_files(_documents(spark, sf), folder, TOKENIZER)
-    return tokens.checksums(tokens.read_token_files(spark, folder))
+    return tokens.checksums(tokens.read_token_files(spark, folder, raw=True))
 
 
 def op11_periodic_runs(spark, sf):

@@ -112,18 +112,10 @@ def _pieces(path: str, end_id: int, capacity: int, keep_cache: bool):
                     rows.column("doc_id").take(pa.array(of)), pa.array(piece, pa.int32()),
                     pa.array(np.where(piece, first + capacity * (piece - 1), 0)), pa.array(length),
                     pa.array(np.full(len(of), part, np.int64)), pa.array(_within(length, seen)),
-                    _as_bytes(ids, length)], names=["doc_id", "piece", "start", "length", "part", "within", "bytes"])
+                    T.as_bytes(ids, length)], names=["doc_id", "piece", "start", "length", "part", "within", "bytes"])
     return run
 
 
-def _as_bytes(ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
-    """Runs of ids as little-endian unsigned integers of 4 bytes. Spark copies bytes as they are,
-    where it takes arrays apart, and stores them with their repeats squeezed out."""
-    data = pa.py_buffer(np.ascontiguousarray(ids.astype("<u4")))
-    at = 4 * np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(at), data])
-
-
 def _within(lengths: np.ndarray, seen: np.ndarray) -> np.ndarray:
     """Number the pieces of each length from ``seen[length]`` on, and count them there."""
     order = np.argsort(lengths, kind="stable")
@@ -179,12 +171,8 @@ def placed(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAP
 
 def _read(batches):
     for batch in batches:
-        data = batch.column("bytes")
-        at = np.frombuffer(data.buffers()[1], np.int32)[data.offset:data.offset + len(data) + 1]
-        ids = np.frombuffer(data.buffers()[2] or b"", "<u4")[at[0] // 4:at[-1] // 4].astype(np.int32)
-        lists = pa.ListArray.from_arrays((at - at[0]) // 4, ids)
-        names = [n for n in batch.schema.names if n != "bytes"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), lists], names=[*names, "ids"])
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], T.as_lists(batch.column("bytes"))], names=[*batch.schema.names[:-1], "ids"])
 
 
 def packed(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY,

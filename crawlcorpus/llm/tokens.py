@@ -25,7 +25,6 @@ their texts. An empty table gives parts without documents. Extra columns are lef
 import json
 import os
 import uuid
-import zlib
 from urllib.parse import urlparse
 
 import numpy as np
@@ -127,11 +126,6 @@ def encoded(batch: pa.RecordBatch, path: str, end_id: int | None, text: str = "t
         yield part, np.concatenate(ids), lengths
 
 
-def crc32(ids: np.ndarray) -> int:
-    """Of ids as little-endian unsigned 32-bit integers, unsigned."""
-    return zlib.crc32(ids.astype("<u4").tobytes())
-
-
 def _opened(folder: str) -> tuple[pafs.FileSystem, str]:
     url = urlparse(folder)
     if url.scheme in ("", "file"):
@@ -190,6 +184,21 @@ def mapped(fs: pafs.FileSystem, path: str, dtype: str) -> np.ndarray:
         return np.frombuffer(file.read(), dtype)
 
 
+def as_bytes(ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Runs of ids as little-endian unsigned integers of 4 bytes. Spark copies bytes as they are,
+    where it takes arrays apart."""
+    data = pa.py_buffer(np.ascontiguousarray(ids.astype("<u4")))
+    at = 4 * np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(at), data])
+
+
+def as_lists(data: pa.Array) -> pa.ListArray:
+    """The ids of such bytes."""
+    at = np.frombuffer(data.buffers()[1], np.int32)[data.offset:data.offset + len(data) + 1]
+    ids = np.frombuffer(data.buffers()[2] or b"", "<u4")[at[0] // 4:at[-1] // 4].astype(np.int32)
+    return pa.ListArray.from_arrays((at - at[0]) // 4, ids)
+
+
 def _read_parts(folder: str):
     def run(batches):
         fs, root = _opened(folder)
@@ -202,41 +211,34 @@ def _read_parts(folder: str):
                 to = int(np.searchsorted(offsets, offsets[at] + READ_IDS, "right")) - 1
                 to = min(max(to, at + 1), len(docs))
                 starts = offsets[at:to + 1].astype(np.int64)
-                own = np.asarray(docs[at:to])
-                lists = pa.ListArray.from_arrays(
-                    (starts - starts[0]).astype(np.int32), np.asarray(ids[starts[0]:starts[-1]]).astype(np.int32))
+                own, lengths = np.asarray(docs[at:to]), np.diff(starts)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(own, mask=own == NO_ID), pa.array(starts[:-1] + part["base"]),
-                    pa.array(np.diff(starts)), lists], names=["doc_id", "start", "n_tokens", "ids"])
+                    pa.array(own, mask=own == NO_ID), pa.array(starts[:-1] + part["base"]), pa.array(lengths),
+                    as_bytes(np.asarray(ids[starts[0]:starts[-1]]), lengths)],
+                    names=["doc_id", "start", "n_tokens", "bytes"])
                 at = to
     return run
 
 
-def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """``doc_id, start, n_tokens, ids`` of each document; ``start`` counts all ids before."""
-    manifest = spark.read.parquet(f"{folder}/manifest").where("n_docs > 0")
-    spread = manifest.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
-    return spread.mapInArrow(_read_parts(folder),
-                             "doc_id long, start long, n_tokens long, ids array<int>")
-
-
-def list_sums(lists: pa.ListArray) -> pa.Array:
-    """``crc32`` of each list of ids."""
-    ids = memoryview(np.ascontiguousarray(lists.flatten().to_numpy()).astype("<u4", copy=False)).cast("B")
-    at = (4 * (lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py())).tolist()
-    return pa.array([zlib.crc32(ids[a:b]) for a, b in zip(at[:-1], at[1:])], pa.int64())
-
-
-def _summed(batches):
+def _listed(batches):
     for batch in batches:
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), list_sums(batch.column("ids"))],
-            names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            [*batch.columns[:-1], as_lists(batch.column("bytes"))], names=[*batch.schema.names[:-1], "ids"])
+
+
+def read_token_files(spark: SparkSession, folder: str, raw: bool = False) -> DataFrame:
+    """``doc_id, start, n_tokens, ids`` of each document; ``start`` counts all ids before. With ``raw``
+    the ids come as ``bytes``, little-endian unsigned integers of 4 bytes."""
+    manifest = spark.read.parquet(f"{folder}/manifest").where("n_docs > 0")
+    spread = manifest.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
+    kinds = "doc_id long, start long, n_tokens long"
+    rows = spread.mapInArrow(_read_parts(folder), kinds + ", bytes binary")
+    return rows if raw else rows.mapInArrow(_listed, kinds + ", ids array<int>")
 
 
 def checksums(files: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of what ``read_token_files`` gives."""
-    return files.mapInArrow(_summed, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    """``doc_id, start, n_tokens, ids_crc32`` of what ``read_token_files`` gives as bytes."""
+    return files.select("doc_id", "start", "n_tokens", F.crc32("bytes").alias("ids_crc32"))
 
 
 def fresh_folder(spark: SparkSession) -> str:
