@@ -38,6 +38,11 @@ def mime_type() -> Column:
     return F.coalesce(payload_type(), header("Content-Type"))
 
 
+def http_content_type() -> Column:
+    """The content type that the server gave; NULL for records that hold no HTTP headers."""
+    return header("Content-Type", "http_headers")
+
+
 def chosen_id(use_refers_to: bool = False) -> Column:
     """Extracted text (WET) names its source record in Refers-To."""
     return refers_to() if use_refers_to else record_id()

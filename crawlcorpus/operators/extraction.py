@@ -6,7 +6,7 @@ the counts of all outcomes add up to the number of records.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import headers as H, html, mime as M, parsed, text as X
+from ..functions import charsets as CS, headers as H, html, mime as M, parsed, text as X
 from ..plans.physical import computed_once
 from .boilerplate import main_text
 from .sampling import choice, drawn
@@ -46,12 +46,15 @@ def _extracted(source: Column, extractor: str, key: Column, stoplist: list[str])
     return chain
 
 
-def text_of(content: Column, mime: Column, extractor: str, key: Column, stoplist: list[str] = ()) -> Column:
+def text_of(content: Column, mime: Column, extractor: str, key: Column, stoplist: list[str] = (),
+            content_type: Column | None = None) -> Column:
     """Plain text is decoded; everything else that is supported is read as markup.
 
-    NULL when plain text is not valid UTF-8, and for NULL content.
+    NULL when plain text is not valid UTF-8, and for NULL content. Markup is decoded by the set
+    that it or ``content_type`` declares; resolve the column inside ``charsets.all_charsets``.
     """
-    source = F.when(~M.is_plain(mime), X.html_source(content))
+    content_type = F.lit(None).cast("string") if content_type is None else content_type
+    source = F.when(~M.is_plain(mime), CS.declared_source(content, content_type))
     return F.when(M.is_plain(mime), X.utf8_text(content)).otherwise(
         _extracted(source, extractor, key, stoplist))
 
@@ -64,11 +67,13 @@ def extract(records: DataFrame, *tests: tuple[str, Column], extractor: str = "bl
     Catalyst evaluates the columns.
     """
     candidate = F.when(F.col("outcome").isNull(), F.col("content"))
-    text = X.without_nul(text_of(candidate, H.mime_type(), extractor, H.record_id(), stoplist))
+    text = X.without_nul(text_of(candidate, H.mime_type(), extractor, H.record_id(), stoplist,
+                                 H.http_content_type()))
     text = X.letters_only(text) if normalize else text
     unreadable = ("unreadable", F.col("error").isNotNull())
     gated = records.withColumn("outcome", first_failing(unreadable, *tests))
-    done = computed_once(gated, text=text)
+    with CS.all_charsets(records.sparkSession):
+        done = computed_once(gated, text=text)
     return done.withColumn("outcome", F.coalesce(
         "outcome",
         F.when(F.col("text").isNull(), "error").when(F.col("text") == "", "empty"),

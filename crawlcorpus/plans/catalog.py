@@ -10,7 +10,7 @@ from ..sources import sinks as K
 from ..sources.members import chosen, member_index, read_members
 from ..sources.warc import read_archives, register
 from .physical import computed_once, fresh_path, materialize, spread
-from .tables import labelled_ids, page_archives, page_records, table, urn
+from .tables import document_pages, labelled_ids, page_archives, page_records, table, urn
 
 SUBSTRINGS = ["a1f", "07c", "e55", "3d9"]
 STOP_WORDS = 50
@@ -195,6 +195,12 @@ def extract_documents(spark, sf):
         "id", "meta.target_uri", "text")
 
 
+def declared_charsets(spark, sf):
+    """Documents as pages in the writing system and character set of their number, read again."""
+    outcomes = E.conversion_outcomes(document_pages(spark, _documents(spark, sf)))
+    return outcomes.select(F.col("rec_seq").alias("doc_id"), "outcome", F.md5("text").alias("text_md5"))
+
+
 def hash_records(spark, sf):
     return K.hashes(E.hash_outcomes(_spread_records(spark, sf)))
 
@@ -392,7 +398,7 @@ QUERIES = {
         id_list_duplicates, distinct_ids, sample_records, sample_responses,
         extractor_assignment, crawl_manifest, pending_outputs, output_dirs, output_names,
         common_prefix, common_prefix_dir, normalize_space, normalize_alpha, text_digest,
-        convert_documents, convert_random_extractor, extract_documents, hash_records,
+        convert_documents, convert_random_extractor, extract_documents, declared_charsets, hash_records,
         duplicates, drop_duplicates, duplicates_indexed, duplicates_stream, distinct_pages,
         line_words, line_words_custom, lang_model,
         lang_model_words, lang_line_scores, lang_keep,

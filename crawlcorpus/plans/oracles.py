@@ -10,6 +10,7 @@ from ..operators import boilerplate as B, langid as L, sampling as S
 from ..schema import (HTML_LIKE_TYPES, INLINE_ELEMENTS, LETTER, PLAIN_TYPES, SPACE,
                       UNSUPPORTED_MAIN_TYPES, UNSUPPORTED_TYPES, WORD)
 from .catalog import SAMPLE_RATIO, STOP_WORDS, SUBSTRINGS
+from .tables import LATIN, WRITTEN
 
 LANGUAGES = ["de", "en", "es", "fr"]
 
@@ -336,6 +337,8 @@ _RECORD_CLASSES = _CLASSES.replace("from pages)", "from (select seq as page_id,
 
 _FIRST = """first_value(doc_id) over (partition by text order by doc_id) as first_id"""
 
+_ASCII = _replace("text", r"[^\x01-\x7f]", "''")
+
 ORACLES = {
     "record_headers": f"""with {REC} select record_id, {_BARE} as bare_id, {_UUID} as uuid,
       refers_to, refers_to as chosen_id, {_UUID} as normal_id, target_uri, payload_type, mime,
@@ -391,6 +394,11 @@ ORACLES = {
       from outcomes where outcome = 'ok'""",
     "extract_documents": f"""with {REC}, {_RESPONSES} select record_id as id, target_uri, text
       from outcomes where outcome = 'ok'""",
+    "declared_charsets": f"""with moved as (select doc_id, case {' '.join(
+        f"when doc_id % {len(WRITTEN)} = {i} then translate({_ASCII}, {_s(LATIN)}, {_s(letters)})"
+        for i, (letters, _, _) in enumerate(WRITTEN))} end as page from documents),
+      texts as (select doc_id, {_normal_space('page')} as text from moved)
+      select doc_id, case when text = '' then 'empty' else 'ok' end as outcome, md5(text) as text_md5 from texts""",
     "hash_records": f"""with {REC}, {_HASHED} select {_UUID} as id,
       to_base64(unhex(md5(text))) as digest from outcomes where outcome = 'ok'""",
     "duplicates": f"""select doc_id as id, first_id from (select doc_id, {_FIRST} from documents)

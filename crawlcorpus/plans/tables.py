@@ -6,8 +6,22 @@ payloads are computed from the page number, the payload is the page itself.
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.charsets import all_charsets
 from ..schema import RECORD
 
+LATIN = "abcdefghijklmnopqrstuvwxyz"
+#: By document number: where letters are moved to, the set, and where it is declared.
+WRITTEN = [
+    ("абвгдежзийклмнопрстуфхцчшщ", "windows-1251", "header"),
+    ("абвгдежзийклмнопрстуфхцчшщ", "KOI8-R", "meta"),
+    ("あいうえおかきくけこさしすせそたちつてとなにぬねのは", "Shift_JIS", "meta"),
+    ("あいうえおかきくけこさしすせそたちつてとなにぬねのは", "ISO-2022-JP", "header"),
+    ("天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余", "GBK", "meta"),
+    ("αβγδεζηθικλμνξοπρστυφχψωάέ", "ISO-8859-7", "xml"),
+    ("абвгдежзийклмнопрстуфхцчшщ", "UTF-16LE", "mark"),
+    (LATIN, "UTF-8", "none"),
+]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -74,3 +88,29 @@ def labelled_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id``: the list of records that were labelled as good."""
     return table(spark, sf_dir, "labels").where("quality = 1").select(
         urn(F.col("doc_id")).alias("id"))
+
+
+def document_pages(spark: SparkSession, documents: DataFrame) -> DataFrame:
+    """``documents`` as responses in ``schema.RECORD``, their ASCII moved to other writing systems
+    and encoded in other character sets, which the page or its HTTP header declares."""
+    plain = F.regexp_replace("text", r"[^\x01-\x7f]", "")
+    content, http_type = F, F
+    for i, (letters, charset, place) in enumerate(WRITTEN):
+        start = {"meta": f'<meta http-equiv="Content-Type" content="text/html; charset={charset}">',
+                 "xml": f'<?xml version="1.0" encoding="{charset}"?>', "mark": "\ufeff"}.get(place, "")
+        moved = F.translate(plain, LATIN, letters)
+        escaped = F.replace(F.replace(moved, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+        page = F.concat(F.lit(start + "<p>"), escaped, F.lit("</p>"))
+        case = F.col("doc_id") % len(WRITTEN) == i
+        content = content.when(case, F.call_function("encode", page, F.lit(charset)))
+        http_type = http_type.when(case, f"text/html; charset={charset}" if place == "header" else "text/html")
+    headers = F.create_map(
+        F.lit("warc-type"), F.lit("response"), F.lit("warc-record-id"), urn(F.col("doc_id")),
+        F.lit("warc-identified-payload-type"), F.lit("text/html"))
+    with all_charsets(spark):
+        return documents.select(
+            F.lit("documents").alias("file"), F.lit(0).alias("file_seq"), F.col("doc_id").alias("rec_seq"),
+            F.lit("response").alias("rec_type"), headers.alias("headers"),
+            F.create_map(F.lit("content-type"), http_type).alias("http_headers"),
+            content.alias("content"), F.lit(None).cast("binary").alias("raw"),
+            F.lit(None).cast("string").alias("error"))
