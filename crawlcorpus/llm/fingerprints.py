@@ -1,15 +1,17 @@
-"""Document fingerprints: a Merkle tree over paragraphs and sections.
+"""Document fingerprints: a Merkle tree over leaves, paragraphs and sections.
 
-A paragraph is a line. Its node is the SHA-256 of its text. A section is a run of paragraphs
-that begins where a paragraph's hash begins with 0 or 1, about every eighth one; since the
-text itself sets the borders, an edit moves no border but those beside it. A section's node
-is the SHA-256 of its paragraphs' hashes, the root that of the sections' hashes. Equal roots
-mean equal texts; sections that only one tree has, and in them paragraphs that only one has,
-locate an edit without the texts.
+A paragraph is a line. Its leaves are runs of up to eight words (fewer where one ends a sentence)
+with their white space, each hashed with SHA-256; the paragraph's node is the SHA-256 of its leaves'
+hashes. A section is a run of paragraphs that begins where a paragraph's node begins with 0 or 1,
+about every eighth one; since the text itself sets the borders, an edit moves no border but those
+beside it. A section's node is the SHA-256 of its paragraphs', the root that of the sections'.
 
-For graded likeness, paragraphs end in leaves of up to eight words (or to the end of a
-sentence), kept as 32-bit hashes; the likeness of two trees is the Dice coefficient of their
-distinct leaves.
+The fingerprint is the root, a semicolon, and the tree down to the first 64 bits of every leaf: a bar
+between sections, a comma between paragraphs. Equal roots mean equal texts. Two fingerprints are
+compared from the top: sections that both have are alike with all that is below them; of the others'
+paragraphs those that both have; of the remaining paragraphs the leaves that both have. The likeness
+is the Dice coefficient: leaves of branches found in both, of all leaves, each distinct branch
+counted once. Leaves in another order are as like as in the same; only equal roots tell.
 
 Defined cases: a null text is empty; an empty text has one empty paragraph and no leaf; two
 texts without leaves have likeness 1 if their roots are equal, else 0. Rows with a null id
@@ -20,6 +22,7 @@ empty result. Extra columns are left out. Built-in functions only.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.html import bound
 from .storage import ordered
 
 #: Up to eight words, fewer where one ends a sentence, with the white space around them.
@@ -30,30 +33,71 @@ def paragraphs(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+#: Hexadecimal digits of a leaf in a fingerprint.
+LEAF_DIGITS = 16
+
+
+def _paragraph(line: Column) -> Column:
+    """A paragraph's node, and after a colon what the fingerprint keeps of its leaves."""
+    leaves = F.transform(F.regexp_extract_all(line, F.lit(LEAF), F.lit(0)), lambda x: F.sha2(x, 256))
+    joined = F.array_join(leaves, "")
+    return F.concat(F.sha2(joined, 256), F.lit(":"),
+                    F.regexp_replace(joined, f"(.{{{LEAF_DIGITS}}}).{{{64 - LEAF_DIGITS}}}", "$1"))
+
+
 def tree(text: Column) -> Column:
-    """``root`` and ``sections``, each of ``hash`` and its ``paragraphs``' hashes in order."""
-    nodes = F.concat_ws(" ", F.transform(paragraphs(text), lambda p: F.sha2(p, 256)))
-    # a list of hashes as one string is cut before hashes that open a section: linear time
-    sections = F.transform(F.split(nodes, " (?=[01])"), lambda s: F.struct(
-        F.sha2(s, 256).alias("hash"), F.split(s, " ").alias("paragraphs")))
-    return F.struct(root_of(sections["hash"]).alias("root"), sections.alias("sections"))
+    """``root``, ``sections`` (each of ``hash`` and its ``paragraphs``' hashes in order), and
+    ``fingerprint``."""
+    found = F.array_join(F.transform(paragraphs(text), _paragraph), " ")
+    # the nodes as one string are cut before those that open a section: linear time
+    whole = F.transform(F.split(found, " (?=[01])"), lambda s: F.struct(
+        F.regexp_replace(s, ":[0-9a-f]*", "").alias("nodes"),
+        F.translate(F.regexp_replace(s, "[0-9a-f]{64}:", ""), " ", ",").alias("leaves")))
+    sections = F.transform(whole, lambda s: F.struct(
+        F.sha2(s["nodes"], 256).alias("hash"), F.split(s["nodes"], " ").alias("paragraphs"), s["leaves"].alias("leaves")))
+    return bound(sections, lambda found: F.struct(
+        root_of(found["hash"]).alias("root"), found.alias("sections"),
+        F.concat(root_of(found["hash"]), F.lit(";"), F.array_join(found["leaves"], "|")).alias("fingerprint")))
 
 
 def root_of(hashes: Column) -> Column:
     return F.sha2(F.concat_ws(" ", hashes), 256)
 
 
-def leaves(text: Column) -> Column:
-    """Distinct leaf hashes."""
-    found = F.regexp_extract_all(text, F.lit(LEAF), F.lit(0))
-    return F.array_distinct(F.transform(found, lambda x: F.hash(x)))
+def _n_leaves(branches: Column) -> Column:
+    return F.length(F.translate(F.array_join(branches, ""), ",", "")) / LEAF_DIGITS
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """The likeness of two fingerprints, by descending into branches that differ."""
+    def levels(pair):
+        top = [F.split(F.substring_index(pair[x], ";", -1), r"\|") for x in "ab"]
+        return F.struct(_shared(*top), *_apart(*top, r",", ","))
+
+    def below(found):
+        return F.struct((found["shared"] + _n_leaves(F.array_intersect(found["a"], found["b"]))).alias("shared"),
+                        *_apart(found["a"], found["b"], f"(?<=\\G.{{{LEAF_DIGITS}}})", ""))
+
+    def settled(found):
+        x, y = (F.array_distinct(F.array_remove(found[c], "")) for c in "ab")
+        return F.struct((found["shared"] + F.size(F.array_intersect(x, y))).alias("shared"),
+                        (2 * found["shared"] + F.size(x) + F.size(y)).alias("both"))
+
+    def graded(found):
+        return F.when(found["both"] == 0, F.lit(0.0)).otherwise(2.0 * found["shared"] / found["both"])
+    pair = F.struct(a.alias("a"), b.alias("b"))
+    return F.when(F.substring_index(a, ";", 1) == F.substring_index(b, ";", 1), F.lit(1.0)).otherwise(
+        bound(bound(bound(bound(pair, levels), below), settled), graded))
+
+
+def _shared(a: Column, b: Column) -> Column:
+    return _n_leaves(F.array_intersect(a, b)).alias("shared")
 
 
-def likeness(a: Column, b: Column, equal: Column) -> Column:
-    """Dice coefficient of two trees' leaves; ``equal`` tells whether their roots are."""
-    both = F.size(a) + F.size(b)
-    return (F.when(equal, F.lit(1.0)).when(both == 0, F.lit(0.0))
-            .otherwise(2.0 * F.size(F.array_intersect(a, b)) / both))
+def _apart(a: Column, b: Column, cut: str, glue: str) -> list[Column]:
+    """What is below the branches that only one has, each distinct branch once."""
+    return [F.split(F.array_join(F.array_except(x, y), glue), cut).alias(name)
+            for x, y, name in ((a, b, "a"), (b, a, "b"))]
 
 
 def changes(a: Column, b: Column) -> Column:
@@ -71,11 +115,10 @@ def changes(a: Column, b: Column) -> Column:
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
-    """``doc_id, text`` to ``doc_id, fingerprint, tree, leaves`` (a map-only step)."""
+    """``doc_id, text`` to ``doc_id, fingerprint, tree`` (a map-only step)."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", F.inline(F.array(F.struct(
-        tree(text).alias("tree"), leaves(text).alias("leaves"))))).select(
-        "doc_id", F.col("tree.root").alias("fingerprint"), "tree", "leaves")
+    return docs.select("doc_id", F.inline(F.array(F.struct(tree(text).alias("tree"))))).select(
+        "doc_id", "tree.fingerprint", "tree")
 
 
 def predecessors(keys: DataFrame) -> DataFrame:
@@ -104,10 +147,10 @@ def predecessors(keys: DataFrame) -> DataFrame:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """Each document beside the tree leaves of the next and that one's first characters.
+    """Each document beside the fingerprint of the next and that one's first characters.
 
-    ``doc_id, text`` to ``doc_id, key, text, next_id, head, next_sha256, next_leaves``; ``head`` has half
-    the length of ``text``, or the whole next text. Texts move once, heads and leaves once.
+    ``doc_id, text`` to ``doc_id, key, text, next_id, head, next_fingerprint``; ``head`` has half
+    the length of ``text``, or the whole next text. Texts move once, heads and fingerprints once.
     """
     text = F.coalesce("text", F.lit(""))
     named = docs.select("doc_id", text.alias("text")).withColumn("key", F.md5(F.concat(
@@ -119,7 +162,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     givers = named.withColumn("first", first).where("first").join(chain, "key").select(
         F.col("prev_key").alias("key"), F.col("doc_id").alias("next_id"),
         F.expr("substring(text, 1, prev_half)").alias("head"),
-        F.sha2("text", 256).alias("next_sha256"), leaves(F.col("text")).alias("next_leaves"))
+        tree(F.col("text"))["fingerprint"].alias("next_fingerprint"))
     return named.join(givers, "key")
 
 
@@ -133,17 +176,13 @@ def edit_report(docs: DataFrame) -> DataFrame:
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), "head")
     pairs = with_next(docs).withColumn("edited", edited)
     found = pairs.select(
-        "doc_id", "text", "edited", "next_id", "next_sha256", "next_leaves", F.inline(F.array(F.struct(
-            tree(F.col("text")).alias("tree"), leaves(F.col("text")).alias("leaves"),
-            tree(F.col("edited")).alias("edited_tree"),
-            leaves(F.col("edited")).alias("edited_leaves")))))
-    same_edit = F.col("tree.root") == F.col("edited_tree.root")
-    same_next = F.sha2("text", 256) == F.col("next_sha256")
+        "doc_id", "text", "edited", "next_id", "next_fingerprint", F.inline(F.array(F.struct(
+            tree(F.col("text")).alias("tree"), tree(F.col("edited")).alias("edited_tree")))))
+    own, other = F.col("tree.fingerprint"), F.col("edited_tree.fingerprint")
     return found.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        F.col("tree.root").alias("fingerprint"),
-        F.col("edited_tree.root").alias("edited_fingerprint"),
-        likeness(F.col("leaves"), F.col("edited_leaves"), same_edit).alias("near_edited"),
-        likeness(F.col("leaves"), F.col("next_leaves"), same_next).alias("near_next"),
+        own.alias("fingerprint"), other.alias("edited_fingerprint"),
+        likeness(own, other).alias("near_edited"),
+        likeness(own, F.col("next_fingerprint")).alias("near_next"),
         F.size(changes(F.col("tree"), F.col("edited_tree"))["sections"]).alias("n_sections_changed"), "next_id")

@@ -1,7 +1,9 @@
 """Trees, edits and likenesses against a brute-force version."""
 
 import hashlib
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR
@@ -13,9 +15,13 @@ def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+def leaves(line):
+    return [sha(x) for x in re.findall(fingerprints.LEAF, line, re.ASCII)]
+
+
 def tree(text):
     sections = []
-    for node in map(sha, text.split("\n")):
+    for node in (sha("".join(leaves(line))) for line in text.split("\n")):
         if sections and node[0] not in "01":
             sections[-1].append(node)
         else:
@@ -23,6 +29,29 @@ def tree(text):
     return [sha(" ".join(s)) for s in sections], sections
 
 
+def branches(text):
+    """Sections as tuples of paragraphs, these as tuples of leaves."""
+    lines = [tuple(x[:16] for x in leaves(line)) for line in text.split("\n")]
+    return [tuple(lines.pop(0) for _ in section) for section in tree(text)[1]]
+
+
+def near(a, b):
+    if a == b:
+        return 1.0
+    total = shared = 0
+    x, y = branches(a), branches(b)
+    for level in range(3):
+        both = set(x) & set(y)
+        n = sum(1 if level == 2 else len(s) if level == 1 else sum(map(len, s)) for s in both)
+        shared += n
+        if level == 2:
+            total += len(set(x)) + len(set(y)) - 2 * n
+        else:
+            x, y = ([child for s in set(z) - both for child in s] for z in (x, y))
+    total += 2 * shared
+    return 2 * shared / total if total else 0.0
+
+
 def root(text):
     return sha(" ".join(tree(text)[0]))
 
@@ -42,10 +71,11 @@ def check(found, rows):
     for r in found:
         text = texts[r.doc_id] or ""
         assert (r.n_chars, r.edited_sha256) == (len(text), sha(edited[r.doc_id]))
-        assert (r.fingerprint, r.edited_fingerprint) == (root(text), root(edited[r.doc_id]))
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
-        if edited[r.doc_id] == text:
-            assert r.near_edited == 1
+        for printed, own in ((r.fingerprint, text), (r.edited_fingerprint, edited[r.doc_id])):
+            assert printed == root(own) + ";" + "|".join(
+                ",".join("".join(line) for line in section) for section in branches(own))
+        assert r.near_edited == pytest.approx(near(text, edited[r.doc_id]), abs=1e-12)
+        assert r.near_next == pytest.approx(near(text, texts[r.next_id] or ""), abs=1e-12)
 
 
 def test_documents(spark):
@@ -83,6 +113,13 @@ def test_leaves_cover_the_text(spark):
         assert all(len(p.split()) <= 8 for p in r.pieces)
 
 
+def test_a_leaf_ends_with_its_paragraph(spark):
+    frame = spark.createDataFrame([("a b\nc d e f g h i j",)], "text string")
+    printed = frame.select(fingerprints.tree(F.col("text"))["fingerprint"]).first()[0]
+    assert sorted(printed.split(";")[1].replace("|", ",").split(",")) == sorted(
+        [sha("a b")[:16], sha("c d e f g h i j")[:16]])
+
+
 def test_changes_locate_an_edit(spark):
     lines = [f"paragraph {i} of a long document." for i in range(80)]
     edited = list(lines)
@@ -90,6 +127,6 @@ def test_changes_locate_an_edit(spark):
     frame = spark.createDataFrame([("\n".join(lines), "\n".join(edited))], "a string, b string")
     both = frame.select(fingerprints.tree(F.col("a")).alias("a"), fingerprints.tree(F.col("b")).alias("b"))
     found = both.select(fingerprints.changes(F.col("a"), F.col("b")).alias("c"), "a").first()
-    assert found.c.paragraphs == [sha(lines[41])]
+    assert found.c.paragraphs == [sha("".join(leaves(lines[41])))]
     assert 1 <= len(found.c.sections) <= 2
     assert ([s.hash for s in found.a.sections], [s.paragraphs for s in found.a.sections]) == tree("\n".join(lines))
