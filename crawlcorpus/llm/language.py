@@ -7,12 +7,13 @@ entropy; the language that needs the fewest wins. The score is a softmax over th
 counts per byte, so it is near 1 where one language needs clearly fewer.
 
 Text is lower-cased, and any run of bytes that are no letters becomes one space. Automata work
-on UTF-8 bytes as tables of ``states x bytes in use``. Texts are parsed whole: they are laid out
-in pieces of ``PIECE`` bytes, a phrase ending at a piece's end, and all pieces of a batch step
-through an automaton side by side.
+on UTF-8 bytes as tables of ``states x bytes in use``. Texts are parsed whole: all pieces of ``PIECE``
+bytes step through an automaton side by side, and each goes on into the next pieces until a phrase of
+its own begins where one of theirs does; from there on both parses are the same. So the phrases
+counted are those of one parse from the text's first byte to its last.
 
 The fit is on a bounded sample, whatever the corpus: for each language one document of each of
-``SAMPLES`` hash buckets, ``SAMPLE_CHARS`` characters of it, and ``TABLE_BYTES`` for all
+``SAMPLES`` hash buckets, ``SAMPLE_CHARS`` characters of it at a hashed place, and ``TABLE_BYTES`` for all
 automata together (with many languages each gets less text). Labels are used for the sample
 alone; a prediction reads nothing but the text.
 
@@ -83,30 +84,73 @@ def automaton(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return column, table
 
 
-def phrases(model: tuple[np.ndarray, np.ndarray], pieces: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """How many phrases each piece takes. ``pieces`` is ``place x piece``, pieces from long to
-    short. A byte the reference never has is a phrase of its own."""
+def _step(model, data, state, pos):
+    """The next state of each lane after the byte at its position, and whether a phrase begins there.
+    A byte the reference never has is a phrase of its own."""
+    column, flat, width = model
+    symbol = column[data[pos]]
+    known = symbol >= 0
+    step = flat[np.where(known, state * width + symbol, -1)]
+    begins = (step < 0) | (state == 0)
+    again = np.flatnonzero(step < 0)
+    s = symbol[again]
+    step[again] = np.where(s >= 0, flat[np.where(s >= 0, s, -1)], 0)
+    return step, begins
+
+
+def phrases(model: tuple[np.ndarray, np.ndarray], data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many phrases each text takes. Text ``i`` is ``data[bounds[i]:bounds[i + 1]]``."""
     column, table = model
-    width = table.shape[1]
-    flat = np.append(table.ravel(), [-1])  # the last cell is for bytes without a column
-    symbols = column[pieces]
-    state = np.zeros(pieces.shape[1], np.int64)
-    count = np.zeros(pieces.shape[1], np.int64)
-    live = np.searchsorted(-lengths, -np.arange(pieces.shape[0]), "left")  # pieces that reach a place
-    for at in range(pieces.shape[0]):
-        n = live[at]
-        if not n:
+    model = column, np.append(table.ravel(), [-1]), table.shape[1]  # the last cell: bytes without a column
+    n_pieces = -(-np.diff(bounds) // PIECE)
+    first = np.concatenate([[0], np.cumsum(n_pieces)])
+    of = np.repeat(np.arange(len(n_pieces)), n_pieces)
+    start = bounds[of] + (np.arange(len(of)) - first[of]) * PIECE
+    length = np.minimum(PIECE, bounds[of + 1] - start)
+
+    # every piece by itself, those that are longer first
+    order = np.argsort(-length, kind="stable")
+    live = np.searchsorted(-length[order], -np.arange(PIECE), "left")  # pieces that reach a place
+    state = np.zeros(len(of), np.int64)
+    starts = np.zeros((PIECE, len(of)), bool)
+    for at in range(PIECE):
+        lanes = order[:live[at]]
+        if not len(lanes):
             break
-        symbol = symbols[at, :n]
-        known = symbol >= 0
-        step = flat[np.where(known, state[:n] * width + symbol, -1)]
-        broken = step < 0
-        count[:n] += broken | (state[:n] == 0)  # a phrase begins here
-        if broken.any():
-            again = np.flatnonzero(broken)
-            s = symbol[again]
-            step[again] = np.where(s >= 0, flat[np.where(s >= 0, s, -1)], 0)
-        state[:n] = step
+        state[lanes], starts[at, lanes] = _step(model, data, state[lanes], start[lanes] + at)
+
+    # and on, until it meets the parse of a later piece at a phrase's beginning
+    extra, meets = np.zeros(len(of), np.int64), np.full(len(of), -1, np.int64)
+    passed = np.zeros(len(of), np.int64)  # beginnings of the met piece's own before that place
+    pos = start + length
+    lanes = np.flatnonzero(pos < bounds[of + 1])
+    while len(lanes):
+        here = pos[lanes]
+        piece, place = first[of[lanes]] + (here - bounds[of[lanes]]) // PIECE, (here - bounds[of[lanes]]) % PIECE
+        state[lanes], begins = _step(model, data, state[lanes], here)
+        theirs = starts[place, piece]
+        met = begins & theirs
+        passed[lanes] = np.where(place == 0, 0, passed[lanes])
+        meets[lanes[met]] = piece[met]
+        extra[lanes] += begins & ~met
+        passed[lanes] += theirs & ~met
+        pos[lanes] += 1
+        lanes = lanes[~met]
+        lanes = lanes[pos[lanes] < bounds[of[lanes] + 1]]
+
+    # one parse per text: from piece to the piece it meets
+    own = starts.sum(axis=0) + extra
+    count = np.zeros(len(n_pieces), np.int64)
+    single = n_pieces == 1
+    count[single] = own[first[:-1][single]]
+    for i in np.flatnonzero(n_pieces > 1).tolist():
+        piece, sum_ = int(first[i]), 0
+        while piece >= 0:
+            sum_ += int(own[piece])
+            after = int(meets[piece])
+            sum_ -= int(passed[piece]) if after >= 0 else 0
+            piece = after
+        count[i] = sum_
     return count
 
 
@@ -115,8 +159,11 @@ def sample(docs: DataFrame, learn: Column) -> DataFrame:
     aggregate, so a language of any share of the rows stays spread out."""
     rank = F.xxhash64(F.col("doc_id"), F.lit("language sample"))
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    place = F.pmod(F.xxhash64("doc_id", F.lit("language window")), F.length("text") - SAMPLE_CHARS + 1)
+    window = F.when(F.length("text") <= SAMPLE_CHARS, F.col("text")).otherwise(
+        F.substring("text", (place + 1).cast("int"), F.lit(SAMPLE_CHARS)))
     return rows.groupBy("lang", F.pmod(rank, F.lit(SAMPLES)).alias("bucket")).agg(
-        F.min_by(F.substring("text", 1, SAMPLE_CHARS), F.struct(rank, F.xxhash64("text"))).alias("text"))
+        F.min_by(window, F.struct(rank, F.xxhash64("text"))).alias("text"))
 
 
 def fit(docs: DataFrame, learn: Column | None = None) -> dict[str, bytes]:
@@ -144,19 +191,23 @@ def _models(references: dict[str, bytes]) -> list:
 
 
 def _laid_out(texts: list[bytes]):
-    """Pieces of all texts, ``SIDE_BY_SIDE`` at a time: which text, their bytes, lengths."""
-    of, pieces = [], []
+    """Groups of whole texts of about ``SIDE_BY_SIDE`` pieces, or one longer text: their places in
+    the list, their bytes, and where each begins."""
+    group, n = [], 0
     for i, text in enumerate(texts):
-        for at in range(0, len(text), PIECE):
-            of.append(i)
-            pieces.append(text[at:at + PIECE])
-    order = sorted(range(len(pieces)), key=lambda j: -len(pieces[j]))
-    for lo in range(0, len(order), SIDE_BY_SIDE):
-        chosen = order[lo:lo + SIDE_BY_SIDE]
-        lengths = np.array([len(pieces[j]) for j in chosen])
-        block = b"".join(pieces[j].ljust(lengths[0], b"\0") for j in chosen)
-        yield (np.array([of[j] for j in chosen]),
-               np.ascontiguousarray(np.frombuffer(block, np.uint8).reshape(len(chosen), -1).T), lengths)
+        if text:
+            group.append(i)
+            n += -(-len(text) // PIECE)
+        if n >= SIDE_BY_SIDE:
+            yield _group(texts, group)
+            group, n = [], 0
+    if group:
+        yield _group(texts, group)
+
+
+def _group(texts, group):
+    bounds = np.cumsum([0, *(len(texts[i]) for i in group)])
+    return np.array(group), np.frombuffer(b"".join(texts[i] for i in group), np.uint8), bounds
 
 
 def scores(references: dict[str, bytes], texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -167,9 +218,9 @@ def scores(references: dict[str, bytes], texts: list[str | None]) -> tuple[np.nd
         return np.full(len(texts), -1), np.zeros(len(texts))
     counts = np.zeros((len(references), len(texts)))
     models = _models(references)
-    for of, block, lengths in _laid_out(normals):
+    for places, data, bounds in _laid_out(normals):
         for row, model in zip(counts, models):
-            np.add.at(row, of, phrases(model, block, lengths))
+            row[places] = phrases(model, data, bounds)
     factor = np.array([math.log2(len(t) + 2) for t in references.values()])[:, None]
     bits = counts * factor / np.maximum(sizes, 1)
     best = bits.argmin(axis=0)

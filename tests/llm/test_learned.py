@@ -1,10 +1,12 @@
 """Toxicity and language: parts against brute force, wholes on held-out documents."""
 
 import itertools
+import math
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_DIR
 from crawlcorpus.llm import language, toxicity
@@ -25,15 +27,49 @@ def cross_parse(reference: bytes, text: bytes) -> int:
     return count
 
 
-def test_phrases_are_longest_matches():
-    draw = random.Random(6)
-    for _ in range(60):
-        reference = bytes(draw.choices(b"abc ", k=draw.randint(1, 60)))
-        texts = sorted((bytes(draw.choices(b"abcd ", k=draw.randint(1, 40))) for _ in range(9)), key=len, reverse=True)
-        lengths = np.array([len(t) for t in texts])
-        block = np.frombuffer(b"".join(t.ljust(lengths[0], b"\0") for t in texts), np.uint8).reshape(9, -1).T
-        found = language.phrases(language.automaton(reference), np.ascontiguousarray(block), lengths)
-        assert found.tolist() == [cross_parse(reference, t) for t in texts]
+def _counted(reference, texts):
+    bounds = np.cumsum([0, *map(len, texts)])
+    return language.phrases(language.automaton(reference), np.frombuffer(b"".join(texts), np.uint8), bounds).tolist()
+
+
+def test_phrases_are_longest_matches(monkeypatch):
+    rng = random.Random(5)
+    for piece in (1, 2, 7, 64):  # most texts are longer than a piece, some than many
+        monkeypatch.setattr(language, "PIECE", piece)
+        for _ in range(40):
+            reference = bytes(rng.choices(b"ab c", k=rng.randint(1, 60)))
+            texts = [bytes(rng.choices(b"ab cd", k=rng.randint(1, 90))) for _ in range(12)]
+            assert _counted(reference, texts) == [cross_parse(reference, t) for t in texts]
+    # a text whose parse from its beginning meets no other for long, and one of a single phrase
+    reference = b"ab" * 300
+    texts = [b"ba" * 290, b"ab" * 5, b"x" * 200, b"ab" * 299 + b"xb" + b"ba" * 250]
+    monkeypatch.setattr(language, "PIECE", 16)
+    assert _counted(reference, texts) == [cross_parse(reference, t) for t in texts]
+
+
+def test_language_equals_brute_force(spark):
+    """The whole query's rule on whole texts, long ones among them."""
+    references = {"aa": language.normal("the cat sat on the mat and then it ran " * 5),
+                  "bb": language.normal("der hund lief durch den wald und dann " * 5)}
+    rng = random.Random(3)
+    words = "the cat der hund lief ran zwölf 12 wald mat x".split()
+    texts = [" ".join(rng.choices(words, k=n)) for n in (1, 5, 40, 700, 3000)] + ["", None, "12 34", "é" * 5000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in language.predict(frame, references).collect():
+        text = language.normal(texts[row.doc_id])
+        if not text:
+            assert (row.lang_pred, row.score) == ("und", 0.0)
+            continue
+        bits = [cross_parse(r, text) * math.log2(len(r) + 2) / len(text) for r in references.values()]
+        assert row.lang_pred == list(references)[bits.index(min(bits))]
+        assert row.score == pytest.approx(1 / sum(2 ** (4 * (min(bits) - x)) for x in bits))
+
+
+def test_language_learns_from_the_middle_of_texts(spark):
+    rows = [(i, "aa", "prefix " * 200 + f"needle{'abcdefghij'[i % 10]} " * 2000) for i in range(200)]
+    texts = language.sample(spark.createDataFrame(rows, "doc_id long, lang string, text string"), F.lit(True)).collect()
+    assert len(texts) == len({r.bucket for r in texts}) > 32 and all(len(r.text) <= language.SAMPLE_CHARS for r in texts)
+    assert sum("needle" in r.text for r in texts) > len(texts) * 0.7
 
 
 def test_language_of_held_out_documents(spark):
