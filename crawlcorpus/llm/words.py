@@ -5,6 +5,7 @@ arrays and are worked on in slices of about a megabyte, so memory follows the sl
 the longest single text where that is longer.
 """
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +23,10 @@ _BYTE_VALUE_LOWER = _BYTE_VALUE.copy()
 _BYTE_VALUE_LOWER[65:91] = _BYTE_VALUE[97:123]
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _GRAM_BASE = 0xD1342543DE82EF95
-_MASK = (1 << 64) - 1
+#: A second modulus for long runs: sums modulo 2**64 are equal for Thue-Morse words of any base.
+_PRIME, _PRIME_BASE = 4_294_967_291, 2_718_281_829
+#: Longer words are hashed one by one, for the same reason.
+LONG_WORD = 64
 
 
 class _Powers:
@@ -41,7 +45,22 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
-_BYTE_POWERS, _GRAM_POWERS = _Powers(_BASE), _Powers(_GRAM_BASE)
+class _PrimePowers:
+    """Powers of ``_PRIME_BASE`` and of its inverse modulo ``_PRIME``, as many as were asked for."""
+
+    def __init__(self):
+        self.pair = (_PRIME_BASE, pow(_PRIME_BASE, -1, _PRIME))
+        self.rows = np.ones((2, 1), np.uint64)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while self.rows.shape[1] < n:
+            size = self.rows.shape[1]
+            step = np.array([[pow(base, size, _PRIME)] for base in self.pair], np.uint64)
+            self.rows = np.concatenate([self.rows, self.rows * step % np.uint64(_PRIME)], axis=1)
+        return self.rows[0, :n], self.rows[1, :n]
+
+
+_BYTE_POWERS, _GRAM_POWERS, _PRIME_POWERS = _Powers(_BASE), _Powers(_GRAM_BASE), _PrimePowers()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -73,7 +92,11 @@ class Words:
         sums = np.zeros(n + 1, np.uint64)
         table = _BYTE_VALUE_LOWER if lower else _BYTE_VALUE
         np.cumsum(table[self.data] * up, out=sums[1:])
-        return mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        found = mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        for i in np.flatnonzero(self.ends - self.starts > LONG_WORD).tolist():
+            word = self.data[self.starts[i]:self.ends[i]].tobytes()
+            found[i] = int.from_bytes(hashlib.blake2b(word.lower() if lower else word, digest_size=8).digest())
+        return found
 
     def joined(self, text: int, keep: np.ndarray) -> bytes:
         """The kept words of one text, joined by single spaces."""
@@ -115,12 +138,15 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
 
 
 def spans(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each given run of hashes, of any lengths."""
-    n = len(hashes)
+    """A 64-bit hash of each given run of hashes, of any lengths, from sums by both moduli."""
+    n, prime = len(hashes), np.uint64(_PRIME)
     up, down = _GRAM_POWERS(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(hashes * up[:n], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    found = (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)
+    up, down = _PRIME_POWERS(n + 1)
+    np.cumsum(hashes % prime * up[:n] % prime, out=sums[1:])
+    return mixed(found ^ mixed((sums[ends] - sums[starts]) % prime * down[starts] % prime))
 
 
 def sliced(batch: pa.RecordBatch, text: str = "text",

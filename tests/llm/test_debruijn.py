@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from conftest import SF_DIR
-from crawlcorpus.llm import debruijn
+from crawlcorpus.llm import debruijn, words
 from crawlcorpus.llm.catalog import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -85,3 +87,30 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert debruijn.repeated_words(empty).count() == 0
     assert debruijn.removed(empty).count() == 0
+
+
+def thue_morse(a, b, n):
+    """Two sequences of ``2 ** n`` that sums modulo a power of two cannot tell apart."""
+    bits = [bin(i).count("1") % 2 for i in range(2 ** n)]
+    return [(a, b)[x] for x in bits], [(b, a)[x] for x in bits]
+
+
+def test_thue_morse_words(spark):
+    x, y = ("".join(w) for w in thue_morse("a", "b", 11))
+    others = [f"w{i}" for i in range(60)]
+    u, v = thue_morse("left", "right", 11)
+    rows = [(1, " ".join([x, *others[:49]])), (2, " ".join([y, *others[:49]])),
+            (3, " ".join(others[50:] + u)), (4, " ".join(others[50:] + v))]
+    found = debruijn.repeated_words(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert in_order(map(tuple, found)) == in_order(brute(rows))
+    assert {r.doc_id: r.n_removed for r in found}[2] == 0
+
+
+def test_runs_of_any_length_have_two_moduli():
+    u, v = thue_morse(7, 11, 12)
+    hashes = np.array(u + v, np.uint64)
+    starts, ends = np.array([0, len(u), 0]), np.array([len(u), 2 * len(u), len(u)])
+    found = words.spans(hashes, starts, ends).tolist()
+    assert found[0] == found[2] != found[1]
+    assert found[0] == words.spans(hashes[:len(u)], starts[:1], ends[:1])[0]
+    assert words.spans(np.array(v + u, np.uint64), starts[1:2], ends[1:2])[0] == found[0]

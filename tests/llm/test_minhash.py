@@ -121,3 +121,10 @@ def test_components(spark):
         spark.createDataFrame(edges, "u long, v long")).collect()}
     assert found == {i: find(i) for i in root if find(i) != i or i in found}
     assert all(find(i) == i for i in root if i not in found)
+
+
+def test_thue_morse_words(spark):
+    bits = [bin(i).count("1") % 2 for i in range(2 ** 11)]
+    texts = ["".join("ab"[x] for x in bits) + " two three", "".join("ba"[x] for x in bits) + " two three"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(frame, 3, 85).collect()} == {0: 0, 1: 1}
