@@ -40,9 +40,9 @@ LEAF_DIGITS = 16
 def _paragraph(line: Column) -> Column:
     """A paragraph's node, and after a colon what the fingerprint keeps of its leaves."""
     leaves = F.transform(F.regexp_extract_all(line, F.lit(LEAF), F.lit(0)), lambda x: F.sha2(x, 256))
-    joined = F.array_join(leaves, "")
-    return F.concat(F.sha2(joined, 256), F.lit(":"),
-                    F.regexp_replace(joined, f"(.{{{LEAF_DIGITS}}}).{{{64 - LEAF_DIGITS}}}", "$1"))
+    return bound(F.array_join(leaves, ""), lambda joined: F.concat(
+        F.sha2(joined, 256), F.lit(":"),
+        F.regexp_replace(joined, f"(.{{{LEAF_DIGITS}}}).{{{64 - LEAF_DIGITS}}}", "$1")))
 
 
 def tree(text: Column) -> Column:
@@ -52,7 +52,7 @@ def tree(text: Column) -> Column:
     # the nodes as one string are cut before those that open a section: linear time
     whole = F.transform(F.split(found, " (?=[01])"), lambda s: F.struct(
         F.regexp_replace(s, ":[0-9a-f]*", "").alias("nodes"),
-        F.translate(F.regexp_replace(s, "[0-9a-f]{64}:", ""), " ", ",").alias("leaves")))
+        F.substr(F.regexp_replace(s, "(?:^| )[^:]*+:", ","), F.lit(2)).alias("leaves")))
     sections = F.transform(whole, lambda s: F.struct(
         F.sha2(s["nodes"], 256).alias("hash"), F.split(s["nodes"], " ").alias("paragraphs"), s["leaves"].alias("leaves")))
     return bound(sections, lambda found: F.struct(
@@ -70,9 +70,9 @@ def _n_leaves(branches: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """The likeness of two fingerprints, by descending into branches that differ."""
-    def levels(pair):
-        top = [F.split(F.substring_index(pair[x], ";", -1), r"\|") for x in "ab"]
-        return F.struct(_shared(*top), *_apart(*top, r",", ","))
+    def levels(top):
+        return F.struct(_n_leaves(F.array_intersect(top["a"], top["b"])).alias("shared"),
+                        *_apart(top["a"], top["b"], ",", ","))
 
     def below(found):
         return F.struct((found["shared"] + _n_leaves(F.array_intersect(found["a"], found["b"]))).alias("shared"),
@@ -85,15 +85,11 @@ def likeness(a: Column, b: Column) -> Column:
 
     def graded(found):
         return F.when(found["both"] == 0, F.lit(0.0)).otherwise(2.0 * found["shared"] / found["both"])
-    pair = F.struct(a.alias("a"), b.alias("b"))
+    pair = F.struct(*[F.split(F.substring_index(x, ";", -1), r"\|").alias(name) for x, name in ((a, "a"), (b, "b"))])
     return F.when(F.substring_index(a, ";", 1) == F.substring_index(b, ";", 1), F.lit(1.0)).otherwise(
         bound(bound(bound(bound(pair, levels), below), settled), graded))
 
 
-def _shared(a: Column, b: Column) -> Column:
-    return _n_leaves(F.array_intersect(a, b)).alias("shared")
-
-
 def _apart(a: Column, b: Column, cut: str, glue: str) -> list[Column]:
     """What is below the branches that only one has, each distinct branch once."""
     return [F.split(F.array_join(F.array_except(x, y), glue), cut).alias(name)
