@@ -84,24 +84,22 @@ def automaton(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return column, table
 
 
-def _step(model, data, state, pos):
-    """The next state of each lane after the byte at its position, and whether a phrase begins there.
-    A byte the reference never has is a phrase of its own."""
-    column, flat, width = model
-    symbol = column[data[pos]]
-    known = symbol >= 0
-    step = flat[np.where(known, state * width + symbol, -1)]
-    begins = (step < 0) | (state == 0)
-    again = np.flatnonzero(step < 0)
-    s = symbol[again]
-    step[again] = np.where(s >= 0, flat[np.where(s >= 0, s, -1)], 0)
-    return step, begins
+def _step(model, state, symbol):
+    """The next state of each lane after a symbol, and whether a phrase begins with it. A byte the
+    reference never has is a phrase of its own."""
+    flat, root, width = model
+    step = flat[state * width + symbol]
+    broken = step < 0
+    return np.where(broken, root[symbol], step), broken | (state == 0)
 
 
 def phrases(model: tuple[np.ndarray, np.ndarray], data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """How many phrases each text takes. Text ``i`` is ``data[bounds[i]:bounds[i + 1]]``."""
     column, table = model
-    model = column, np.append(table.ravel(), [-1]), table.shape[1]  # the last cell: bytes without a column
+    width = table.shape[1] + 1  # the last column is for bytes that have none
+    wide = np.pad(table, ((0, 0), (0, 1)), constant_values=-1).astype(np.int64)
+    model = wide.ravel(), np.maximum(wide[0], 0), width
+    symbols = np.where(column < 0, width - 1, column)[data]
     n_pieces = -(-np.diff(bounds) // PIECE)
     first = np.concatenate([[0], np.cumsum(n_pieces)])
     of = np.repeat(np.arange(len(n_pieces)), n_pieces)
@@ -111,13 +109,15 @@ def phrases(model: tuple[np.ndarray, np.ndarray], data: np.ndarray, bounds: np.n
     # every piece by itself, those that are longer first
     order = np.argsort(-length, kind="stable")
     live = np.searchsorted(-length[order], -np.arange(PIECE), "left")  # pieces that reach a place
-    state = np.zeros(len(of), np.int64)
-    starts = np.zeros((PIECE, len(of)), bool)
+    ordered, begun = np.zeros(len(of), np.int64), np.zeros((PIECE, len(of)), bool)
+    at_start = start[order]
     for at in range(PIECE):
-        lanes = order[:live[at]]
-        if not len(lanes):
+        n = live[at]
+        if not n:
             break
-        state[lanes], starts[at, lanes] = _step(model, data, state[lanes], start[lanes] + at)
+        ordered[:n], begun[at, :n] = _step(model, ordered[:n], symbols[at_start[:n] + at])
+    state, starts = np.empty_like(ordered), np.empty_like(begun)
+    state[order], starts[:, order] = ordered, begun
 
     # and on, until it meets the parse of a later piece at a phrase's beginning
     extra, meets = np.zeros(len(of), np.int64), np.full(len(of), -1, np.int64)
@@ -127,7 +127,7 @@ def phrases(model: tuple[np.ndarray, np.ndarray], data: np.ndarray, bounds: np.n
     while len(lanes):
         here = pos[lanes]
         piece, place = first[of[lanes]] + (here - bounds[of[lanes]]) // PIECE, (here - bounds[of[lanes]]) % PIECE
-        state[lanes], begins = _step(model, data, state[lanes], here)
+        state[lanes], begins = _step(model, state[lanes], symbols[here])
         theirs = starts[place, piece]
         met = begins & theirs
         passed[lanes] = np.where(place == 0, 0, passed[lanes])
