@@ -26,8 +26,8 @@ the bucket's size, and what moves is that divided by a block's size. Joins with
 one row per bucket on the other side.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked
-with nothing. Ids are nodes: rows that repeat an id share its component, and rows that repeat
-a row give repeated results. A row without an id is linked with nothing and has no component
+with nothing. Ids are nodes: rows that repeat an id share its component, with the links of each
+of its texts, and rows that repeat a row give repeated results. A row without an id is linked with nothing and has no component
 (``component_id`` null, ``kept`` true). Extra columns are left out.
 """
 
@@ -144,7 +144,8 @@ def _verified(k: int, percent: int):
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs ``u, v`` whose whole sets are alike enough. One text per id is read."""
+    """The pairs ``u, v`` with texts whose whole sets are alike enough; any two texts of theirs link
+    ids that stand with several."""
     texts = docs.select("id", "text")
     both = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("text_u")), "u").join(
         texts.select(F.col("id").alias("v"), F.col("text").alias("text_v")), "v")
@@ -284,7 +285,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     stars = stars.join(u, "u").join(v, "v").withColumn("agree", _agreement("a", "b")).where(
         F.col("agree") >= enough).groupBy("u").agg(
         F.max_by("v", F.struct("agree", F.bitwise_not("v"))).alias("v"))
-    texts = source.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+    # an id with several texts has a class for each of them, and each is verified
+    texts = source.join(members.select("id").distinct(), "id", "left_semi").withColumn(
+        "row", F.xxhash64("text")).dropDuplicates(["id", "row"]).drop("row")
     texts, texts_at = stored(texts, "texts")
     links, links_at = stored(verified(stars, texts, k, percent), "links")
     first, first_at = stored(_labels(links), "labels")
@@ -302,8 +305,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         (F.col("c_a") < F.col("c_b")) & (_agreement("a", "b") >= enough)).select(
         F.col("id_a").alias("u"), F.col("id_b").alias("v")).distinct()
     more, more_at = stored(verified(rest, texts, k, percent), "links")
-    met, met_reads = _across_blocks(open_.where(F.col("n") > SMALL), classes.select("id", "n_shingles"),
-                                    texts, k, percent)
+    met, met_reads = _across_blocks(open_.where(F.col("n") > SMALL), classes.groupBy("id").agg(
+        F.sum("n_shingles").alias("n_shingles")), texts, k, percent)
     met, met_at = stored(met, "links")
     more = more.unionByName(met)
     found, _ = stored(components(links.unionByName(more).unionByName(copies)), "components")

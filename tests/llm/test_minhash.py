@@ -95,6 +95,17 @@ def test_odd_rows(spark):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_an_id_with_several_texts(spark):
+    words = [f"w{i}" for i in range(120)]
+    rows = [(1, " ".join(f"other{i}" for i in range(90))), (1, " ".join(words[:117])), (2, " ".join(words)),
+            (3, " ".join(f"far{i}" for i in range(50))), (1, " ".join(f"third{i}" for i in range(70))),
+            (4, " ".join(["new", *(f"third{i}" for i in range(70))]))]
+    for order in (rows, rows[::-1]):
+        found = minhash.near_duplicates(spark.createDataFrame(order, "doc_id long, text string"), 3, 85).collect()
+        assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 1, 3: 3, 4: 1}
+        assert len(found) == len(rows)
+
+
 def test_intersections():
     draw = np.random.default_rng(4)
     a, b = ([np.unique(draw.integers(0, 300, draw.integers(1, 80)).astype(np.uint64)) for _ in range(n)]
