@@ -8,18 +8,25 @@ graph is built over chosen k-mers (after "minimizer-space de Bruijn graphs", Eki
    anchors. Consecutive windows of one anchor form one edge of the graph: the k-mers from the
    first window's first word to the last one's last. An edge carries the hash of all its
    words, its windows, and its source coordinates (document, first window).
-2. Compaction. Edges are joined on their anchor with what is known of it: the documents and
-   the edges it is seen with. An anchor of one document is unique and drops out. Where all
-   its occurrences are one edge (same hash, same extent), the path through it does not branch:
-   the smallest document owns all its windows, and every other occurrence is repeated as a
-   whole, decided without a look at single windows.
-3. Branching anchors (ends of passages, edited copies). Their windows are hashed one by one
-   and joined on (anchor, window) with the smallest document, again as source coordinates.
-4. Repeated windows of a document merge into spans; a span is removed from the text.
-
-A window is confirmed by two independent 64-bit hashes (anchor and words) against the
-coordinates of its source. Documents whose text equals that of an earlier one are known from
-a digest and stay out of the graph; they are repeated as a whole. Aggregates are
+2. Branches. Edges are joined on their anchor with what is known of it: the documents and
+   the edges it is seen with. An anchor of one document is unique and drops out. It branches
+   unless all its occurrences are one edge (same hash, same extent).
+3. Compaction. Two edges that do not branch are linked where the first is always followed by
+   the second and the second always led by the first. Linked edges are paths; pointer jumping
+   joins each to the head of its path in as many rounds as its length has binary digits. A
+   link has one edge at either end, so the joins are one to one. As all edges of a path occur
+   together, only heads are looked up again: one row for each place where a path is, with the
+   extent of the whole path.
+4. Verification. At each such place the words of the whole path are digested from the text and
+   compared with those at its source, the first place in the smallest document. Equal ones
+   are repeated there as a whole, without a look at single windows.
+5. Branching anchors (ends of passages, edited copies), and paths of which a place failed. Their
+   windows are hashed one by one and joined on (anchor, window) with the smallest document.
+6. Repeated windows of a document merge into spans; a span is removed from the text.
+
+A path is confirmed by a digest of its words of 128 bits, a window of a branching anchor by two
+64-bit hashes (anchor and words). Of rows with equal texts only one, of the smallest id, enters the
+graph; they are known from a digest, and those of larger ids are repeated as a whole. Aggregates are
 partial before a shuffle, and joins have one row per anchor or window on the other side, so a
 passage in a third of all documents can be split; no group of occurrences is ever gathered.
 
@@ -121,6 +128,29 @@ def _windows(batches):
                 names=["id", "row", "anchor", "window", "lo", "hi"])
 
 
+def _proofs(batches):
+    """A digest of the words of each path in a text: ``head, id, row, first, lo, hi, proof``."""
+    for batch in batches:
+        heads, firsts, lo, hi, proofs, lengths = [], [], [], [], [], []
+        for part, found, texts in _texts(batch):
+            for i, runs in enumerate(part.column("runs")):
+                places = runs.as_py()
+                lengths.append(len(places))
+                for run in places:
+                    inside = found.joined(i, slice(run["lo"], run["hi"] + WINDOW - 1))
+                    proofs.append(hashlib.blake2b(inside, digest_size=16).digest())
+                    heads.append(run["head"])
+                    firsts.append(run["first"])
+                    lo.append(run["lo"])
+                    hi.append(run["hi"])
+        rows = pa.array(np.repeat(np.arange(len(lengths)), lengths).astype(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(heads, pa.int64()), batch.column("id").take(rows), batch.column("row").take(rows),
+             pa.array(firsts, pa.int64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()),
+             pa.array(proofs, pa.binary())],
+            names=["head", "id", "row", "first", "lo", "hi", "proof"])
+
+
 def _kept(n: int, spans: list | None) -> np.ndarray:
     keep = np.ones(n, bool)
     for s in spans or []:
@@ -171,37 +201,120 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _scanned(docs: DataFrame) -> DataFrame:
-    """Every row's words, edges, and ``owner``: the smallest id with the same text."""
-    rows, _ = stored(_keyed(docs).withColumn("digest", F.md5("text")).mapInArrow(_scan, SCANNED),
-                     "scanned")
+    """Every row's words, edges, ``owner`` (the smallest id with the same text), and ``source``:
+    whether the row is the one of its text that enters the graph."""
+    rows, _ = stored(_keyed(docs).withColumn("digest", F.md5("text")).mapInArrow(_scan, SCANNED)
+                     .withColumn("no", F.monotonically_increasing_id()), "scanned")
     several = rows.groupBy("digest").agg(
-        F.min("id").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return rows.join(several, "digest", "left").withColumn("owner", F.coalesce("owner", "id"))
+        F.min(F.struct("id", "no")).alias("x"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        "digest", F.col("x.id").alias("owner"), F.col("x.no").alias("source"))
+    # the other columns stay away from the shuffle, so copies of one text are narrow rows
+    copies = rows.select("digest", "no", F.col("id").alias("own")).join(several, "digest").select(
+        "no", "owner", (F.col("no") == F.col("source")).alias("source"))
+    return rows.join(copies, "no", "left").withColumns(
+        {"owner": F.coalesce("owner", "id"), "source": F.coalesce("source", F.lit(True))})
+
+
+def _edges(scanned: DataFrame) -> DataFrame:
+    """``id, row, anchor, edge, lo, hi`` and the anchors ``prev`` and ``next`` to either side."""
+    edges = F.col("edges")
+    sided = F.transform(edges, lambda e, i: F.struct(
+        e["anchor"].alias("anchor"), e["edge"].alias("edge"), e["lo"].alias("lo"), e["hi"].alias("hi"),
+        F.get(edges, i - 1)["anchor"].alias("prev"), F.get(edges, i + 1)["anchor"].alias("next")))
+    return scanned.where("source").select("id", "row", F.inline(sided))
+
+
+def _links(unbranched: DataFrame) -> DataFrame:
+    """``a, b, width`` from occurrences of edges that do not branch: each ``a`` is followed by
+    ``b`` wherever it is, and each ``b`` led by ``a``; ``width`` is the windows of ``a``."""
+    ends = unbranched.groupBy("anchor").agg(
+        *[f(c).alias(f"{c}{i}") for c in ("prev", "next") for i, f in enumerate((F.min, F.max))],
+        *[F.count_if(F.col(c).isNull()).alias(f"no_{c}") for c in ("prev", "next")],
+        F.max(F.col("hi") - F.col("lo")).cast("long").alias("width"))
+    ahead = ends.where("next0 = next1 and no_next = 0").select(
+        F.col("anchor").alias("a"), F.col("next0").alias("b"), "width")
+    back = ends.where("prev0 = prev1 and no_prev = 0").select(
+        F.col("prev0").alias("a"), F.col("anchor").alias("b"))
+    return ahead.join(back, ["a", "b"])
+
+
+def paths(links: DataFrame) -> tuple[DataFrame, str]:
+    """``node, head, before`` of each linked edge but the heads, by pointer jumping; also its path.
+
+    ``links`` has ``a, b, width``, with each ``a`` and each ``b`` once and no cycle; a text ends, so
+    edges that always follow each other in a ring cannot be. ``before`` is the windows from
+    the head to the node. A pointer that has not arrived is at a node of its own, so each round
+    joins one row to one.
+    """
+    spark = links.sparkSession
+    links, links_at = stored(links, "paths")
+    now, path = stored(links.join(links.select(F.col("b").alias("a"), F.lit(True).alias("led")), "a", "left")
+                       .select(F.col("b").alias("node"), F.col("a").alias("head"),
+                               F.col("width").alias("before"), F.col("led").isNull().alias("arrived")), "paths")
+    discard(spark, links_at)
+    while not now.where("not arrived").isEmpty():
+        ahead = now.select(F.col("node").alias("head"), F.col("head").alias("h"),
+                           F.col("before").alias("more"), F.col("arrived").alias("there"))
+        jumped = now.where("not arrived").join(ahead, "head").select(
+            "node", F.col("h").alias("head"), (F.col("before") + F.col("more")).alias("before"),
+            F.col("there").alias("arrived"))
+        then, at = stored(now.where("arrived").unionByName(jumped), "paths")
+        discard(spark, path)
+        now, path = then, at
+    return now.drop("arrived"), path
+
+
+def _runs(unbranched: DataFrame, links: DataFrame) -> tuple[DataFrame, str]:
+    """``head, id, row, first, lo, hi``: each place of each path; also the path of a table it reads."""
+    found, path = paths(links)
+    widths = unbranched.groupBy("anchor").agg(
+        F.max(F.col("hi") - F.col("lo")).cast("long").alias("width"))
+    extents = found.join(widths, F.col("node") == F.col("anchor")).groupBy("head").agg(
+        F.max(F.col("before") + F.col("width")).alias("extent"))
+    heads = unbranched.withColumnRenamed("anchor", "head").join(
+        found.select(F.col("node").alias("head")), "head", "left_anti").join(extents, "head", "left")
+    return heads.select("head", "id", "row", "first", "lo", F.coalesce(
+        F.col("lo") + F.col("extent"), "hi").cast("int").alias("hi")), path
+
+
+def _with_texts(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """Texts of the rows ``id, row`` of ``places``; rows that repeat a row are one."""
+    return _keyed(docs).join(places, ["id", "row"]).dropDuplicates(["id", "row"])
 
 
 def _spans(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     """``id, row, spans`` (first and behind the last window) of rows with repeated windows,
     but for rows whose whole text is an earlier one's."""
-    edges = scanned.where("id = owner").select("id", "row", F.inline("edges"))
+    edges = _edges(scanned)
     # both are stored, so that the joins below read plain shuffles, which can be split
     nodes, nodes_at = stored(edges.groupBy("anchor").agg(
         F.min("id").alias("first"), F.max("id").alias("last"),
         F.min("edge").alias("e0"), F.max("edge").alias("e1"),
     ).where("first < last").select("anchor", "first", (F.col("e0") != F.col("e1")).alias("branches")),
                             "nodes")
-    graph, graph_at = stored(edges.join(nodes, "anchor").drop("anchor", "edge"), "graph")
-    whole = graph.where("not branches and id > first").select("id", "row", "lo", "hi")
-    ranges = graph.where("branches").groupBy("id", "row").agg(
-        F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    windows, windows_at = stored(
-        _keyed(docs).join(ranges, ["id", "row"]).mapInArrow(
-            _windows, "id long, row long, anchor long, window long, lo int, hi int"), "windows")
+    graph, graph_at = stored(edges.join(nodes, "anchor").drop("edge"), "graph")
+    unbranched = graph.where("not branches").drop("branches")
+    runs, paths_at = _runs(unbranched, _links(unbranched))
+    runs = runs.groupBy("id", "row").agg(F.collect_list(F.struct("head", "first", "lo", "hi")).alias("runs"))
+    proofs, proofs_at = stored(_with_texts(docs, runs).mapInArrow(
+        _proofs, "head long, id long, row long, first long, lo int, hi int, proof binary"), "proofs")
+    sources = proofs.where("id = first").groupBy("head").agg(
+        F.min(F.struct("row", "lo", "proof"))["proof"].alias("source"))
+    proved, proved_at = stored(proofs.join(sources, "head").select(
+        "head", "id", "row", "first", "lo", "hi", (F.col("proof") == F.col("source")).alias("equal")), "proved")
+    failed = proved.where("not equal").select("head").distinct()
+    whole = proved.join(failed, "head", "left_anti").where("id > first").select("id", "row", "lo", "hi")
+    looked = graph.where("branches").select("id", "row", "lo", "hi").unionByName(
+        proved.join(failed, "head", "left_semi").select("id", "row", "lo", "hi"))
+    ranges = looked.groupBy("id", "row").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    windows, windows_at = stored(_with_texts(docs, ranges).mapInArrow(
+        _windows, "id long, row long, anchor long, window long, lo int, hi int"), "windows")
     owners, owners_at = stored(windows.groupBy("anchor", "window").agg(
         F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last"), "owners")
     single = windows.join(owners, ["anchor", "window"]).where("id > first").select("id", "row", "lo", "hi")
     spans, _ = stored(whole.unionByName(single).groupBy("id", "row").agg(
         F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
-    discard(docs.sparkSession, nodes_at, graph_at, windows_at, owners_at)
+    discard(docs.sparkSession, nodes_at, graph_at, paths_at, proofs_at, proved_at, windows_at, owners_at)
     return spans
 
 
@@ -215,7 +328,7 @@ def repeated_words(docs: DataFrame) -> DataFrame:
     cut = _keyed(docs).join(spans, ["id", "row"]).mapInArrow(
         _digest_cut, "id long, row long, n_removed long, kept_sha256 string").dropDuplicates(["id", "row"])
     copy = (F.col("id") > F.col("owner")) & (F.col("n_words") >= WINDOW)
-    return scanned.drop("edges").join(
+    return scanned.drop("edges", "no", "source").join(
         cut.withColumnRenamed("kept_sha256", "cut_sha256"), ["id", "row"], "left").select(
         F.nullif("id", F.lit(_LAST)).alias("doc_id"), "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),

@@ -98,8 +98,8 @@ class Words:
             found[i] = int.from_bytes(hashlib.blake2b(word.lower() if lower else word, digest_size=8).digest())
         return found
 
-    def joined(self, text: int, keep: np.ndarray) -> bytes:
-        """The kept words of one text, joined by single spaces."""
+    def joined(self, text: int, keep: np.ndarray | slice) -> bytes:
+        """The kept words of one text (a mask or a range), joined by single spaces."""
         lo, hi = self.first[text], self.first[text + 1]
         data = self.data
         return b" ".join([data[s:e].tobytes() for s, e in

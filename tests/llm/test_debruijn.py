@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from conftest import SF_DIR
 from crawlcorpus.llm import debruijn, words
@@ -72,6 +73,81 @@ def test_small_stock(spark):
     assert in_order(map(tuple, found)) == in_order(brute(rows))
 
 
+def test_paths(spark):
+    """Chains of many lengths: every node learns its head and the windows before it."""
+    draw, links, want = random.Random(8), [], set()
+    for chain, length in enumerate((2, 3, 4, 5, 33, 200)):
+        nodes = [1000 * chain + i for i in range(length)]
+        draw.shuffle(nodes)
+        at = 0
+        for a, b in zip(nodes, nodes[1:]):
+            links.append((a, b, draw.randint(1, 41)))
+            at += links[-1][2]
+            want.add((b, nodes[0], at))
+    draw.shuffle(links)
+    found, _ = debruijn.paths(spark.createDataFrame(links, "a long, b long, width long"))
+    assert set(map(tuple, found.collect())) == want
+    empty, _ = debruijn.paths(spark.createDataFrame([], "a long, b long, width long"))
+    assert empty.count() == 0
+
+
+def long_passages():
+    """Whole and partial copies of long passages, each between words of its own."""
+    draw = random.Random(6)
+    passages = [[f"p{draw.randrange(5000)}" for _ in range(n)] for n in (70, 400, 900, 3000)]
+    rows = []
+    for i in range(24):
+        own = [f"own{i}x{j}" for j in range(60)]
+        passage = passages[i % 4]
+        cut = passage[draw.randint(0, len(passage) // 2):] if i >= 16 else passage
+        rows.append((50 - i, " ".join(own[:30] + cut + own[30:])))
+    return rows + [(60, " ".join(passages[1] + passages[1])), (61, " ".join(passages[1] + ["z"] + passages[1]))]
+
+
+def test_long_passages_are_few_paths(spark):
+    """Each of the three long passages is one path, at four places each."""
+    frame = spark.createDataFrame(long_passages()[:16], "doc_id long, text string")
+    edges = debruijn._edges(debruijn._scanned(frame))
+    # edges over a passage's end differ between documents, so the passage of 70 words has no other
+    inner = edges.groupBy("anchor").agg(F.min("id").alias("first"), F.count("*").alias("n"), F.min("edge").alias("e0"),
+                                        F.max("edge").alias("e1")).where("n = 4 and e0 = e1").drop("n", "e0", "e1")
+    unbranched = edges.join(inner, "anchor")
+    runs, _ = debruijn._runs(unbranched, debruijn._links(unbranched))
+    found = runs.collect()
+    assert len(found) == 12 and len({r.head for r in found}) == 3
+    assert sum(r.hi - r.lo for r in found) == unbranched.selectExpr("sum(hi - lo)").first()[0]
+    assert unbranched.count() > 10 * len(found)
+
+
+def test_long_passages(spark):
+    rows = long_passages()
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = debruijn.repeated_words(frame.repartition(4)).collect()
+    assert in_order(map(tuple, found)) == in_order(brute(rows))
+
+
+def test_places_that_fail_are_looked_at_window_by_window(spark, monkeypatch):
+    rows = long_passages()
+    real = debruijn._proofs
+
+    def never_equal(batches):
+        for batch in real(batches):
+            at = batch.schema.get_field_index("proof")
+            ids = batch.column("id").cast("string").cast("binary")
+            yield batch.set_column(at, "proof", ids)
+    monkeypatch.setattr(debruijn, "_proofs", never_equal)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert in_order(map(tuple, debruijn.repeated_words(frame).collect())) == in_order(brute(rows))
+
+
+def test_many_equal_rows(spark):
+    rows = passages()
+    rows += [rows[5]] * 500 + [rows[20]] * 300
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = debruijn.repeated_words(frame.repartition(7)).collect()
+    assert in_order(map(tuple, found)) == in_order(brute(rows))
+
+
 def test_cut_texts_have_the_kept_words(spark):
     rows = [(i, t) for i, t in passages() if i is not None]
     frame = spark.createDataFrame([(i, t, "en", 0) for i, t in rows],
