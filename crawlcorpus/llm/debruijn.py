@@ -17,15 +17,15 @@ graph is built over chosen k-mers (after "minimizer-space de Bruijn graphs", Eki
    link has one edge at either end, so the joins are one to one. As all edges of a path occur
    together, only heads are looked up again: one row for each place where a path is, with the
    extent of the whole path.
-4. Verification. At each such place the words of the whole path are digested from the text and
-   compared with those at its source, the first place in the smallest document. Equal ones
-   are repeated there as a whole, without a look at single windows.
-5. Branching anchors (ends of passages, edited copies), and paths of which a place failed. Their
+4. Verification. At each such place the words of the whole path are digested from the text. Where
+   all digests of a path equal that of its source, the place in the smallest document, all
+   others are repeated as a whole, without a look at single windows.
+5. Branching anchors (ends of passages, edited copies), and paths with unequal digests. Their
    windows are hashed one by one and joined on (anchor, window) with the smallest document.
 6. Repeated windows of a document merge into spans; a span is removed from the text.
 
-A path is confirmed by a digest of its words of 128 bits, a window of a branching anchor by two
-64-bit hashes (anchor and words). Of rows with equal texts only one, of the smallest id, enters the
+A path is confirmed by a digest of its words and the hash of each edge, a window of a branching
+anchor by the hashes of anchor and words, 64 bits each. Of rows with equal texts only one, of the smallest id, enters the
 graph; they are known from a digest, and those of larger ids are repeated as a whole. Aggregates are
 partial before a shuffle, and joins have one row per anchor or window on the other side, so a
 passage in a third of all documents can be split; no group of occurrences is ever gathered.
@@ -129,26 +129,26 @@ def _windows(batches):
 
 
 def _proofs(batches):
-    """A digest of the words of each path in a text: ``head, id, row, first, lo, hi, proof``."""
+    """A digest of the words of each path in a text: ``head, id, row, later, lo, hi, proof``."""
     for batch in batches:
-        heads, firsts, lo, hi, proofs, lengths = [], [], [], [], [], []
+        heads, later, lo, hi, proofs, lengths = [], [], [], [], [], []
         for part, found, texts in _texts(batch):
             for i, runs in enumerate(part.column("runs")):
                 places = runs.as_py()
                 lengths.append(len(places))
                 for run in places:
                     inside = found.joined(i, slice(run["lo"], run["hi"] + WINDOW - 1))
-                    proofs.append(hashlib.blake2b(inside, digest_size=16).digest())
+                    proofs.append(hashlib.blake2b(inside, digest_size=8).digest())
                     heads.append(run["head"])
-                    firsts.append(run["first"])
+                    later.append(run["later"])
                     lo.append(run["lo"])
                     hi.append(run["hi"])
         rows = pa.array(np.repeat(np.arange(len(lengths)), lengths).astype(np.int64))
         yield pa.RecordBatch.from_arrays(
             [pa.array(heads, pa.int64()), batch.column("id").take(rows), batch.column("row").take(rows),
-             pa.array(firsts, pa.int64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()),
-             pa.array(proofs, pa.binary())],
-            names=["head", "id", "row", "first", "lo", "hi", "proof"])
+             pa.array(later, pa.bool_()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()),
+             pa.array(np.frombuffer(b"".join(proofs), np.int64))],
+            names=["head", "id", "row", "later", "lo", "hi", "proof"])
 
 
 def _kept(n: int, spans: list | None) -> np.ndarray:
@@ -265,7 +265,8 @@ def paths(links: DataFrame) -> tuple[DataFrame, str]:
 
 
 def _runs(unbranched: DataFrame, links: DataFrame) -> tuple[DataFrame, str]:
-    """``head, id, row, first, lo, hi``: each place of each path; also the path of a table it reads."""
+    """``head, id, row, later, lo, hi``: each place of each path, and whether a document of smaller
+    id has it; also the path of a table it reads."""
     found, path = paths(links)
     widths = unbranched.groupBy("anchor").agg(
         F.max(F.col("hi") - F.col("lo")).cast("long").alias("width"))
@@ -273,7 +274,7 @@ def _runs(unbranched: DataFrame, links: DataFrame) -> tuple[DataFrame, str]:
         F.max(F.col("before") + F.col("width")).alias("extent"))
     heads = unbranched.withColumnRenamed("anchor", "head").join(
         found.select(F.col("node").alias("head")), "head", "left_anti").join(extents, "head", "left")
-    return heads.select("head", "id", "row", "first", "lo", F.coalesce(
+    return heads.select("head", "id", "row", (F.col("id") > F.col("first")).alias("later"), "lo", F.coalesce(
         F.col("lo") + F.col("extent"), "hi").cast("int").alias("hi")), path
 
 
@@ -295,17 +296,15 @@ def _spans(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     graph, graph_at = stored(edges.join(nodes, "anchor").drop("edge"), "graph")
     unbranched = graph.where("not branches").drop("branches")
     runs, paths_at = _runs(unbranched, _links(unbranched))
-    runs = runs.groupBy("id", "row").agg(F.collect_list(F.struct("head", "first", "lo", "hi")).alias("runs"))
+    runs = runs.groupBy("id", "row").agg(F.collect_list(F.struct("head", "later", "lo", "hi")).alias("runs"))
     proofs, proofs_at = stored(_with_texts(docs, runs).mapInArrow(
-        _proofs, "head long, id long, row long, first long, lo int, hi int, proof binary"), "proofs")
-    sources = proofs.where("id = first").groupBy("head").agg(
-        F.min(F.struct("row", "lo", "proof"))["proof"].alias("source"))
-    proved, proved_at = stored(proofs.join(sources, "head").select(
-        "head", "id", "row", "first", "lo", "hi", (F.col("proof") == F.col("source")).alias("equal")), "proved")
-    failed = proved.where("not equal").select("head").distinct()
-    whole = proved.join(failed, "head", "left_anti").where("id > first").select("id", "row", "lo", "hi")
+        _proofs, "head long, id long, row long, later boolean, lo int, hi int, proof long"), "proofs")
+    # as a rule there are none, and neither join below moves a place
+    failed, failed_at = stored(proofs.groupBy("head").agg(
+        F.min("proof").alias("p0"), F.max("proof").alias("p1")).where("p0 <> p1").select("head"), "failed")
+    whole = proofs.join(failed, "head", "left_anti").where("later").select("id", "row", "lo", "hi")
     looked = graph.where("branches").select("id", "row", "lo", "hi").unionByName(
-        proved.join(failed, "head", "left_semi").select("id", "row", "lo", "hi"))
+        proofs.join(failed, "head", "left_semi").select("id", "row", "lo", "hi"))
     ranges = looked.groupBy("id", "row").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     windows, windows_at = stored(_with_texts(docs, ranges).mapInArrow(
         _windows, "id long, row long, anchor long, window long, lo int, hi int"), "windows")
@@ -314,7 +313,7 @@ def _spans(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     single = windows.join(owners, ["anchor", "window"]).where("id > first").select("id", "row", "lo", "hi")
     spans, _ = stored(whole.unionByName(single).groupBy("id", "row").agg(
         F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
-    discard(docs.sparkSession, nodes_at, graph_at, paths_at, proofs_at, proved_at, windows_at, owners_at)
+    discard(docs.sparkSession, nodes_at, graph_at, paths_at, proofs_at, failed_at, windows_at, owners_at)
     return spans
 
 
