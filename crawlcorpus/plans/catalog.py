@@ -10,7 +10,7 @@ from ..sources import sinks as K
 from ..sources.members import chosen, member_index, read_members
 from ..sources.warc import read_archives, register
 from .physical import computed_once, fresh_path, materialize, spread
-from .tables import document_pages, labelled_ids, page_archives, page_records, table, urn
+from .tables import document_pages, labelled_ids, page_archives, page_records, table, table_stream, urn
 
 SUBSTRINGS = ["a1f", "07c", "e55", "3d9"]
 STOP_WORDS = 50
@@ -237,12 +237,9 @@ def duplicates_indexed(spark, sf):
 
 def duplicates_stream(spark, sf):
     from ..streaming.dedup import DuplicateStream
-    schema = table(spark, sf, "documents").schema
-    base = fresh_path(spark, "stream")
-    rows = spark.readStream.schema(schema).option(
-        "pathGlobFilter", "documents.parquet").parquet(sf).select(
+    rows = table_stream(spark, sf, "documents").select(
         F.col("doc_id").alias("id"), "doc_id", X.raw_digest(F.col("text")).alias("digest"))
-    stream = DuplicateStream(spark, base, rows.schema, ["doc_id"])
+    stream = DuplicateStream(spark, fresh_path(spark, "stream"), rows.schema, ["doc_id"])
     stream.run(rows)
     return stream.duplicates().drop("batch")
 

@@ -27,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same as a stream, of one file or of a folder of files: a path with a pattern is listed
+    either way, where a plain one must be a folder."""
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(
+        f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
+
+
 def urn(number: Column) -> Column:
     """A record id for a number."""
     m = F.md5(F.concat(F.lit("p:"), number.cast("string")))

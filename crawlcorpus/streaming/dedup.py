@@ -34,9 +34,11 @@ class DuplicateStream:
         self.known = f"digest {self.digest_type}, first_id {self.id_type}"
 
     def duplicates(self) -> DataFrame:
-        """``batch, id, first_id`` found so far."""
-        return self.spark.read.schema(f"id {self.id_type}, first_id {self.id_type}, batch bigint").parquet(
-            self.pairs).select("batch", "id", "first_id")
+        """``batch, id, first_id`` found so far; none before the first batch."""
+        kinds = f"id {self.id_type}, first_id {self.id_type}, batch bigint"
+        found = (self.spark.read.schema(kinds).parquet(self.pairs) if folders(self.spark, self.pairs)
+                 else self.spark.createDataFrame([], kinds))
+        return found.select("batch", "id", "first_id")
 
     def _parts(self, before: int) -> list[tuple[int, str]]:
         """Folders that together hold the digests of all batches before a number: the last complete

@@ -1,12 +1,14 @@
 """Duplicate search against brute force, with texts that make up a third of all rows."""
 
 import random
+import shutil
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from crawlcorpus.operators import dedup as D
+from crawlcorpus.plans.catalog import QUERIES
 from crawlcorpus.plans.physical import materialize
 from crawlcorpus.streaming import dedup as stream
 from crawlcorpus.streaming.dedup import DuplicateStream
@@ -165,3 +167,21 @@ def test_a_merge_that_did_not_end_is_not_read(spark, tmp_path, monkeypatch):
     index._earlier(2).write.mode("overwrite").parquet(f"{base}/index/upto=1")  # ended, but nothing was removed yet
     digests = [r.digest for r in index._earlier(3).collect()]
     assert sorted(digests) == sorted({r[0] for r in rows})
+
+
+def test_nothing_is_found_before_the_first_batch(spark, tmp_path):
+    index = DuplicateStream(spark, f"{tmp_path}/base", spark.createDataFrame([], SCHEMA).schema)
+    assert index.duplicates().columns == ["batch", "id", "first_id"]
+    assert index.duplicates().count() == 0
+
+
+@pytest.mark.parametrize("files", [0, 1, 5])
+def test_a_table_is_streamed_as_one_file_or_as_a_folder_of_files(spark, tmp_path, files):
+    rows = [(i, "hot" if i % 3 == 0 else None if i % 7 == 0 else f"t{i % 20}") for i in range(90)]
+    docs, where = spark.createDataFrame(rows, "doc_id long, text string"), tmp_path / "documents.parquet"
+    docs.repartition(files or 1, "doc_id").write.parquet(f"{tmp_path}/written" if not files else str(where))
+    if not files:
+        shutil.copy(next((tmp_path / "written").glob("part-*")), where)
+    (tmp_path / "other.parquet").mkdir()  # not read, were it even a table
+    found = pairs(QUERIES["duplicates_stream"](spark, str(tmp_path)))
+    assert found == pairs(QUERIES["duplicates"](spark, str(tmp_path))) and len(found) > 30
