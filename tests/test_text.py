@@ -1,11 +1,14 @@
 import os
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from crawlcorpus.functions import headers as H, html as HT, mime as M, paths as P, text as X
+from crawlcorpus.functions import parsed
 from crawlcorpus.functions.parsed import parsed_to_text
 from crawlcorpus.operators import manifest as MF
 
@@ -128,6 +131,18 @@ def test_parser_agrees_with_patterns(spark, page):
     assert row[0] == row[1]
 
 
+def test_parser_holds_few_pages_of_a_batch_as_strings():
+    page = "<p>" + "я" * 10_000 + "</p>"
+    pages = pa.array([page, None] * 1_000)
+    tracemalloc.start()
+    texts = parsed._blocks_of(pages)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(texts) == 2_000 and texts[1998].as_py() == f"\n{page[3:-4]}\n" and texts.null_count == 1_000
+    assert peak < 8 << 20  # all of them are 20 MB of strings, and as much again of texts
+    assert parsed._blocks_of(pages[:0]).type == pa.string()
+
+
 def test_very_long_tag_does_not_overflow(spark):
     page = "<p " + 'a="1" ' * 20000 + ">x</p>" + "<i>" * 5000 + "y"
     (row,) = apply(spark, [page], HT.blocks_to_text(F.col(V)))
