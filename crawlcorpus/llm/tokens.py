@@ -119,11 +119,11 @@ def vocabulary_size(path: str) -> int:
 def encoded(batch: pa.RecordBatch, path: str, end_id: int | None, text: str = "text"):
     """Slices of a batch, each with the ids of its texts one after the other, and how many each has."""
     encode = encoder(path)
-    tail = np.array([] if end_id is None else [end_id], np.int32)
     for part in W.sliced(batch, text):
-        ids = [x for own in encode([t or "" for t in part.column(text).to_pylist()]) for x in (own, tail)]
-        lengths = np.fromiter(map(len, ids[::2]), np.int64, part.num_rows) + len(tail)
-        yield part, np.concatenate(ids), lengths
+        ids, lengths = encode.together([t or "" for t in part.column(text).to_pylist()])
+        if end_id is not None:
+            ids, lengths = np.insert(ids, np.cumsum(lengths), end_id), lengths + 1
+        yield part, ids, lengths
 
 
 def _opened(folder: str) -> tuple[pafs.FileSystem, str]:

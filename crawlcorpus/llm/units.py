@@ -9,18 +9,19 @@ tokenizer as it is.
 """
 
 import re
+import string
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 
-#: A cache with so many units starts anew, so its memory is bounded.
-CACHE_UNITS = 800_000
+#: A cache with so many units keeps at most half of them, those met most often, so its memory is bounded.
+CACHE_UNITS = 400_000
 
 #: White space (in any reading of the term) beside a space or line break, or a NUL, which
 #: marks a unit that has no space before it.
 _UNSURE = re.compile(r"[ \n][\s\x1c-\x1f\x85]|[\s\x1c-\x1f\x85][ \n]|\x00")
-_MARKS = (".", ",")
+_MARKS = string.punctuation
 _DOUBLES = ("  ", " \n", "\n ", "\n\n")
 
 
@@ -76,15 +77,31 @@ class UnitEncoder:
 
     def _clear(self) -> None:
         self.index = _Index()
-        self.begin, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.begin, self.length, self.uses = (np.zeros(1024, np.int32) for _ in range(3))
         self.flat, self.used = np.zeros(4096, np.int32), 0
 
+    def _shrink(self) -> None:
+        """Leave the units met most often, none that was met but once, and count anew."""
+        n = len(self.index)
+        uses, most = self.uses[:n], min(CACHE_UNITS // 2, n - 1)
+        keep = uses >= max(2, int(np.partition(uses, n - 1 - most)[n - 1 - most]) + 1)
+        numbers = np.flatnonzero(keep)
+        units, ids, lengths = list(compress(self.index, keep)), self._gathered(numbers), self.length[numbers]
+        self._clear()
+        if len(ids) <= 8 * CACHE_UNITS:
+            self.index.update(zip(units, range(len(units))))
+            self._room(len(units))
+            self._stored(np.arange(len(units)), ids, lengths)
+
     @staticmethod
     def _grown(a: np.ndarray, n: int) -> np.ndarray:
         if len(a) >= n:
             return a
         return np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)])
 
+    def _room(self, n: int) -> None:
+        self.begin, self.length, self.uses = (self._grown(x, n) for x in (self.begin, self.length, self.uses))
+
     def _stored(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
         self.flat = self._grown(self.flat, self.used + len(ids))
         self.length[numbers] = lengths
@@ -95,24 +112,24 @@ class UnitEncoder:
     def _learn(self) -> None:
         """Encode the units that the index has taken up.
 
-        A comma or full stop after a letter begins a new match, so a unit that ends in one
-        is the unit before it and the mark.
+        A mark of ASCII after a letter begins a new match, so a unit that ends in marks is the
+        unit before them and the marks.
         """
         index, new = self.index, self.index.new
-        at = len(index) - len(new)
-        marks = {m: index["\0" + m] for m in _MARKS} if new else {}
+        at, marks = len(index) - len(new), set(_MARKS)
         kinds, spaced, plain, parts = bytearray(), [], [], []  # a byte for each new unit
-        for unit in new:  # bases that are new are added to the end of this list
-            if unit[-1:] in marks and unit[-2:-1].isalpha():
+        for unit in new:  # bases and marks that are new are added to the end of this list
+            base = unit.rstrip(_MARKS) if unit[-1:] in marks else ""
+            if base[-1:].isalpha():
                 kinds.append(2)
-                parts += (index[unit[:-1]], marks[unit[-1]])
+                parts += (index[base], index["\0" + unit[len(base):]])
             elif unit[:1] == "\0":
                 kinds.append(1)
                 plain.append(unit[1:])
             else:
                 kinds.append(0)
                 spaced.append(unit)
-        self.begin, self.length = (self._grown(x, len(index)) for x in (self.begin, self.length))
+        self._room(len(index))
         kinds = np.frombuffer(kinds, np.uint8)
         self._stored(at + np.flatnonzero(kinds == 0), *self.encode_spaced(spaced))
         self._stored(at + np.flatnonzero(kinds == 1), *self.encode_plain(plain))
@@ -128,15 +145,27 @@ class UnitEncoder:
         at = np.repeat(self.begin[numbers] - ends + lengths, lengths)
         return self.flat[at + np.arange(total)]
 
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of each text, as int32 arrays, in order."""
+    def together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, as int32, and how many each has."""
         if len(self.index) > CACHE_UNITS or self.used > 16 * CACHE_UNITS:
-            self._clear()
+            self._shrink()
         pieces = [None if any(x in t for x in self.whole) else cut(t) for t in texts]
-        number = self.index.__getitem__
-        numbers = [None if p is None else np.fromiter(map(number, p), np.int64, len(p)) for p in pieces]
+        found = [p for p in pieces if p is not None]
+        ends = np.cumsum([0, *map(len, found)])
+        numbers = np.fromiter(map(self.index.__getitem__, chain.from_iterable(found)), np.int64, int(ends[-1]))
         self._learn()
-        ids, lengths = self.encode([t for t, p in zip(texts, pieces) if p is None])
-        wholes = iter(np.split(ids, np.cumsum(lengths)[:-1]))
-        for n in numbers:
-            yield next(wholes) if n is None else self._gathered(n)
+        n = len(self.index)
+        self.uses[:n] += np.bincount(numbers, minlength=n).astype(np.int32)
+        ids = self._gathered(numbers)
+        lengths = np.diff(np.concatenate([[0], np.cumsum(self.length[numbers])])[ends])
+        if len(found) == len(pieces):
+            return ids, lengths
+        whole, counts = self.encode([t for t, p in zip(texts, pieces) if p is None])
+        parts = [iter(np.split(x, np.cumsum(n)[:-1])) for x, n in ((ids, lengths), (whole, counts))]
+        own = [next(parts[p is None]) for p in pieces]
+        return np.concatenate(own), np.fromiter(map(len, own), np.int64, len(own))
+
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text, as int32 arrays, in order."""
+        ids, lengths = self.together(texts)
+        yield from np.split(ids, np.cumsum(lengths)[:-1]) if len(texts) else ()
