@@ -37,7 +37,7 @@ def op4_quality_rules(spark, sf):
 
 
 def op5_best_fit_packing(spark, sf):
-    return packing.checksums(packing.placed(_documents(spark, sf), TOKENIZER))
+    return packing.checksums(packing.placed(_documents(spark, sf), TOKENIZER, keep_cache=False))
 
 
 def op6_language_id(spark, sf):

@@ -75,6 +75,32 @@ def test_cache_starts_anew(monkeypatch, tokenizer):
             tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_units_that_are_met_often_are_encoded_once_and_stay(monkeypatch, tokenizer):
+    monkeypatch.setattr(units, "CACHE_UNITS", 40)
+    many, asked = tokens._ByteLevel(tokenizer), []
+
+    def spaced(new):
+        asked.extend(new)
+        return many.spaced(new)
+    encode = units.UnitEncoder(many.each, spaced, many.plain)
+    for at in range(40):
+        texts = [f"x often, often### often!! rare{at}z{i}q. \n\n" if i == 3 else
+                 f"x often, often### often!! rare{at}z{i}q." for i in range(9)]
+        ids, lengths = encode.together(texts)
+        wanted = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == sum(wanted, []) and lengths.tolist() == [len(x) for x in wanted]
+        assert len(encode.index) <= 40 + 20
+    assert asked.count("often") == 1 and len(asked) == len(set(asked)) == 1 + 8 * 40
+
+
+def test_packing_gives_the_cache_back(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(packing, "placed", lambda *a, **options: given.append(options) or spark.range(1))
+    monkeypatch.setattr(packing, "checksums", lambda rows: rows)
+    QUERIES["op5_best_fit_packing"](spark, SF_DIR)
+    assert given == [{"keep_cache": False}]
+
+
 def _documents(spark):
     return {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
 
