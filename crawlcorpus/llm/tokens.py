@@ -24,11 +24,14 @@ their texts. An empty table gives parts without documents. Extra columns are lef
 
 import json
 import os
+import re
 import uuid
+from itertools import compress
 from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -36,33 +39,58 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..plans.physical import fresh_path, shuffle_partitions
 from . import words as W
 from .storage import stored
-from .units import UnitEncoder, flat
+from .units import UnitEncoder, flat, gathered
 
 NO_ID = -(1 << 63)
 READ_IDS = 1 << 20
+#: Text that is encoded at once: a unit is looked up once for all the times it occurs there.
+SLICE_BYTES = 4 << 20
+#: Letters in every version of Unicode.
+_LATIN = re.compile("[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
 _ENCODERS: dict[str, UnitEncoder] = {}
 
 
 class _ByteLevel:
     """Many units by few calls of a byte-level tokenizer.
 
-    Units of printable characters are put together to long strings, which the tokenizer cuts
-    again just there: a unit with a space in front begins with the only token in it that has
-    one, and units without are put on lines of their own, whose breaks are tokens of their own.
+    A unit of letters alone is a single match of the pattern, so the tokenizer's model takes it as
+    it is, with its bytes by the names they have in the vocabulary. Other units of printable
+    characters are put together to long strings, which the tokenizer cuts again just there: a
+    unit with a space in front begins with the only token in it that has one, and units without
+    are put on lines of their own, whose breaks are tokens of their own.
     """
 
     TOGETHER = 4000
 
     def __init__(self, tokenizer):
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = tokenizer
         vocabulary = tokenizer.get_vocab()
         self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
         self.begins[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.line_break = vocabulary["\u010a"]
+        split, names = tokenizer.pre_tokenizer, ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain_model = (
+            isinstance(tokenizer.model, BPE) and not tokenizer.model.dropout and tokenizer.normalizer is None
+            and isinstance(split, ByteLevel) and split.use_regex and not split.add_prefix_space)
+        self.names = {i: names.pre_tokenize_str(chr(i))[0][0] for i in range(128, 0x250) if _LATIN.match(chr(i))}
 
     def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
 
+    def _each(self, units: list[str], before: str, together, alone) -> tuple[np.ndarray, np.ndarray]:
+        word = np.fromiter((self.plain_model and _LATIN.fullmatch(u) is not None for u in units), bool, len(units))
+        model, begin, lengths = self.tokenizer.model, *np.zeros((2, len(units)), np.int64)
+        words, lengths[word] = flat([
+            [t.id for t in model.tokenize(before + (u if u.isascii() else u.translate(self.names)))]
+            for u in compress(units, word)])
+        others, lengths[~word] = self._many(list(compress(units, ~word)), together, alone)
+        for kind in (word, ~word):
+            begin[kind] = np.cumsum(lengths[kind]) - lengths[kind]
+        begin[~word] += len(words)
+        return gathered(np.concatenate([words, others]), begin, lengths), lengths
+
     def _many(self, units: list[str], together, alone) -> tuple[np.ndarray, np.ndarray]:
         found = []
         for at in range(0, len(units), self.TOGETHER):
@@ -80,14 +108,14 @@ class _ByteLevel:
         def together(part):
             ids = self._one(" " + " ".join(part))
             return ids, np.diff(np.append(np.flatnonzero(self.begins[ids]), len(ids)))
-        return self._many(units, together, lambda part: [" " + u for u in part])
+        return self._each(units, "\u0120", together, lambda part: [" " + u for u in part])
 
     def plain(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         def together(part):
             ids = self._one("\n".join(part))
             breaks = np.flatnonzero(ids == self.line_break)
             return np.delete(ids, breaks), np.diff(np.concatenate([[-1], breaks, [len(ids)]])) - 1
-        return self._many(units, together, lambda part: part)
+        return self._each(units, "", together, lambda part: part)
 
 
 def encoder(path: str) -> UnitEncoder:
@@ -119,8 +147,8 @@ def vocabulary_size(path: str) -> int:
 def encoded(batch: pa.RecordBatch, path: str, end_id: int | None, text: str = "text"):
     """Slices of a batch, each with the ids of its texts one after the other, and how many each has."""
     encode = encoder(path)
-    for part in W.sliced(batch, text):
-        ids, lengths = encode.together([t or "" for t in part.column(text).to_pylist()])
+    for part in W.sliced(batch, text, SLICE_BYTES):
+        ids, lengths = encode.together(pc.fill_null(part.column(text), ""))
         if end_id is not None:
             ids, lengths = np.insert(ids, np.cumsum(lengths), end_id), lengths + 1
         yield part, ids, lengths

@@ -8,9 +8,11 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
+from pyspark import cloudpickle
 from tokenizers import Tokenizer
 
 from conftest import SF_DIR
@@ -93,6 +95,34 @@ def test_units_that_are_met_often_are_encoded_once_and_stay(monkeypatch, tokeniz
     assert asked.count("often") == 1 and len(asked) == len(set(asked)) == 1 + 8 * 40
 
 
+def test_letters_need_the_model_alone(monkeypatch, tokenizer):
+    asked, each = [], tokens._ByteLevel.each
+    monkeypatch.setattr(tokens._ByteLevel, "each", lambda own, texts: asked.extend(texts) or each(own, texts))
+    many = tokens._ByteLevel(tokenizer)
+    encode = units.UnitEncoder(many.each, many.spaced, many.plain)
+    texts = ["Größe señal, façade§ ŝanĝo x2 naïve's\nÉtat über!! 日本 plain", "plain\xa0words İstanbul ªº ɏ"]
+    assert [x.tolist() for x in encode(texts)] == [
+        tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    seen = " ".join(asked)
+    assert "x2" in seen and "naïve's" in seen and "日本" in seen
+    assert not any(w in seen for w in ("Größe", "señal", "ŝanĝo", "État", "über", "İstanbul", "ªº", "ɏ"))
+
+
+def test_parts_of_columns(tokenizer):
+    for kind in (pa.string(), pa.large_string()):
+        ids, lengths = tokens.encoder(TOKENIZER).together(pa.array(ODD, kind).slice(5, 14))
+        wanted = [tokenizer.encode(t, add_special_tokens=False).ids for t in ODD[5:19]]
+        assert ids.tolist() == sum(wanted, []) and lengths.tolist() == [len(x) for x in wanted]
+
+
+def test_the_cache_stays_in_its_process(tokenizer):
+    encode, text = tokens.encoder(TOKENIZER), "some words, some more"
+    wanted = tokenizer.encode(text, add_special_tokens=False).ids
+    assert next(encode([text])).tolist() == wanted and len(encode.index)
+    copy = cloudpickle.loads(cloudpickle.dumps(encode))
+    assert not len(copy.index) and next(copy([text])).tolist() == wanted
+
+
 def test_packing_gives_the_cache_back(spark, monkeypatch):
     given = []
     monkeypatch.setattr(packing, "placed", lambda *a, **options: given.append(options) or spark.range(1))
